@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ringsight.config import DEFAULT, Settings
 from ringsight.functions import hour_of_day, micros
 from ringsight.operators import long_accounts
+from ringsight.session import hint
 
 SECOND = 1_000_000
 # The three look-back windows, open on the left, in microseconds.
@@ -42,7 +43,7 @@ def extract_features(transactions: DataFrame, accounts: DataFrame, cfg: Settings
         return _whole_accounts(transactions, averages, columns, cfg)
 
     tagged = long_accounts.tag(transactions, long, averages, cfg)
-    short_rows = transactions.join(long_accounts.hint(long.select("account_id"), cfg), "account_id", "left_anti")
+    short_rows = transactions.join(hint(long.select("account_id"), cfg.broadcast_rows), "account_id", "left_anti")
     short = _whole_accounts(short_rows, averages, columns, cfg)
     return short.unionByName(long_accounts.features(tagged, columns, LOOKBACKS, cfg))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ringsight.config import Settings
 from ringsight.functions import hour_of_day, micros
-from ringsight.session import materialize
+from ringsight.session import exceeds, hint, materialize
 
 # Candidate segment widths in microseconds, widest first: 30 days, 1 day, 1 hour, 1 minute, 1 second, 1 millisecond.
 WIDTHS = (2_592_000_000_000, 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000)
@@ -23,12 +23,12 @@ MARK_CARRY, MARK_LEAVE, MARK_ROW = 0, 1, 2
 
 def find(transactions: DataFrame, cfg: Settings) -> DataFrame | None:
     """(account_id, width) of the accounts above the limit, or None when there are none."""
-    counts = transactions.groupBy("account_id").count().where(F.col("count") > cfg.account_rows_per_task)
-    long = materialize(counts.select("account_id"), "long-accounts")
-    if long.isEmpty():
+    counts = transactions.groupBy("account_id").count()
+    if not exceeds(counts, "count", cfg.account_rows_per_task):
         return None
+    long = materialize(counts.where(F.col("count") > cfg.account_rows_per_task).select("account_id"), "long-accounts")
     fine = (
-        transactions.join(hint(long, cfg), "account_id", "left_semi")
+        transactions.join(hint(long, cfg.broadcast_rows), "account_id", "left_semi")
         .groupBy("account_id", F.floor(micros(F.col("timestamp")) / WIDTHS[-1]).alias("slot"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -44,23 +44,18 @@ def find(transactions: DataFrame, cfg: Settings) -> DataFrame | None:
     return materialize(widths, "long-account-widths")
 
 
-def hint(small: DataFrame, cfg: Settings) -> DataFrame:
-    """Broadcast a table only when its counted rows are within the limit; beyond it Spark joins by shuffle."""
-    return F.broadcast(small) if small.count() <= cfg.broadcast_rows else small
-
-
 def tag(transactions: DataFrame, long: DataFrame, averages: DataFrame, cfg: Settings) -> DataFrame:
     """Rows of long accounts with their segment, the account average and its first amount.
 
     Amounts are measured from the first one before they are squared, so equal amounts have a spread of exactly zero.
     """
-    joined = transactions.join(hint(long, cfg), "account_id").withColumn("us", micros(F.col("timestamp")))
+    joined = transactions.join(hint(long, cfg.broadcast_rows), "account_id").withColumn("us", micros(F.col("timestamp")))
     first = joined.groupBy("account_id").agg(F.min_by("amount", F.struct("us", "txn_id")).alias("first_amount"))
     about = materialize(
         long.join(averages, "account_id", "left").join(first, "account_id", "left"), "long-account-facts"
     )
     return (
-        transactions.join(hint(about, cfg), "account_id")
+        transactions.join(hint(about, cfg.broadcast_rows), "account_id")
         .withColumn("us", micros(F.col("timestamp")))
         .withColumn("seg", F.floor(F.col("us") / F.col("width")))
     )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, name: str = "ringsight") -> SparkSession:
@@ -50,3 +51,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def exceeds(df: DataFrame, column: str, limit: int) -> bool:
+    """Whether any value of a count column is above the limit; one number reaches the driver."""
+    top = df.agg(F.max(column)).first()[0]
+    return top is not None and top > limit
+
+
+def hint(small: DataFrame, limit: int) -> DataFrame:
+    """Broadcast a table only when its counted rows are within the limit; beyond it Spark joins by shuffle."""
+    return F.broadcast(small) if small.count() <= limit else small
