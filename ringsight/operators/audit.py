@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringsight.functions import joined_or
+from ringsight.operators.fusion import DECISION, EVIDENCE
 
 
 def _verb(action: Column) -> Column:
@@ -34,14 +35,14 @@ def layer2_explanation(action: Column, cluster_id: Column, size: Column, signals
 
 
 def log_entries(fused: DataFrame, layer1: DataFrame, scored: DataFrame) -> DataFrame:
-    """One log entry per decision that has a layer-1 row.
+    """One log entry per decision that has a layer-1 row. Decisions that kept their evidence need no join to find it.
 
     The cluster speaks when its score is at least the transaction's, else the transaction's own evidence.
     """
     clusters = scored.select(F.col("cluster_id").alias("ring_membership"), "size", "shared_signals", "flags")
-    rows = fused.join(layer1.select("txn_id", "triggered_rules", "top_features"), "txn_id").join(
-        clusters, "ring_membership", "left"
-    )
+    if any(column not in fused.columns for column in EVIDENCE):
+        fused = fused.select(*DECISION).join(layer1.select("txn_id", *EVIDENCE), "txn_id")
+    rows = fused.join(clusters, "ring_membership", "left")
     by_ring = (F.coalesce("ring_score", F.lit(0.0)) >= F.col("layer1_score")) & F.col("size").isNotNull()
     act = F.col("action")
     text = F.when(

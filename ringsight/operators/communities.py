@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringsight.config import DEFAULT, Settings
+from ringsight.operators.components import numbered
 from ringsight.session import materialize
 
 DIGITS = 9
@@ -31,12 +32,21 @@ def refine(edges: DataFrame, components: DataFrame, cfg: Settings = DEFAULT) ->
 def communities(edges: DataFrame, members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """(account_id, cluster_id) for the accounts of `members` (account_id, cluster_id = component)."""
     inside = edges.join(members.select(F.col("account_id").alias("src"), F.col("cluster_id").alias("comp")), "src")
+    ends = inside.select(F.col("src").alias("name")).unionByName(inside.select(F.col("dst").alias("name")))
+    ids = numbered(ends.unionByName(members.select(F.col("account_id").alias("name"))))
     one_way = inside.select("comp", F.col("src").alias("u"), F.col("dst").alias("v"), F.col("weight").alias("w"))
+    for end in ("comp", "u", "v"):
+        one_way = one_way.join(ids.withColumnRenamed("name", end), end).drop(end).withColumnRenamed("id", end)
     links = materialize(
-        one_way.unionByName(one_way.select("comp", F.col("v").alias("u"), F.col("u").alias("v"), "w")), "community-links"
+        one_way.select("comp", "u", "v", "w").unionByName(one_way.select("comp", F.col("v").alias("u"), F.col("u").alias("v"), "w")),
+        "community-links",
     )
-    loops = links.sparkSession.createDataFrame([], "u string, loop double")
-    place = members.select("account_id", F.col("cluster_id").alias("comp"), F.col("account_id").alias("node"))
+    loops = links.sparkSession.createDataFrame([], "u long, loop double")
+    place = members.select("account_id", F.col("cluster_id").alias("comp"))
+    for name, column in (("account_id", "node"), ("comp", "comp")):
+        known = ids.select(F.col("name").alias(name), F.col("id").alias(f"{column}_id"))
+        place = place.join(known, name)
+    place = place.select("account_id", F.col("comp_id").alias("comp"), F.col("node_id").alias("node"))
 
     for _ in range(cfg.community_levels):
         settled = _settle(links, loops, cfg)
@@ -59,83 +69,78 @@ def communities(edges: DataFrame, members: DataFrame, cfg: Settings = DEFAULT) -
 
 
 def _settle(links: DataFrame, loops: DataFrame, cfg: Settings) -> DataFrame:
-    """(comp, u, k, loop, best, q): the best assignment found for the nodes of one level, and its modularity."""
+    """(comp, u, best, q, ...): the best assignment found for the nodes of one level, and its modularity per component."""
     degrees = links.groupBy("comp", "u").agg(F.sum("w").alias("k")).join(loops, "u", "left")
     loop = F.coalesce("loop", F.lit(0.0))
-    nodes = degrees.select("comp", "u", (F.col("k") + 2 * loop).alias("k"), loop.alias("loop"))
-    state = materialize(
-        nodes.select("*", F.col("u").alias("c"), F.col("u").alias("best"), F.lit(float("-inf")).alias("q")), "community-state"
+    nodes = materialize(
+        degrees.select("comp", "u", (F.col("k") + 2 * loop).alias("k"), loop.alias("loop")), "community-nodes"
     )
-    volumes = materialize(state.groupBy("comp").agg(F.sum("k").alias("m2")), "community-volumes")
+    volumes = nodes.groupBy("comp").agg(F.sum("k").alias("m2"))
+    start = {"c": F.col("u"), "best": F.col("u"), "q": F.lit(float("-inf"))}
+    state = materialize(nodes.join(volumes, "comp").withColumns(start), "community-state")
 
     idle = 0
     for number in range(cfg.community_rounds):
-        state = _round(links, state, volumes, number, cfg)
-        progress = state.agg(F.sum("gained"), F.count_if(F.col("c") != F.col("best"))).first()
-        improved, pending = progress[0] or 0.0, progress[1]
+        state = _round(links, state, number)
+        counts = state.agg(
+            F.sum("gained"), F.count_if(F.col("wants")), F.count_if(F.col("c") != F.col("best"))
+        ).first()
+        improved, restless, pending = counts[0] or 0.0, counts[1], counts[2]
         idle = 0 if improved > cfg.community_tolerance else idle + 1
-        # two rounds without progress have tried both halves of most neighbourhoods; none pending means nobody wants to move
-        if (pending == 0 and idle >= 1 and number % 2) or idle >= 4:
+        if (restless == 0 and pending == 0) or idle >= 4:
             break
     return state
 
 
-def _round(links: DataFrame, state: DataFrame, volumes: DataFrame, number: int, cfg: Settings) -> DataFrame:
-    neighbours = links.join(state.select(F.col("u").alias("v"), "c"), "v").select("comp", "u", "c", "w")
-    stay = state.select("comp", "u", "c", F.lit(0.0).alias("w"))
-    toward = materialize(
-        neighbours.unionByName(stay).groupBy("comp", "u", "c").agg(F.sum("w").alias("w")), "community-toward"
+def _round(links: DataFrame, state: DataFrame, number: int) -> DataFrame:
+    m2, k = F.col("m2"), F.col("k")
+    totals = state.groupBy("comp", "c").agg(F.sum("k").alias("total"))
+
+    # what every node would gain in every neighbouring community, and in its own with itself taken out
+    neighbours = links.join(state.select(F.col("u").alias("v"), "c"), "v").select("u", "c", "w")
+    stay = state.select("u", "c", F.lit(0.0).alias("w"))
+    toward = neighbours.unionByName(stay).groupBy("u", "c").agg(F.sum("w").alias("w"))
+    mine = F.col("c") == F.col("own")
+    gain = F.round(F.col("w") - k * (F.col("total") - F.when(mine, k).otherwise(0.0)) / m2, DIGITS)
+    wishes = materialize(
+        toward.join(state.withColumnRenamed("c", "own"), "u")
+        .join(totals.select("c", "total"), "c")
+        .withColumn("gain", gain)
+        .groupBy("comp", "u", "k", "loop", "m2", "own", "best", "q")
+        .agg(
+            F.min(F.struct((-F.col("gain")).alias("loss"), "c")).alias("top"),
+            F.max(F.when(mine, F.col("gain"))).alias("own_gain"),
+            F.max(F.when(mine, F.col("w"))).alias("own_w"),
+        ),
+        "community-wishes",
     )
-    totals = state.groupBy("c").agg(F.sum("k").alias("total"))
-    own = state.withColumnRenamed("c", "own")
 
     # modularity of the current assignment, per component
-    inner = toward.join(state.select("u", "c"), ["u", "c"]).groupBy("comp").agg(F.sum("w").alias("w_in"))
-    squares = (
-        state.groupBy("comp", "c")
-        .agg(F.sum("k").alias("total"), F.sum("loop").alias("loop"))
-        .groupBy("comp")
-        .agg(F.sum(F.col("total") * F.col("total")).alias("sq"), F.sum("loop").alias("loop"))
-    )
-    m2 = F.col("m2")
+    squares = totals.groupBy("comp").agg(F.sum(F.col("total") * F.col("total")).alias("sq"))
     quality = (
-        inner.join(squares, "comp")
-        .join(volumes, "comp")
-        .select("comp", "m2", F.round((F.col("w_in") + 2 * F.col("loop")) / m2 - F.col("sq") / (m2 * m2), DIGITS).alias("q_now"))
+        wishes.groupBy("comp", "m2")
+        .agg(F.sum(F.col("own_w") + 2 * F.col("loop")).alias("within"))
+        .join(squares, "comp")
+        .select("comp", F.round(F.col("within") / m2 - F.col("sq") / (m2 * m2), DIGITS).alias("q_now"))
     )
 
-    # the best community for every node, with the node itself taken out of its own
-    gain = F.round(
-        F.col("w") - F.col("k") * (F.col("total") - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(0.0)) / m2, DIGITS
-    )
-    wishes = (
-        toward.join(own.select("u", "own", "k"), "u")
-        .join(totals, "c")
-        .join(volumes, "comp")
-        .withColumn("gain", gain)
-        .groupBy("u")
-        .agg(
-            F.min(F.struct((-F.col("gain")).alias("loss"), "c")).alias("top"),
-            F.max(F.when(F.col("c") == F.col("own"), F.col("gain"))).alias("own_gain"),
-        )
-    )
     wants = -F.col("top.loss") > F.col("own_gain")
     awake = F.pmod(F.xxhash64("u", F.lit(number)), F.lit(2)) == 0
     fell = F.col("q_now") < F.col("q")
-    rose = F.col("q_now") > F.col("q")
-    step = F.when(wants & awake, F.col("top.c")).otherwise(F.col("c"))
+    first = F.col("q") == float("-inf")
+    gained = F.when(first, 1.0).otherwise(F.greatest(F.col("q_now") - F.col("q"), F.lit(0.0)))
     return materialize(
-        state.join(quality, "comp")
-        .join(wishes, "u")
-        .select(
+        wishes.join(quality, "comp").select(
             "comp",
             "u",
             "k",
             "loop",
-            F.when(fell, F.col("best")).otherwise(step).alias("c"),
-            F.when(fell, F.col("best")).otherwise(F.col("c")).alias("best"),
+            "m2",
+            F.when(fell, F.col("best")).when(wants & awake, F.col("top.c")).otherwise(F.col("own")).alias("c"),
+            F.when(fell, F.col("best")).otherwise(F.col("own")).alias("best"),
             F.greatest("q", "q_now").alias("q"),
-            F.when(rose, F.when(F.col("q") == float("-inf"), 1.0).otherwise(F.col("q_now") - F.col("q"))).otherwise(0.0).alias("gained"),
+            gained.alias("gained"),
+            (wants | fell).alias("wants"),
         ),
         "community-state",
     )

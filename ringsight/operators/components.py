@@ -34,16 +34,31 @@ def star_links(members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     return to_head.unionByName(to_top)
 
 
+def numbered(names: DataFrame) -> DataFrame:
+    """(name, id) for distinct names, ids in name order.
+
+    Graph rounds run on longs: they shuffle less than strings, and min() over them is a hash aggregate instead of a sort.
+    A range partitioning keeps the order across partitions, and the table is written once, so ids never change afterwards.
+    """
+    ordered = names.distinct().repartitionByRange("name").sortWithinPartitions("name")
+    return materialize(ordered.withColumn("id", F.monotonically_increasing_id()), "numbered")
+
+
 def connected_components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """(account_id, cluster_id) for every vertex; `edges` has columns u, v in any direction."""
-    low, high = F.least("u", "v"), F.greatest("u", "v")
-    current = edges.where(F.col("u") != F.col("v")).select(high.alias("u"), low.alias("v"))
+    """(account_id, cluster_id) for every vertex; `edges` has columns u, v in any direction, both of them vertices."""
+    ids = numbered(vertices.select(F.col("account_id").alias("name")))
+    ends = edges.where(F.col("u") != F.col("v"))
+    for end in ("u", "v"):
+        ends = ends.join(ids.withColumnRenamed("name", end), end).drop(end).withColumnRenamed("id", end)
+    current = ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     while True:
         current = materialize(_small_star(_large_star(current)), "component-links")
         if _is_star_forest(current):
             break
-    return vertices.join(current.withColumnRenamed("u", "account_id"), "account_id", "left").select(
-        "account_id", F.coalesce("v", "account_id").alias("cluster_id")
+    names = ids.select(F.col("id").alias("v"), F.col("name").alias("head"))
+    heads = current.join(names, "v").select(F.col("u").alias("id"), "head")
+    return ids.join(heads, "id", "left").select(
+        F.col("name").alias("account_id"), F.coalesce("head", "name").alias("cluster_id")
     )
 
 

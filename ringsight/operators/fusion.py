@@ -23,8 +23,15 @@ def ring_lookup(mapping: DataFrame, scored: DataFrame) -> DataFrame:
     )
 
 
-def fuse_scores(layer1: DataFrame, transactions: DataFrame, lookup: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """(txn_id, layer1_score, ring_membership, ring_score, final_score, action), one row per layer-1 row.
+# The published columns of a decision, and the evidence its explanation needs.
+DECISION = ("txn_id", "layer1_score", "ring_membership", "ring_score", "final_score", "action")
+EVIDENCE = ("triggered_rules", "top_features")
+
+
+def fuse_scores(
+    layer1: DataFrame, transactions: DataFrame, lookup: DataFrame, cfg: Settings = DEFAULT, evidence: bool = False
+) -> DataFrame:
+    """One decision per layer-1 row; with `evidence`, the layer-1 evidence stays on the row for the log.
 
     Joined on ids, never on row positions. Layer-1 rows that carry their account skip the join back to `transactions`.
     """
@@ -34,5 +41,5 @@ def fuse_scores(layer1: DataFrame, transactions: DataFrame, lookup: DataFrame, c
         layer1.join(lookup, "account_id", "left")
         .withColumn("final_score", final_score())
         .withColumn("action", action(cfg))
-        .select("txn_id", "layer1_score", "ring_membership", "ring_score", "final_score", "action")
+        .select(*DECISION, *(EVIDENCE if evidence else ()))
     )

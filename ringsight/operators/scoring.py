@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ringsight.config import DEFAULT, Settings
 from ringsight.functions import age_decay, clamp01, has_any_text, hour_bin, micros
 from ringsight.functions.columns import MICROS_PER_HOUR
+from ringsight.session import materialize
 
 # Words that mark a bad outcome; the score cut-offs and names of the flags, in reporting order.
 BAD_STATUS = ("fail", "refund", "disput")
@@ -108,7 +109,7 @@ def score_clusters(
     mapping: DataFrame, summary: DataFrame, accounts: DataFrame, transactions: DataFrame, cfg: Settings = DEFAULT
 ) -> DataFrame:
     """(cluster_id, size, shared_signals, five sub-scores, ring_score, flags), one row per cluster."""
-    activity = hourly_activity(transactions)
+    activity = materialize(hourly_activity(transactions), "hourly-activity")
     parts = [
         age_homogeneity(mapping, accounts, cfg),
         synchrony(mapping, activity),

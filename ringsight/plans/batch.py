@@ -74,7 +74,7 @@ class BatchRun:
     @cached_property
     def fused(self) -> DataFrame:
         lookup = fusion.ring_lookup(self.mapping, self.scored)
-        return materialize(fusion.fuse_scores(self.layer1, self.transactions, lookup, self.cfg), "fused")
+        return materialize(fusion.fuse_scores(self.layer1, self.transactions, lookup, self.cfg, evidence=True), "fused")
 
     @cached_property
     def log(self) -> DataFrame:

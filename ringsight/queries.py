@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringsight.config import DEFAULT, Settings
@@ -498,7 +498,7 @@ def ring_lookup(spark, sf_dir):
 
 @query
 def fused_scores(spark, sf_dir):
-    return _run(spark, sf_dir).fused
+    return _run(spark, sf_dir).fused.select(*fusion.DECISION)
 
 
 @query
