@@ -50,7 +50,9 @@ def connected_components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     ends = edges.where(F.col("u") != F.col("v"))
     for end in ("u", "v"):
         ends = ends.join(ids.withColumnRenamed("name", end), end).drop(end).withColumnRenamed("id", end)
-    current = ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    current = materialize(
+        ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "component-links"
+    )
     while True:
         current = materialize(_small_star(_large_star(current)), "component-links")
         if _is_star_forest(current):

@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, name: str = "ringsight") -> SparkSession
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
