@@ -84,33 +84,28 @@ def _whole_accounts(transactions: DataFrame, averages: DataFrame, columns: list[
             "retries": F.sum("is_retry").over(upto),
         }
     )
-    # The frame ends before the current instant; rows of the same instant count only up to this one.
-    instant_start = F.rank().over(by_time)
+    # Rows inside a look-back window = rows so far minus rows that have left it. The frame only ever grows, so Spark adds
+    # each row to it once; a frame with two moving ends would be summed up again for every row.
     rows = rows.withColumns(
         {
-            "same_instant": F.col("position") - instant_start + 1,
-            "retries_earlier": F.coalesce(F.sum("is_retry").over(by_time.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "retries_day": F.coalesce(F.sum("is_retry").over(_frame(by_time, LOOKBACKS["velocity_24hr"])), F.lit(0)),
-            **{f"n_{name}": F.count(F.lit(1)).over(_frame(by_time, width)) for name, width in LOOKBACKS.items()},
+            **{f"in_{name}": F.col("position") - F.count(F.lit(1)).over(_left(by_time, w)) for name, w in LOOKBACKS.items()},
+            "in_retries": F.col("retries") - F.coalesce(F.sum("is_retry").over(_left(by_time, LOOKBACKS["velocity_24hr"])), F.lit(0)),
         }
     )
     prior_rows = F.col("position") - 1
     return rows.select(
         *columns,
-        *[(F.col(f"n_{name}") + F.col("same_instant")).cast("double").alias(name) for name in LOOKBACKS],
+        *[F.col(f"in_{name}").cast("double").alias(name) for name in LOOKBACKS],
         zscore(F.col("amount"), F.col("historical_avg_amount"), F.col("prior_std")).alias("amount_zscore"),
         (F.col("category_seen") == 1).alias("is_new_merchant_category"),
         F.struct("geo_location", "device_id").eqNullSafe(F.col("usual_pair")).alias("geo_device_consistency"),
         unusual_hour(F.col("hour_seen") - 1, prior_rows, cfg).alias("is_unusual_hour"),
-        retry_ratio(
-            F.col("retries_day") + F.col("retries") - F.col("retries_earlier"),
-            F.col("n_velocity_24hr") + F.col("same_instant"),
-        ).alias("failure_retry_ratio"),
+        retry_ratio(F.col("in_retries"), F.col("in_velocity_24hr")).alias("failure_retry_ratio"),
     )
 
 
-def _frame(by_time, width: int):
-    return by_time.rangeBetween(-(width - 1), -1)
+def _left(by_time, width: int):
+    return by_time.rangeBetween(Window.unboundedPreceding, -width)
 
 
 def zscore(amount: Column, average: Column, prior_std: Column) -> Column:
