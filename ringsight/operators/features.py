@@ -49,8 +49,10 @@ def extract_features(transactions: DataFrame, accounts: DataFrame, cfg: Settings
 
 
 def _whole_accounts(transactions: DataFrame, averages: DataFrame, columns: list[str], cfg: Settings) -> DataFrame:
+    # One shuffle: the join and every window below need rows of an account together, whatever else they sort by.
     rows = (
-        transactions.join(averages, "account_id", "left")
+        transactions.repartition("account_id")
+        .join(averages, "account_id", "left")
         .withColumn("us", micros(F.col("timestamp")))
         .withColumn("hour", hour_of_day(F.col("timestamp")))
     )

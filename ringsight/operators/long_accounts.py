@@ -177,6 +177,8 @@ def _running_sums(rows: DataFrame, columns: list[str], lookbacks: dict[str, int]
     ):
         everything = everything.unionByName(part, allowMissingColumns=True)
 
+    # one shuffle for all the windows, whatever else they group by
+    everything = everything.repartition(*KEYS)
     order = [F.col("us").asc_nulls_first(), "kind", "txn_id"]
 
     def upto(*key: str):

@@ -1,3 +1,4 @@
+import re
 from datetime import timedelta
 
 import pytest
@@ -110,9 +111,16 @@ def test_rules_add_up_cap_and_extend(spark):
     assert empty.count() == 0 and {"rule_score", "triggered_rules"} <= set(empty.columns)
 
 
-def test_plan_has_one_exchange_on_the_account(spark):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"], ids=["sort-merge", "broadcast"])
+def test_plan_shuffles_transactions_once(spark, threshold):
     accounts, transactions = random_tables(1, n_transactions=50)
-    df = scored(spark, accounts, transactions)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") <= 2  # transactions and accounts, both by account_id
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = scored(spark, accounts, transactions)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert 1 <= len(exchanges) <= 2  # transactions, and accounts unless they are broadcast
+    assert all(re.search(r"hashpartitioning\(account_id#\d+, \d+\)", line) for line in exchanges)
     assert "SinglePartition" not in plan
