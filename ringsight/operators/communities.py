@@ -2,7 +2,7 @@
 
 A synchronous Louvain over DataFrames. In a round every node weighs the neighbouring communities with one join and one
 grouped sum; about half of the nodes, chosen by a hash of node and round, may move, which keeps two neighbours from swapping
-places for ever. A component whose modularity fell goes back to its best assignment, so the result never gets worse from
+places for ever (all of them while only few want to). A component whose modularity fell goes back to its best assignment, so the result never gets worse from
 round to round. When no round helps any more, communities become the nodes of the next level. The driver reads single
 numbers only. Gains are rounded before they are compared, so the result does not depend on the order of additions.
 """
@@ -79,20 +79,22 @@ def _settle(links: DataFrame, loops: DataFrame, cfg: Settings) -> DataFrame:
     start = {"c": F.col("u"), "best": F.col("u"), "q": F.lit(float("-inf"))}
     state = materialize(nodes.join(volumes, "comp").withColumns(start), "community-state")
 
-    idle = 0
+    idle, few = 0, False
     for number in range(cfg.community_rounds):
-        state = _round(links, state, number)
+        # when few nodes want to move, neighbours seldom swap: let all of them, until a round brings nothing
+        state = _round(links, state, number, halves=1 if few and idle == 0 else 2)
         counts = state.agg(
-            F.sum("gained"), F.count_if(F.col("wants")), F.count_if(F.col("c") != F.col("best"))
+            F.sum("gained"), F.count_if(F.col("wants")), F.count_if(F.col("c") != F.col("best")), F.count(F.lit(1))
         ).first()
         improved, restless, pending = counts[0] or 0.0, counts[1], counts[2]
+        few = restless * 10 < counts[3]
         idle = 0 if improved > cfg.community_tolerance else idle + 1
         if (restless == 0 and pending == 0) or idle >= 4:
             break
     return state
 
 
-def _round(links: DataFrame, state: DataFrame, number: int) -> DataFrame:
+def _round(links: DataFrame, state: DataFrame, number: int, halves: int) -> DataFrame:
     m2, k = F.col("m2"), F.col("k")
     totals = state.groupBy("comp", "c").agg(F.sum("k").alias("total"))
 
@@ -125,7 +127,7 @@ def _round(links: DataFrame, state: DataFrame, number: int) -> DataFrame:
     )
 
     wants = -F.col("top.loss") > F.col("own_gain")
-    awake = F.pmod(F.xxhash64("u", F.lit(number)), F.lit(2)) == 0
+    awake = F.pmod(F.xxhash64("u", F.lit(number)), F.lit(halves)) == 0
     fell = F.col("q_now") < F.col("q")
     first = F.col("q") == float("-inf")
     gained = F.when(first, 1.0).otherwise(F.greatest(F.col("q_now") - F.col("q"), F.lit(0.0)))
