@@ -7,12 +7,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ringsight.llm.common import documents
+from pyspark.sql import functions as F
+
+from ringsight.llm import quality
+from ringsight.llm.common import documents, held
 from ringsight.llm.grace_dedup import grace_dedup
+from ringsight.llm.ngram_join import ngram_join
 from ringsight.llm.token_ids import read_token_files, write_token_files
 from ringsight.session import prepare, shared_folder
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = documents(spark, sf_dir)
+    ranker = quality.train(docs, documents(spark, sf_dir, "labels"))
+    scored = quality.with_scores(docs.select("doc_id", "text"), ranker)
+    return scored.select(
+        "doc_id", held("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted")
+    )
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return ngram_join(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "n_links", "n_grams")
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,6 +47,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality": op6_quality,
+    "op8_ngram_join": op8_ngram_join,
     "op9_token_ids": op9_token_ids,
     "op10_exact_dedup": op10_exact_dedup,
 }
