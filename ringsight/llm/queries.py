@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ringsight.llm import quality
+from ringsight.llm import pieces, quality
 from ringsight.llm.common import documents, held
 from ringsight.llm.grace_dedup import grace_dedup
 from ringsight.llm.ngram_join import ngram_join
@@ -17,6 +17,18 @@ from ringsight.llm.token_ids import read_token_files, write_token_files
 from ringsight.session import prepare, shared_folder
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    encoded = pieces.encode(documents(spark, sf_dir), piece_model())
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = documents(spark, sf_dir)
@@ -47,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pieces": op2_pieces,
     "op6_quality": op6_quality,
     "op8_ngram_join": op8_ngram_join,
     "op9_token_ids": op9_token_ids,
