@@ -14,6 +14,9 @@ _BYTES = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=
 #: ASCII white space, as in the contracts of the queries.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: ... and everything in ASCII but letters and digits.
+_GAP = np.ones(256, bool)
+_GAP[48:58] = _GAP[65:91] = _GAP[97:123] = _GAP[128:] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -34,11 +37,11 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte starts and ends of the runs without ASCII white space in a text given as bytes."""
+def word_spans(data: np.ndarray, alnum: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Byte starts and ends of the runs without ASCII white space (alnum: or ASCII marks) in a text given as bytes."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    inside = np.concatenate(([False], ~_SPACE[data], [False]))
+    inside = np.concatenate(([False], ~(_GAP if alnum else _SPACE)[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
@@ -58,10 +61,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
-def word_hashes(text: str, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash for every word of a text (words: runs without ASCII white space; A-Z counts as a-z if `lower`)."""
+def word_hashes(text: str, alnum: bool = False) -> np.ndarray:
+    """A 64-bit hash for every word of a text (words as in `word_spans`; A-Z counts as a-z)."""
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    starts, ends = word_spans(data)
+    starts, ends = word_spans(data, alnum)
     if not len(starts):
         return np.empty(0, np.uint64)
     parts = []
@@ -73,7 +76,7 @@ def word_hashes(text: str, lower: bool = True) -> np.ndarray:
         power, inverse = _powers(len(piece) + 1)
         with np.errstate(over="ignore"):
             sums = np.concatenate(
-                (np.zeros(1, np.uint64), np.cumsum(_BYTES[_LOWER[piece] if lower else piece] * power[:-1], dtype=np.uint64))
+                (np.zeros(1, np.uint64), np.cumsum(_BYTES[_LOWER[piece]] * power[:-1], dtype=np.uint64))
             )
             parts.append(mix((sums[ends[a:b] - low] - sums[starts[a:b] - low]) * inverse[starts[a:b] - low]))
     return np.concatenate(parts)

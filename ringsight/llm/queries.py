@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ringsight.llm import pieces, quality
 from ringsight.llm.common import documents, held
+from ringsight.llm.decontaminate import find_items
 from ringsight.llm.grace_dedup import grace_dedup
 from ringsight.llm.ngram_join import ngram_join
 from ringsight.llm.token_ids import read_token_files, write_token_files
@@ -29,6 +30,11 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return find_items(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("th")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = documents(spark, sf_dir)
@@ -60,6 +66,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pieces": op2_pieces,
+    "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
     "op8_ngram_join": op8_ngram_join,
     "op9_token_ids": op9_token_ids,
