@@ -13,6 +13,7 @@ white space, so each task encodes a run once and remembers it, up to a bound.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -146,28 +147,17 @@ def read_shard(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 class RunEncoder(dict):
     """Ids of white-space separated runs, each encoded by the library once while it is remembered."""
 
-    MARK = "<|endoftext|>"
-
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.token_to_id(self.MARK)
-
-    def learn(self, runs: set[str]) -> None:
-        if len(self) + len(runs) > MEMO:
-            self.clear()
-        odd = [r for r in runs if "<|" in r]
-        plain = [r for r in runs if "<|" not in r]
-        for r in odd:
-            self[r] = tuple(self.tokenizer.encode(r, add_special_tokens=False).ids)
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            ids = self.tokenizer.encode(f" {self.MARK} ".join(part), add_special_tokens=False).ids
-            cuts = [-1, *np.flatnonzero(np.array(ids) == self.mark).tolist(), len(ids)]
-            for r, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
-                self[r] = tuple(ids[a + 1 : b])
+
+    def learn(self, runs: list[str]) -> None:
+        for i in range(0, len(runs), 4096):
+            part = runs[i : i + 4096]
+            self.update(zip(part, (tuple(e.ids) for e in self.tokenizer.encode_batch(part, add_special_tokens=False)), strict=True))
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, piece by piece if it is very long."""
@@ -175,11 +165,11 @@ class RunEncoder(dict):
         parts = []
         for i in range(0, len(runs), 100_000):
             piece = runs[i : i + 100_000]
-            new = set(piece).difference(self)
-            if new:
-                if len(self) + len(new) > MEMO:
-                    new = set(piece)
-                self.learn(new)
+            new = [r for r in set(piece) if r not in self]
+            if len(self) + len(new) > MEMO:
+                self.clear()
+                new = list(set(piece))
+            self.learn(new)
             parts.append(np.fromiter(chain.from_iterable(map(self.__getitem__, piece)), np.int64))
         return np.concatenate(parts)
 
