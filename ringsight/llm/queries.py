@@ -14,6 +14,7 @@ from ringsight.llm.common import documents, held
 from ringsight.llm.decontaminate import find_items
 from ringsight.llm.grace_dedup import grace_dedup
 from ringsight.llm.ngram_join import ngram_join
+from ringsight.llm.pii import find_pii
 from ringsight.llm.token_ids import read_token_files, write_token_files
 from ringsight.session import prepare, shared_folder
 
@@ -30,6 +31,11 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return find_pii(documents(spark, sf_dir))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return find_items(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("th")
@@ -66,6 +72,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pieces": op2_pieces,
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
     "op8_ngram_join": op8_ngram_join,
