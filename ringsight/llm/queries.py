@@ -15,6 +15,7 @@ from ringsight.llm.decontaminate import find_items
 from ringsight.llm.grace_dedup import grace_dedup
 from ringsight.llm.ngram_join import ngram_join
 from ringsight.llm.pii import find_pii
+from ringsight.llm.repeats import find_repeats
 from ringsight.llm.token_ids import read_token_files, write_token_files
 from ringsight.session import prepare, shared_folder
 
@@ -31,6 +32,11 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return find_repeats(documents(spark, sf_dir))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return find_pii(documents(spark, sf_dir))
@@ -72,6 +78,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pieces": op2_pieces,
+    "op3_repeats": op3_repeats,
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
