@@ -13,6 +13,7 @@ from ringsight.llm import pieces, quality
 from ringsight.llm.common import documents, held
 from ringsight.llm.decontaminate import find_items
 from ringsight.llm.grace_dedup import grace_dedup
+from ringsight.llm.licenses import scan_licenses
 from ringsight.llm.ngram_join import ngram_join
 from ringsight.llm.pii import find_pii
 from ringsight.llm.repeats import find_repeats
@@ -57,6 +58,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return ngram_join(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "n_links", "n_grams")
@@ -82,6 +88,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
     "op8_ngram_join": op8_ngram_join,
     "op9_token_ids": op9_token_ids,
     "op10_exact_dedup": op10_exact_dedup,
