@@ -16,8 +16,8 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,8 @@ from ringsight.session import hint
 
 BLOCK = 4096
 SHARD_IDS = 2_000_000
-MEMO = 300_000
+#: Words that a worker remembers.
+MEMO = 800_000
 #: Ids in a word and bits for each, by selector; 15 is the escape.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = 60 // COUNTS
@@ -144,37 +145,52 @@ def read_shard(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [int(x) if v else None for x, v in zip(ids, valid, strict=True)], lengths, unpack(words, offsets, escapes, n)
 
 
-class RunEncoder(dict):
-    """Ids of white-space separated runs, each encoded by the library once while it is remembered."""
+class RunEncoder:
+    """Ids (as bytes) of white-space separated runs, each encoded by the library once while it is remembered.
+
+    ASCII letters with a stop or comma after them are two tokens for the tokenizer, the letters in lower case; such words are
+    remembered apart from the runs, so runs can be forgotten and put together again without the library.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, runs: list[str]) -> None:
-        for i in range(0, len(runs), 4096):
-            part = runs[i : i + 4096]
-            self.update(zip(part, (tuple(e.ids) for e in self.tokenizer.encode_batch(part, add_special_tokens=False)), strict=True))
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _add(self, runs: list[str]) -> None:
+        stems = [r[:-1] if r[-1:] in (".", ",") else r for r in runs]
+        plain = [x.isascii() and x.isalpha() for x in stems]
+        keys = [x.lower() if p else r for r, x, p in zip(runs, stems, plain, strict=True)]
+        new = list({k for k in (*keys, ".", ",") if k not in self.words})
+        if len(self.words) + len(new) > MEMO:
+            self.words.clear()
+            new = list({*keys, ".", ","})
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
+            found = self.tokenizer.encode_batch(part, add_special_tokens=False)
+            self.words.update(zip(part, (array("I", e.ids).tobytes() for e in found), strict=True))
+        words = self.words
+        for r, x, k, p in zip(runs, stems, keys, plain, strict=True):
+            self.runs[r] = words[k] + words[r[-1]] if p and len(x) < len(r) else words[k]
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, piece by piece if it is very long."""
-        runs = text.translate(_BLANKS).split(" ")
+        split = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         parts = []
-        for i in range(0, len(runs), 100_000):
-            piece = runs[i : i + 100_000]
-            new = [r for r in set(piece) if r not in self]
-            if len(self) + len(new) > MEMO:
-                self.clear()
+        for i in range(0, len(split), 100_000):
+            piece = split[i : i + 100_000]
+            new = [r for r in set(piece) if r not in self.runs]
+            if len(self.runs) + len(new) > MEMO // 2:
+                self.runs.clear()
                 new = list(set(piece))
-            self.learn(new)
-            parts.append(np.fromiter(chain.from_iterable(map(self.__getitem__, piece)), np.int64))
+            self._add(new)
+            parts.append(np.frombuffer(b"".join(map(self.runs.__getitem__, piece)), np.uintc))
         return np.concatenate(parts)
 
 
-_BLANKS = {9: 32, 10: 32, 13: 32}
 _ENCODERS: dict[str, RunEncoder] = {}
 
 
