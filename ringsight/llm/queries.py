@@ -13,6 +13,7 @@ from ringsight.llm import pieces, quality
 from ringsight.llm.common import documents, held
 from ringsight.llm.decontaminate import find_items
 from ringsight.llm.grace_dedup import grace_dedup
+from ringsight.llm.language_model import score_documents
 from ringsight.llm.licenses import scan_licenses
 from ringsight.llm.ngram_join import ngram_join
 from ringsight.llm.pii import find_pii
@@ -21,6 +22,11 @@ from ringsight.llm.token_ids import read_token_files, write_token_files
 from ringsight.session import prepare, shared_folder
 
 
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return score_documents(documents(spark, sf_dir))
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -83,6 +89,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_model": op1_language_model,
     "op2_pieces": op2_pieces,
     "op3_repeats": op3_repeats,
     "op4_pii": op4_pii,
