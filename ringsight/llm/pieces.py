@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 1. Texts are cut into units that no piece can cross (a run of the space mark with the letters, or the other characters, after
-   it). Each block of text numbers its distinct units; only those are shuffled, never the tokens of every document.
-2. The distinct units of the corpus are exploded into substrings of at most the longest piece's length and joined to the piece
+   it). Each block of text numbers its distinct units; only those are shuffled, never the tokens of every document. A few blocks
+   make a group, and the one shuffle by group serves all later steps.
+2. The distinct units of a group are exploded into substrings of at most the longest piece's length and joined to the piece
    table on equality. That gives the edges of each unit's lattice; a character that no piece holds gets an edge of its own.
 3. Edges are grouped by unit and folded in order of their ends with Spark's higher-order aggregate (Viterbi): best score up to
    each place and the edge that reached it; of equal scores the one with the longer last piece wins. A second fold walks back.
@@ -124,12 +125,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool) ->
     here, block, chars, part, numbers = None, 0, 0, 0, {}
 
     def listed() -> Iterator[pa.RecordBatch]:
+        # units hold no spaces; long strings of them are far smaller in a shuffle than rows
         names = list(numbers)
-        for i in range(0, len(names), 50_000):
-            n = len(names[i : i + 50_000])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * n, pa.int64()), pa.array(range(i, i + n), pa.int32()), pa.array(names[i : i + n], pa.string())], ["block", "number", "unit"]
-            )
+        first = range(0, len(names), 1000)
+        joined = [" ".join(names[i : i + 1000]) for i in first]
+        yield pa.RecordBatch.from_arrays([pa.array([block] * len(joined), pa.int64()), pa.array(first, pa.int32()), pa.array(joined, pa.string())], ["block", "first", "units"])
 
     for batch in batches:
         keys, out = batch.column(0), ([], [], [])
@@ -154,25 +154,30 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool) ->
         yield from listed()
 
 
-def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, start, end, score, id): every piece at every place of the distinct units, by an equi-join."""
+def lattice(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
+    """keys, start, end, score, id: every piece at every place of the distinct units, by an equi-join.
+
+    Of a unit above `LONG` only the first place is there.
+    """
     table = F.broadcast(pieces.table(units.sparkSession))  # as large as the model file, whatever the corpus
     length = F.char_length("unit")
-    starts = units.select("unit", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
-    most = F.least(F.lit(pieces.longest), length - F.col("start"))
-    parts = starts.select("unit", "start", F.explode(F.sequence(F.lit(1), most)).alias("n"))
+    places = F.when(length > LONG, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), length - 1))
+    starts = units.select(*keys, F.explode(places).alias("start"))
+    most = F.when(length > LONG, F.lit(1)).otherwise(F.least(F.lit(pieces.longest), length - F.col("start")))
+    parts = starts.select(*keys, "start", F.explode(F.sequence(F.lit(1), most)).alias("n"))
     parts = parts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("n")))
     edges = parts.join(table, "piece", "left").where("id is not null or n = 1")
     return edges.select(
-        "unit", "start", (F.col("start") + F.col("n")).alias("end"),
+        *keys, "start", (F.col("start") + F.col("n")).alias("end"),
         F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"),
         F.coalesce("id", -F.ascii("piece")).alias("id"),
     )
 
 
-def viterbi(edges: DataFrame) -> DataFrame:
-    """(unit, ids): the best path of each unit's edges."""
-    grouped = edges.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("end", "start", "score", "id"))).alias("edges"))
+def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
+    """by, carried, ids: the best path of each unit's edges."""
+    found = F.sort_array(F.collect_list(F.struct("end", "start", "score", "id")))
+    grouped = edges.groupBy(*by).agg(found.alias("edges"), F.first(carried).alias(carried))
     state = "array<struct<score:double,start:int,id:int>>"
 
     def step(best, edge):
@@ -182,7 +187,7 @@ def viterbi(edges: DataFrame) -> DataFrame:
         return F.when(first, F.concat(best, F.array(here))).when(better, F.concat(F.slice(best, 1, edge["end"]), F.array(here))).otherwise(best)
 
     zero = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(-1).alias("id"))).cast(state)
-    best = grouped.select("unit", F.aggregate("edges", zero, step).alias("best"))
+    best = grouped.select(*by, carried, F.aggregate("edges", zero, step).alias("best"))
     begin = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def back(path, _):
@@ -192,7 +197,7 @@ def viterbi(edges: DataFrame) -> DataFrame:
         )
 
     walk = F.aggregate(F.sequence(F.lit(1), F.size("best") - 1), begin, back)
-    return best.select("unit", F.reverse(walk["ids"]).alias("ids"))
+    return best.select(*by, carried, F.reverse(walk["ids"]).alias("ids"))
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,22 +205,28 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     pieces = load_pieces(model)
     scan, cut = _scan(docs, key, text), pieces.pattern
     kind = docs.schema[key].dataType.simpleString()
-    vocabulary = materialize(
-        scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True), "block long, number int, unit string"), "piece-units"
-    )
-    short = vocabulary.where(F.char_length("unit") <= LONG)
-    # dealt by unit once: exploding and joining keep that layout, so grouping the edges moves nothing
-    units = short.select("unit").distinct().repartition("unit")
-    spelled = viterbi(lattice(units, pieces))
-    long = vocabulary.where(F.char_length("unit") > LONG).select("block", "number", F.array().cast("array<int>").alias("ids"), "unit")
-    found = short.join(spelled, "unit").select("block", "number", "ids", F.lit(None).cast("string").alias("unit")).unionByName(long)
+    # a group of blocks shares a shuffle partition, and a unit that several of them hold is segmented once
+    group = F.pmod(F.xxhash64("block"), F.lit(max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)))
+    listed = scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True), "block long, first int, units string")
+    dealt = listed.select(group.alias("part"), "block", "first", "units").repartition("part")
+    rows = dealt.select("part", "block", "first", F.posexplode(F.split("units", " ")).alias("n", "unit"))
+    places = F.collect_list(F.struct("block", (F.col("first") + F.col("n")).alias("number"))).alias("places")  # one per block
+    units = rows.groupBy("part", "unit").agg(places)
+    spelled = viterbi(lattice(units, pieces, ["part", "unit", "places"]), ["part", "unit"], "places")
+    long = F.when(F.char_length("unit") > LONG, F.col("unit"))
+    found = spelled.select("part", F.explode("places").alias("p"), "ids", long.alias("unit")).select("part", "p.block", "p.number", "ids", "unit")
     numbered = scan.mapInArrow(
         lambda x: _blocks(x, re.compile(cut), False), f"key {kind}, block long, numbers binary, crc long"
-    )
+    ).withColumn("part", group)
     scores = {n: (s, i) for n, s, i in zip(pieces.names, pieces.scores, pieces.ids, strict=True)}
     longest, unknown, byte_ids, unk, surfaces = pieces.longest, pieces.unknown_score, pieces.byte_ids, pieces.unknown, pieces.surfaces()
 
     def spell(rows: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        by_block = dict(tuple(names.groupby("block")))
+        parts = [spell_block(own, by_block.get(block, names[:0])) for block, own in rows.groupby("block")]
+        return pd.concat(parts)
+
+    def spell_block(rows: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
         names = names.sort_values("number")
         table = []
         for ids, unit in zip(names["ids"], names["unit"], strict=True):
@@ -238,6 +249,6 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         same = [zlib.crc32(t.encode("utf-8", "surrogatepass")) == c for t, c in zip(texts, rows["crc"], strict=True)]
         return pd.DataFrame({key: rows["key"], "ids": out, "decoded": texts, "lossless": same})
 
-    return numbered.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(
+    return numbered.groupBy("part").cogroup(found.groupBy("part")).applyInPandas(
         spell, f"`{key}` {kind}, ids array<int>, decoded string, lossless boolean"
     )
