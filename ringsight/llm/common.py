@@ -98,7 +98,9 @@ def sum_arrays(parts: DataFrame, dtype: str = "float64", fan: int = 64) -> np.nd
     """The sum of arrays, one per partition in a binary column `data`, added up in a tree: `fan` arrays reach the driver."""
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, dtype) for x in group["data"]], axis=0)
+        total = np.zeros(len(group["data"].iloc[0]) // np.dtype(dtype).itemsize, dtype)
+        for x in group["data"]:
+            total += np.frombuffer(x, dtype)
         return pd.DataFrame({"data": [total.tobytes()]})
 
     groups = parts.withColumn("part", F.pmod(F.xxhash64("data"), F.lit(fan * fan)))
