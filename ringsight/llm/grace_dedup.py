@@ -70,20 +70,11 @@ class ContentTable:
 
 def _collapse(rows: DataFrame, text: str, table_bytes: int, slots: bool) -> DataFrame:
     """Rows with slot, rep (slot of the equal row that keeps the text), sha and n_bytes; one pass over each partition."""
-    schema = T.StructType([f for f in rows.schema.fields if f.name not in ("__rep", "__sha", "__bytes")])
-    if slots:
-        schema = T.StructType([*schema.fields, T.StructField("__slot", T.LongType())])
-    schema = T.StructType(
-        [
-            *schema.fields,
-            T.StructField("__rep", T.LongType()),
-            T.StructField("__sha", T.BinaryType()),
-            T.StructField("__bytes", T.LongType()),
-            T.StructField("__null", T.BooleanType()),
-        ]
-        if slots
-        else [*schema.fields, T.StructField("__rep", T.LongType()), T.StructField("__sha", T.BinaryType()), T.StructField("__bytes", T.LongType())]
-    )
+    fields = [T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in ("__rep", "__sha", "__bytes")]
+    fields += [T.StructField("__slot", T.LongType())] * slots
+    fields += [T.StructField("__rep", T.LongType()), T.StructField("__sha", T.BinaryType()), T.StructField("__bytes", T.LongType())]
+    fields += [T.StructField("__null", T.BooleanType())] * slots
+    schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, n = ContentTable(), 0
@@ -149,7 +140,8 @@ def _buckets(rows: DataFrame, table_bytes: int, level: int, label: str) -> DataF
     tasks = max(1, (-(-size // table_bytes)) >> level)
     large = dealt.join(over.select("__bucket"), "__bucket", "left_semi").drop("__bucket")
     spread = large.repartition(tasks) if tasks > 1 and level < 2 else large.repartition(tasks, "__sha")
-    spill = materialize(_collapse(spread, "text", table_bytes, slots=False), f"{label}-spill")
+    ordered = spread.sortWithinPartitions(F.desc("has_id"), F.desc("key"), "__slot")
+    spill = materialize(_collapse(ordered, "text", table_bytes, slots=False), f"{label}-spill")
     below = _buckets(spill.where("__rep = __slot").drop("__rep"), table_bytes, level + 1, label)
     pointers = spill.select(F.col("__slot").alias("s"), "__rep").join(below, "__rep").select(F.col("s").alias("__rep"), "__keep")
     return _resolve(dealt.join(over.select("__bucket"), "__bucket", "left_anti")).unionByName(pointers)
