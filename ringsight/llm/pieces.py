@@ -1,17 +1,17 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 1. Texts are cut into units that no piece can cross (a run of the space mark with the letters, or the other characters, after
-   it). Each block of text numbers its distinct units; only those are shuffled, never the tokens of every document. A few blocks
-   make a group, and the one shuffle by group serves all later steps.
-2. The distinct units of a group are exploded into substrings of at most the longest piece's length and joined to the piece
-   table on equality. That gives the edges of each unit's lattice; a character that no piece holds gets an edge of its own.
+   it). Each block of text numbers its distinct units; only those are shuffled, never the tokens of every document, and as
+   strings of `LISTED` units. The one shuffle by string serves all steps up to the paths.
+2. The units are exploded into substrings of at most the longest piece's length and joined to the piece table on equality. That
+   gives the edges of each unit's lattice; a character that no piece holds gets an edge of its own.
 3. Edges are grouped by unit and folded in order of their ends with Spark's higher-order aggregate (Viterbi): best score up to
    each place and the edge that reached it; of equal scores the one with the longer last piece wins. A second fold walks back.
 4. Each block gets the ids of its units and spells its documents; unknown characters become byte pieces.
 
 The segmentation is the one of the best total score, which the sentencepiece library gives when it treats the same piece file
 as a unigram model. Units of more than `LONG` characters would make one array of edges too large, so a block's task runs the
-same recursion on them in Python.
+same recursion on them in Python and notes their ids in place of numbers.
 
 Null texts count as empty and have no ids. Rows with null or repeated ids are kept apart by their place. Decoding joins pieces,
 turns the space mark into a space, and drops the space put before the text; a text that holds the mark itself does not come back.
@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +36,10 @@ from ringsight.session import materialize
 
 MARK = "▁"
 LONG = 512
+LISTED = 1000
+DIRECT = 1 << 31
+#: Tasks for the lattices, as a multiple of the shuffle partitions: the edges of a task must fit its memory.
+SPREAD = 8
 BLOCK_CHARS = 1 << 24
 _FINE_RUNS = re.compile(f"{MARK}*[^\\W\\d_{MARK}]+|{MARK}*(?:[\\W\\d_](?<!{MARK}))+|{MARK}+")
 _COARSE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -120,15 +124,15 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
         return materialize(docs.select(*columns), "piece-texts").select("key", "text", *place)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool) -> Iterator[pa.RecordBatch]:
-    """Number the units of each block in order of appearance; yield the units, or the documents as numbers."""
+def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, long_ids: Callable[[str], list[int]]) -> Iterator[pa.RecordBatch]:
+    """Number the units of each block in order of appearance; yield them, or the documents as numbers (from `DIRECT` on: ids)."""
     here, block, chars, part, numbers = None, 0, 0, 0, {}
 
     def listed() -> Iterator[pa.RecordBatch]:
         # units hold no spaces; long strings of them are far smaller in a shuffle than rows
         names = list(numbers)
-        first = range(0, len(names), 1000)
-        joined = [" ".join(names[i : i + 1000]) for i in first]
+        first = range(0, len(names), LISTED)
+        joined = [" ".join(names[i : i + LISTED]) for i in first]
         yield pa.RecordBatch.from_arrays([pa.array([block] * len(joined), pa.int64()), pa.array(first, pa.int32()), pa.array(joined, pa.string())], ["block", "first", "units"])
 
     for batch in batches:
@@ -143,7 +147,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool) ->
                 block = int.from_bytes(hashlib.blake2b(f"{path}\n{at}\n{part}".encode(), digest_size=8).digest(), "little", signed=True)
             chars += len(text) + 1
             units = cut.findall(MARK + text.replace(" ", MARK)) if text else []
-            order = np.fromiter((numbers.setdefault(u, len(numbers)) for u in units), np.uint32, len(units))
+            if units and max(map(len, units)) > LONG:
+                found = ([DIRECT + i for i in long_ids(u)] if len(u) > LONG else [numbers.setdefault(u, len(numbers))] for u in units)
+                order = np.array([i for x in found for i in x], np.uint32)
+            else:
+                order = np.fromiter((numbers.setdefault(u, len(numbers)) for u in units), np.uint32, len(units))
             if not words:
                 out[0].append(block)
                 out[1].append(zlib.compress(order.view(np.uint8).reshape(-1, 4).T.tobytes(), 1))
@@ -155,29 +163,24 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool) ->
 
 
 def lattice(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
-    """keys, start, end, score, id: every piece at every place of the distinct units, by an equi-join.
-
-    Of a unit above `LONG` only the first place is there.
-    """
+    """keys, start, end, score, id: every piece at every place of the units, by an equi-join."""
     table = F.broadcast(pieces.table(units.sparkSession))  # as large as the model file, whatever the corpus
     length = F.char_length("unit")
-    places = F.when(length > LONG, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), length - 1))
-    starts = units.select(*keys, F.explode(places).alias("start"))
-    most = F.when(length > LONG, F.lit(1)).otherwise(F.least(F.lit(pieces.longest), length - F.col("start")))
-    parts = starts.select(*keys, "start", F.explode(F.sequence(F.lit(1), most)).alias("n"))
-    parts = parts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("n")))
-    edges = parts.join(table, "piece", "left").where("id is not null or n = 1")
+    starts = units.select("*", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
+    most = F.least(F.lit(pieces.longest), length - F.col("start"))
+    parts = starts.select("*", F.explode(F.sequence(F.lit(1), most)).alias("size"))
+    parts = parts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")))
+    edges = parts.join(table, "piece", "left").where("id is not null or size = 1")
     return edges.select(
-        *keys, "start", (F.col("start") + F.col("n")).alias("end"),
+        *keys, "start", (F.col("start") + F.col("size")).alias("end"),
         F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"),
         F.coalesce("id", -F.ascii("piece")).alias("id"),
     )
 
 
-def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
-    """by, carried, ids: the best path of each unit's edges."""
-    found = F.sort_array(F.collect_list(F.struct("end", "start", "score", "id")))
-    grouped = edges.groupBy(*by).agg(found.alias("edges"), F.first(carried).alias(carried))
+def viterbi(edges: DataFrame, by: list[str]) -> DataFrame:
+    """by, ids: the best path of each unit's edges."""
+    grouped = edges.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("end", "start", "score", "id"))).alias("edges"))
     state = "array<struct<score:double,start:int,id:int>>"
 
     def step(best, edge):
@@ -187,7 +190,7 @@ def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
         return F.when(first, F.concat(best, F.array(here))).when(better, F.concat(F.slice(best, 1, edge["end"]), F.array(here))).otherwise(best)
 
     zero = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(-1).alias("id"))).cast(state)
-    best = grouped.select(*by, carried, F.aggregate("edges", zero, step).alias("best"))
+    best = grouped.select(*by, F.aggregate("edges", zero, step).alias("best"))
     begin = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def back(path, _):
@@ -197,7 +200,7 @@ def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
         )
 
     walk = F.aggregate(F.sequence(F.lit(1), F.size("best") - 1), begin, back)
-    return best.select(*by, carried, F.reverse(walk["ids"]).alias("ids"))
+    return best.select(*by, F.reverse(walk["ids"]).alias("ids"))
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,43 +208,48 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     pieces = load_pieces(model)
     scan, cut = _scan(docs, key, text), pieces.pattern
     kind = docs.schema[key].dataType.simpleString()
-    # a group of blocks shares a shuffle partition, and a unit that several of them hold is segmented once
-    group = F.pmod(F.xxhash64("block"), F.lit(max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)))
-    listed = scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True), "block long, first int, units string")
-    dealt = listed.select(group.alias("part"), "block", "first", "units").repartition("part")
-    rows = dealt.select("part", "block", "first", F.posexplode(F.split("units", " ")).alias("n", "unit"))
-    places = F.collect_list(F.struct("block", (F.col("first") + F.col("n")).alias("number"))).alias("places")  # one per block
-    units = rows.groupBy("part", "unit").agg(places)
-    spelled = viterbi(lattice(units, pieces, ["part", "unit", "places"]), ["part", "unit"], "places")
-    long = F.when(F.char_length("unit") > LONG, F.col("unit"))
-    found = spelled.select("part", F.explode("places").alias("p"), "ids", long.alias("unit")).select("part", "p.block", "p.number", "ids", "unit")
-    numbered = scan.mapInArrow(
-        lambda x: _blocks(x, re.compile(cut), False), f"key {kind}, block long, numbers binary, crc long"
-    ).withColumn("part", group)
-    scores = {n: (s, i) for n, s, i in zip(pieces.names, pieces.scores, pieces.ids, strict=True)}
+    scores = {n: (v, i) for n, v, i in zip(pieces.names, pieces.scores, pieces.ids, strict=True)}
     longest, unknown, byte_ids, unk, surfaces = pieces.longest, pieces.unknown_score, pieces.byte_ids, pieces.unknown, pieces.surfaces()
 
-    def spell(rows: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
-        by_block = dict(tuple(names.groupby("block")))
-        parts = [spell_block(own, by_block.get(block, names[:0])) for block, own in rows.groupby("block")]
-        return pd.concat(parts)
-
-    def spell_block(rows: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
-        names = names.sort_values("number")
-        table = []
-        for ids, unit in zip(names["ids"], names["unit"], strict=True):
-            ids = segment(unit, scores, longest, unknown) if isinstance(unit, str) else ids.tolist()
-            if min(ids) < 0:  # unknown characters
-                spelled_out = ([byte_ids[b] for b in chr(-i).encode("utf-8", "surrogatepass")] if byte_ids else [unk] for i in ids if i < 0)
-                ids = [j for i in ids for j in ([i] if i >= 0 else next(spelled_out))]
-            table.append(ids)
-        sizes = np.array([len(t) for t in table], np.int64)
-        flat = np.fromiter((i for t in table for i in t), np.int32, int(sizes.sum()))
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
+    def known(i: int) -> list[int]:
+        """A piece's id, or the byte pieces of an unknown character."""
+        if i >= 0:
+            return [i]
+        return [byte_ids[b] for b in chr(-i).encode("utf-8", "surrogatepass")] if byte_ids else [unk]
+
+    def long_ids(unit: str) -> list[int]:
+        return [j for i in segment(unit, scores, longest, unknown) for j in known(i)]
+
+    tasks = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = ["block", "first"]
+    listed = scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True, long_ids), "block long, first int, units string").repartition(tasks, *chunk)
+    # grouping by (string, unit), then by string, keeps the layout by string
+    units = listed.select(*chunk, F.posexplode(F.split("units", " ")).alias("n", "unit"))
+    paths = viterbi(lattice(units, pieces, [*chunk, "n"]), [*chunk, "n"])
+    spelled = paths.groupBy(*chunk).agg(F.sort_array(F.collect_list(F.struct("n", "ids"))).alias("u"))
+    spelled = spelled.select(*chunk, F.transform("u.ids", lambda i: F.size(i).cast("short")).alias("sizes"), F.flatten("u.ids").alias("ids"))
+    numbered = scan.mapInArrow(
+        lambda x: _blocks(x, re.compile(cut), False, long_ids), f"key {kind}, block long, numbers binary, crc long"
+    )
+
+    def spell(rows: pd.DataFrame, strings: pd.DataFrame) -> pd.DataFrame:
+        strings = strings.sort_values("first")
+        sizes = np.concatenate([*strings["sizes"], np.empty(0, np.int16)]).astype(np.int64)
+        flat = np.concatenate([*strings["ids"], np.empty(0, np.int32)]).astype(np.int32)
+        if (flat < 0).any():  # unknown characters
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            spelled_out = [known(i) for i in flat.tolist()]
+            owner = np.repeat(owner, [len(x) for x in spelled_out])
+            sizes, flat = np.bincount(owner, minlength=len(sizes)), np.array([i for x in spelled_out for i in x], np.int32)
+        # ids noted in place of numbers follow the units in the same table
+        first = np.concatenate((np.cumsum(sizes) - sizes, len(flat) + np.arange(len(surfaces))))
+        sizes, flat = np.concatenate((sizes, np.ones(len(surfaces), np.int64))), np.concatenate((flat, np.arange(len(surfaces), dtype=np.int32)))
+        units = len(sizes) - len(surfaces)
         out = []
         for data in rows["numbers"]:
             raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T
             order = np.ascontiguousarray(raw).view(np.uint32).ravel().astype(np.int64)
+            order = np.where(order >= DIRECT, order - DIRECT + units, order)
             n = sizes[order] if len(order) else order
             shift = np.repeat(first[order] - (np.cumsum(n) - n), n) if len(order) else order
             out.append(flat[shift + np.arange(len(shift))] if len(shift) else np.empty(0, np.int32))
@@ -249,6 +257,6 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         same = [zlib.crc32(t.encode("utf-8", "surrogatepass")) == c for t, c in zip(texts, rows["crc"], strict=True)]
         return pd.DataFrame({key: rows["key"], "ids": out, "decoded": texts, "lossless": same})
 
-    return numbered.groupBy("part").cogroup(found.groupBy("part")).applyInPandas(
+    return numbered.groupBy("block").cogroup(spelled.groupBy("block")).applyInPandas(
         spell, f"`{key}` {kind}, ids array<int>, decoded string, lossless boolean"
     )
