@@ -65,8 +65,6 @@ class Settings:
     pair_group_limit: int = 1_000
     members_per_row: int = 10_000
     hub_salts: int = 64
-    community_rounds: int = 16
-    community_levels: int = 6
     community_tolerance: float = 1e-7
 
     @property

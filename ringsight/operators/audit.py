@@ -62,8 +62,8 @@ def log_entries(fused: DataFrame, layer1: DataFrame, scored: DataFrame) -> DataF
 
 
 def audit_trail(log: DataFrame, txn_id: str) -> DataFrame:
-    """The first entry of a transaction, or no row."""
-    return log.where(F.col("txn_id") == txn_id).orderBy("timestamp").limit(1)
+    """The first entry of a transaction, or no row; of entries at one time the least by action and text."""
+    return log.where(F.col("txn_id") == txn_id).orderBy("timestamp", "action_taken", "explanation").limit(1)
 
 
 def cluster_history(log: DataFrame, cluster_id: str) -> DataFrame:

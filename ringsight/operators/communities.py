@@ -1,10 +1,12 @@
 """Split large components into communities by modularity, for all of them at once.
 
 A synchronous Louvain over DataFrames. In a round every node weighs the neighbouring communities with one join and one
-grouped sum; about half of the nodes, chosen by a hash of node and round, may move, which keeps two neighbours from swapping
-places for ever (all of them while only few want to). A component whose modularity fell goes back to its best assignment, so the result never gets worse from
-round to round. When no round helps any more, communities become the nodes of the next level. The driver reads single
-numbers only. Gains are rounded before they are compared, so the result does not depend on the order of additions.
+grouped sum; about half of the nodes, chosen by a hash of the node's name and the round, may move, which keeps two neighbours
+from swapping places for ever (all of them while only few of the component want to). A component whose modularity fell goes back
+to its best assignment, so the result never gets worse from round to round. A component stops by itself, when no round helps any
+more, and then leaves the loop; its communities become the nodes of the next level. Levels end when nothing merges. The driver
+reads single numbers only. Gains are rounded before they are compared and ids keep the order of names, so the result depends
+neither on the order of additions, nor on the partitions, nor on the other components.
 """
 
 from __future__ import annotations
@@ -48,8 +50,9 @@ def communities(edges: DataFrame, members: DataFrame, cfg: Settings = DEFAULT) -
         place = place.join(known, name)
     place = place.select("account_id", F.col("comp_id").alias("comp"), F.col("node_id").alias("node"))
 
-    for _ in range(cfg.community_levels):
-        settled = _settle(links, loops, cfg)
+    hashes = ids.select(F.col("id").alias("u"), F.xxhash64("name").alias("h"))
+    while True:
+        settled = _settle(links, loops, hashes, cfg)
         moved = settled.select("u", F.col("best").alias("c"), "q")
         # a component in which no split beats one single group stays one group
         target = F.when(F.col("q") < 0, F.col("comp")).otherwise(F.coalesce("c", "node"))
@@ -68,33 +71,30 @@ def communities(edges: DataFrame, members: DataFrame, cfg: Settings = DEFAULT) -
     return place.join(names, ["comp", "node"]).select("account_id", "cluster_id")
 
 
-def _settle(links: DataFrame, loops: DataFrame, cfg: Settings) -> DataFrame:
+def _settle(links: DataFrame, loops: DataFrame, hashes: DataFrame, cfg: Settings) -> DataFrame:
     """(comp, u, best, q, ...): the best assignment found for the nodes of one level, and its modularity per component."""
-    degrees = links.groupBy("comp", "u").agg(F.sum("w").alias("k")).join(loops, "u", "left")
+    degrees = links.groupBy("comp", "u").agg(F.sum("w").alias("k")).join(loops, "u", "left").join(hashes, "u")
     loop = F.coalesce("loop", F.lit(0.0))
     nodes = materialize(
-        degrees.select("comp", "u", (F.col("k") + 2 * loop).alias("k"), loop.alias("loop")), "community-nodes"
+        degrees.select("comp", "u", "h", (F.col("k") + 2 * loop).alias("k"), loop.alias("loop")), "community-nodes"
     )
     volumes = nodes.groupBy("comp").agg(F.sum("k").alias("m2"))
-    start = {"c": F.col("u"), "best": F.col("u"), "q": F.lit(float("-inf"))}
+    start = {"c": F.col("u"), "best": F.col("u"), "q": F.lit(float("-inf")), "idle": F.lit(0), "few": F.lit(False)}
     state = materialize(nodes.join(volumes, "comp").withColumns(start), "community-state")
 
-    idle, few = 0, False
-    for number in range(cfg.community_rounds):
-        # when few nodes want to move, neighbours seldom swap: let all of them, until a round brings nothing
-        state = _round(links, state, number, halves=1 if few and idle == 0 else 2)
-        counts = state.agg(
-            F.sum("gained"), F.count_if(F.col("wants")), F.count_if(F.col("c") != F.col("best")), F.count(F.lit(1))
-        ).first()
-        improved, restless, pending = counts[0] or 0.0, counts[1], counts[2]
-        few = restless * 10 < counts[3]
-        idle = 0 if improved > cfg.community_tolerance else idle + 1
-        if (restless == 0 and pending == 0) or idle >= 4:
-            break
-    return state
+    settled, number = None, 0
+    while True:
+        state = _round(links, state, number, cfg)
+        left, all_rows = state.agg(F.count_if(~F.col("done")), F.count(F.lit(1))).first()
+        if left < all_rows:
+            ended = state.where("done").drop("done")
+            settled = ended if settled is None else settled.unionByName(ended)
+        if not left:
+            return settled
+        state, number = state.where("not done").drop("done"), number + 1
 
 
-def _round(links: DataFrame, state: DataFrame, number: int, halves: int) -> DataFrame:
+def _round(links: DataFrame, state: DataFrame, number: int, cfg: Settings) -> DataFrame:
     m2, k = F.col("m2"), F.col("k")
     totals = state.groupBy("comp", "c").agg(F.sum("k").alias("total"))
 
@@ -108,7 +108,7 @@ def _round(links: DataFrame, state: DataFrame, number: int, halves: int) -> Data
         toward.join(state.withColumnRenamed("c", "own"), "u")
         .join(totals.select("c", "total"), "c")
         .withColumn("gain", gain)
-        .groupBy("comp", "u", "k", "loop", "m2", "own", "best", "q")
+        .groupBy("comp", "u", "h", "k", "loop", "m2", "own", "best", "q", "idle", "few")
         .agg(
             F.min(F.struct((-F.col("gain")).alias("loss"), "c")).alias("top"),
             F.max(F.when(mine, F.col("gain"))).alias("own_gain"),
@@ -127,25 +127,36 @@ def _round(links: DataFrame, state: DataFrame, number: int, halves: int) -> Data
     )
 
     wants = -F.col("top.loss") > F.col("own_gain")
-    awake = F.pmod(F.xxhash64("u", F.lit(number)), F.lit(halves)) == 0
+    # when few nodes of a component want to move, neighbours seldom swap: let all of them, until a round brings nothing
+    awake = (F.col("few") & (F.col("idle") == 0)) | (F.pmod(F.xxhash64("h", F.lit(number)), F.lit(2)) == 0)
     fell = F.col("q_now") < F.col("q")
     first = F.col("q") == float("-inf")
     gained = F.when(first, 1.0).otherwise(F.greatest(F.col("q_now") - F.col("q"), F.lit(0.0)))
-    return materialize(
+    moved = materialize(
         wishes.join(quality, "comp").select(
             "comp",
             "u",
+            "h",
             "k",
             "loop",
             "m2",
             F.when(fell, F.col("best")).when(wants & awake, F.col("top.c")).otherwise(F.col("own")).alias("c"),
             F.when(fell, F.col("best")).otherwise(F.col("own")).alias("best"),
             F.greatest("q", "q_now").alias("q"),
+            "idle",
             gained.alias("gained"),
             (wants | fell).alias("wants"),
         ),
-        "community-state",
+        "community-moves",
+    )
+    idle = F.when(F.max("gained") > cfg.community_tolerance, 0).otherwise(F.max("idle") + 1)
+    restless, pending = F.count_if(F.col("wants")), F.count_if(F.col("c") != F.col("best"))
+    status = moved.groupBy("comp").agg(
+        idle.alias("idle"),
+        (restless * 10 < F.count(F.lit(1))).alias("few"),
+        (((restless == 0) & (pending == 0)) | (idle >= 4)).alias("done"),
     )
+    return materialize(moved.drop("idle", "gained", "wants").join(status, "comp"), "community-state")
 
 
 def _contract(links: DataFrame, loops: DataFrame, moved: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -45,12 +45,13 @@ def find(transactions: DataFrame, cfg: Settings) -> DataFrame | None:
 
 
 def tag(transactions: DataFrame, long: DataFrame, averages: DataFrame, cfg: Settings) -> DataFrame:
-    """Rows of long accounts with their segment, the account average and its first amount.
+    """Rows of long accounts with their segment, the account average and its first amount that is known.
 
     Amounts are measured from the first one before they are squared, so equal amounts have a spread of exactly zero.
     """
     joined = transactions.join(hint(long, cfg.broadcast_rows), "account_id").withColumn("us", micros(F.col("timestamp")))
-    first = joined.groupBy("account_id").agg(F.min_by("amount", F.struct("us", "txn_id")).alias("first_amount"))
+    known = F.when(F.col("amount").isNotNull(), F.struct("us", "txn_id"))
+    first = joined.groupBy("account_id").agg(F.min_by("amount", known).alias("first_amount"))
     about = materialize(
         long.join(averages, "account_id", "left").join(first, "account_id", "left"), "long-account-facts"
     )

@@ -1,3 +1,4 @@
+import random
 from datetime import timedelta
 from itertools import combinations
 
@@ -49,6 +50,30 @@ def test_same_communities_for_any_partitioning(spark, cliques):
     assert groups(communities.refine(edges.repartition(13), comps.repartition(5))) == want
 
 
+def test_communities_depend_on_neither_layout_nor_other_components(spark):
+    rng = random.Random(11)
+    names = [f"n{k:03d}" for k in rng.sample(range(1000), 150)]
+    links_ = {(min(a, b), max(a, b)): rng.choice([1.0, 1.5, 2.0]) for a, b in (rng.sample(names[:90], 2) for _ in range(260))}
+    links_ |= {(min(a, b), max(a, b)): 1.0 for a, b in (rng.sample(names[90:], 2) for _ in range(150))}
+    edges = edge_frame(spark, [(a, b, w) for (a, b), w in links_.items()])
+    first, second = min(names[:90]), min(names[90:])  # a component is named by its smallest account
+    mapping = [(n, first) for n in names[:90]] + [(n, second) for n in names[90:]]
+    comps = spark.createDataFrame(mapping, "account_id string, cluster_id string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = []
+        for n in (1, 4, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(groups(communities.refine(edges.repartition(n), comps.repartition(n))))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert found[0] == found[1] == found[2] and len(found[0]) > 4
+    alone = groups(communities.refine(edges, comps.where(F.col("cluster_id") == first)))
+    assert alone == {k: v for k, v in found[0].items() if v <= set(names[:90])}
+
+
 def test_a_clique_stays_one_group(spark):
     comps = spark.createDataFrame([(n, "a0") for n in A], "account_id string, cluster_id string")
     assert groups(communities.refine(edge_frame(spark, clique(A)), comps)) == {"a0": set(A)}

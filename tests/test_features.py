@@ -124,3 +124,11 @@ def test_plan_shuffles_transactions_once(spark, threshold):
     assert 1 <= len(exchanges) <= 2  # transactions, and accounts unless they are broadcast
     assert all(re.search(r"hashpartitioning\(account_id#\d+, \d+\)", line) for line in exchanges)
     assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("cfg", [ONE_TASK, SEGMENTS], ids=["whole", "segments"])
+def test_unknown_amounts_do_not_hide_the_spread(spark, cfg):
+    amounts = [None, 10.0, 20.0, 40.0, 80.0, 160.0]
+    rows = [transaction(f"t{i}", "a", START + timedelta(hours=i), x) for i, x in enumerate(amounts)]
+    got = {r["txn_id"]: r["amount_zscore"] for r in scored(spark, [account("a")], rows, cfg).collect()}
+    assert [round(got[f"t{i}"], 4) for i in (3, 4, 5)] == [-8.4853, -1.3093, 1.9382]
