@@ -26,6 +26,7 @@ HEADLINES = (
     "evaluation_table",
     "live_action_totals",
     "account_communities",
+    "model_evaluation",
 )
 
 

@@ -59,6 +59,9 @@ class Settings:
     block_threshold: float = 0.85
     review_threshold: float = 0.5
 
+    # the one bound on data: labelled rows used to fit the model
+    training_rows: int = 5_000_000
+
     # physical limits: none of them changes a result, they only pick the plan
     account_rows_per_task: int = 2_000_000
     broadcast_rows: int = 200_000

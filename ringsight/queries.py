@@ -328,6 +328,23 @@ def model_probabilities(spark, sf_dir):
     return scored.select("txn_id", "label_fraud", _r6("probability"))
 
 
+@query
+def model_checks(spark, sf_dir):
+    """Held-out rows by label, and whether their probabilities are within [0, 1] and the same from a saved model."""
+    run = _run(spark, sf_dir, BatchRun)
+    path = _scratch(spark, "model")
+    tables.save_model(run.model, path)
+    _, held_out = model.split(run.features)
+    fresh = model.with_probability(held_out, run.model).select("txn_id", "label_fraud", "probability")
+    saved = model.with_probability(held_out, tables.load_model(path)).select("txn_id", F.col("probability").alias("again"))
+    same = F.coalesce(F.col("probability") == F.col("again"), F.lit(False))
+    return fresh.join(saved, "txn_id", "left").groupBy("label_fraud").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(F.col("probability").between(0, 1)).alias("within_range"),
+        F.bool_and(same).alias("same_when_loaded"),
+    )
+
+
 @query
 def model_scores(spark, sf_dir):
     return _run(spark, sf_dir, BatchRun).layer1.select(
@@ -435,6 +452,28 @@ def community_modularity(spark, sf_dir):
     return found.select(F.col("comp").alias("component"), _r6("modularity"))
 
 
+@query
+def community_checks(spark, sf_dir):
+    """Per component: its accounts, those that communities cover, communities that leave it, and that the split is no worse."""
+    run = _run(spark, sf_dir, BatchRun)
+    place = run.components.select("account_id", F.col("cluster_id").alias("component"))
+    both = place.join(run.mapping, "account_id", "left")
+    parts = both.groupBy("cluster_id").agg(F.count_distinct("component").alias("n"))
+    counts = (
+        both.join(parts, "cluster_id", "left")
+        .groupBy("component")
+        .agg(
+            F.count(F.lit(1)).alias("accounts"),
+            F.count("cluster_id").alias("covered"),
+            F.count_if(F.col("n") > 1).alias("astray"),
+        )
+    )
+    quality = communities.modularity(run.edges, run.mapping, run.components)
+    return counts.join(quality, counts["component"] == quality["comp"], "left").select(
+        "component", "accounts", "covered", "astray", (F.coalesce("modularity", F.lit(0.0)) >= -1e-9).alias("no_worse")
+    )
+
+
 @query
 def cluster_of_account(spark, sf_dir):
     return components.cluster_of(_run(spark, sf_dir).mapping, "a1")
