@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 1. Texts are cut into units that no piece can cross (a run of the space mark with the letters, or the other characters, after
-   it). Each block of text numbers its distinct units; only those are shuffled, never the tokens of every document, and as
-   strings of `LISTED` units. The one shuffle by string serves all steps up to the paths.
-2. The units are exploded into substrings of at most the longest piece's length and joined to the piece table on equality. That
-   gives the edges of each unit's lattice; a character that no piece holds gets an edge of its own.
+   it). Each block of text numbers its distinct units; only those are shuffled, never the tokens of every document: by buckets of
+   a unit's hash, a block's units of a bucket in one string. The one shuffle by bucket serves all steps up to the paths.
+2. The distinct units are exploded into substrings of at most the longest piece's length and joined to the piece table on
+   equality. That gives the edges of each unit's lattice; a character that no piece holds gets an edge of its own.
 3. Edges are grouped by unit and folded in order of their ends with Spark's higher-order aggregate (Viterbi): best score up to
    each place and the edge that reached it; of equal scores the one with the longer last piece wins. A second fold walks back.
 4. Each block gets the ids of its units and spells its documents; unknown characters become byte pieces.
@@ -36,10 +36,9 @@ from ringsight.session import materialize
 
 MARK = "▁"
 LONG = 512
-LISTED = 1000
 DIRECT = 1 << 31
-#: Tasks for the lattices, as a multiple of the shuffle partitions: the edges of a task must fit its memory.
-SPREAD = 8
+#: Buckets of units, as a multiple of the shuffle partitions: the edges of a task must fit its memory.
+SPREAD = 4
 BLOCK_CHARS = 1 << 24
 _FINE_RUNS = re.compile(f"{MARK}*[^\\W\\d_{MARK}]+|{MARK}*(?:[\\W\\d_](?<!{MARK}))+|{MARK}+")
 _COARSE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -124,24 +123,32 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
         return materialize(docs.select(*columns), "piece-texts").select("key", "text", *place)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, long_ids: Callable[[str], list[int]]) -> Iterator[pa.RecordBatch]:
-    """Number the units of each block in order of appearance; yield them, or the documents as numbers (from `DIRECT` on: ids)."""
+def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, long_ids: Callable[[str], list[int]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Number the units of each block in order of appearance; yield them, or the documents as numbers (from `DIRECT` on: ids).
+
+    After a block's documents comes a row with the buckets of its units in order; its crc is -1.
+    """
     here, block, chars, part, numbers = None, 0, 0, 0, {}
 
-    def listed() -> Iterator[pa.RecordBatch]:
+    def listed(kind: pa.DataType) -> pa.RecordBatch:
+        where = np.fromiter((zlib.crc32(u.encode("utf-8", "surrogatepass")) % buckets for u in numbers), np.uint32, len(numbers))
+        if not words:
+            row = [pa.nulls(1, kind), pa.array([block], pa.int64()), pa.array([zlib.compress(where.tobytes(), 1)], pa.binary()), pa.array([-1], pa.int64())]
+            return pa.RecordBatch.from_arrays(row, ["key", "block", "numbers", "crc"])
         # units hold no spaces; long strings of them are far smaller in a shuffle than rows
-        names = list(numbers)
-        first = range(0, len(names), LISTED)
-        joined = [" ".join(names[i : i + LISTED]) for i in first]
-        yield pa.RecordBatch.from_arrays([pa.array([block] * len(joined), pa.int64()), pa.array(first, pa.int32()), pa.array(joined, pa.string())], ["block", "first", "units"])
+        names, order = list(numbers), np.argsort(where, kind="stable")
+        own, first = np.unique(where[order], return_index=True)
+        joined = [" ".join([names[i] for i in x]) for x in np.split(order, first[1:])]
+        row = [pa.array([block] * len(own), pa.int64()), pa.array(own.astype(np.int32)), pa.array(joined, pa.string())]
+        return pa.RecordBatch.from_arrays(row, ["block", "bucket", "units"])
 
     for batch in batches:
         keys, out = batch.column(0), ([], [], [])
         for value, path, at in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             text = value.as_py()
             if here != (path, at) or chars > BLOCK_CHARS:
-                if words and numbers:
-                    yield from listed()
+                if numbers:
+                    yield listed(keys.type)
                 part = part + 1 if here == (path, at) else 0
                 here, chars, numbers = (path, at), 0, {}
                 block = int.from_bytes(hashlib.blake2b(f"{path}\n{at}\n{part}".encode(), digest_size=8).digest(), "little", signed=True)
@@ -158,12 +165,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, lon
                 out[2].append(zlib.crc32(text.encode("utf-8", "surrogatepass")))
         if not words:
             yield pa.RecordBatch.from_arrays([keys, pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())], ["key", "block", "numbers", "crc"])
-    if words and numbers:
-        yield from listed()
+    if numbers:
+        yield listed(keys.type)
 
 
-def lattice(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
-    """keys, start, end, score, id: every piece at every place of the units, by an equi-join."""
+def lattice(units: DataFrame, pieces: Pieces, keys: list[str], carried: str) -> DataFrame:
+    """keys, carried, start, end, score, id: every piece at every place of the units, by an equi-join."""
     table = F.broadcast(pieces.table(units.sparkSession))  # as large as the model file, whatever the corpus
     length = F.char_length("unit")
     starts = units.select("*", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
@@ -171,26 +178,32 @@ def lattice(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
     parts = starts.select("*", F.explode(F.sequence(F.lit(1), most)).alias("size"))
     parts = parts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")))
     edges = parts.join(table, "piece", "left").where("id is not null or size = 1")
+    # what a unit carries along stands on its first edge only
     return edges.select(
-        *keys, "start", (F.col("start") + F.col("size")).alias("end"),
+        *keys, F.when((F.col("start") == 0) & (F.col("size") == 1), F.col(carried)).alias(carried), "start", (F.col("start") + F.col("size")).alias("end"),
         F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"),
         F.coalesce("id", -F.ascii("piece")).alias("id"),
     )
 
 
-def viterbi(edges: DataFrame, by: list[str]) -> DataFrame:
-    """by, ids: the best path of each unit's edges."""
-    grouped = edges.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("end", "start", "score", "id"))).alias("edges"))
+def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
+    """by, carried, ids: the best path of each unit's edges."""
+    found = F.sort_array(F.collect_list(F.struct("end", "start", "score", "id")))
+    grouped = edges.groupBy(*by).agg(found.alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
     state = "array<struct<score:double,start:int,id:int>>"
 
     def step(best, edge):
         here = F.struct((best[edge["start"]]["score"] + edge["score"]).alias("score"), edge["start"].alias("start"), edge["id"].alias("id"))
-        first = F.size(best) == edge["end"]
-        better = here["score"] > F.element_at(best, -1)["score"]
-        return F.when(first, F.concat(best, F.array(here))).when(better, F.concat(F.slice(best, 1, edge["end"]), F.array(here))).otherwise(best)
+
+        def kept(h):
+            new = F.size(best) == edge["end"]
+            better = new | (h["score"] > F.element_at(best, -1)["score"])
+            return F.when(better, F.concat(F.when(new, best).otherwise(F.slice(best, 1, edge["end"])), F.array(h))).otherwise(best)
+
+        return F.transform(F.array(here), kept)[0]  # so that it is computed once
 
     zero = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(-1).alias("id"))).cast(state)
-    best = grouped.select(*by, F.aggregate("edges", zero, step).alias("best"))
+    best = grouped.select(*by, carried, F.aggregate("edges", zero, step).alias("best"))
     begin = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def back(path, _):
@@ -200,7 +213,7 @@ def viterbi(edges: DataFrame, by: list[str]) -> DataFrame:
         )
 
     walk = F.aggregate(F.sequence(F.lit(1), F.size("best") - 1), begin, back)
-    return best.select(*by, F.reverse(walk["ids"]).alias("ids"))
+    return best.select(*by, carried, F.reverse(walk["ids"]).alias("ids"))
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -220,20 +233,26 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     def long_ids(unit: str) -> list[int]:
         return [j for i in segment(unit, scores, longest, unknown) for j in known(i)]
 
-    tasks = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunk = ["block", "first"]
-    listed = scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True, long_ids), "block long, first int, units string").repartition(tasks, *chunk)
-    # grouping by (string, unit), then by string, keeps the layout by string
-    units = listed.select(*chunk, F.posexplode(F.split("units", " ")).alias("n", "unit"))
-    paths = viterbi(lattice(units, pieces, [*chunk, "n"]), [*chunk, "n"])
-    spelled = paths.groupBy(*chunk).agg(F.sort_array(F.collect_list(F.struct("n", "ids"))).alias("u"))
-    spelled = spelled.select(*chunk, F.transform("u.ids", lambda i: F.size(i).cast("short")).alias("sizes"), F.flatten("u.ids").alias("ids"))
+    spark = docs.sparkSession
+    buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a bucket's units are grouped in memory; the default turns to sorting after 128 of them
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
+    listed = scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True, long_ids, buckets), "block long, bucket int, units string")
+    rows = listed.repartition(buckets, "bucket").select("block", "bucket", F.posexplode(F.split("units", " ")).alias("n", "unit"))
+    # grouping by (bucket, ...) keeps the layout by bucket; a unit has one place in a block
+    units = rows.groupBy("bucket", "unit").agg(F.collect_list(F.struct("block", "n")).alias("places"))
+    paths = viterbi(lattice(units, pieces, ["bucket", "unit"], "places"), ["bucket", "unit"], "places")
+    spelled = paths.select("bucket", F.explode("places").alias("p"), "ids").groupBy("bucket", "p.block")
+    spelled = spelled.agg(F.sort_array(F.collect_list(F.struct("p.n", "ids"))).alias("u")).select(
+        "block", "bucket", F.transform("u.ids", lambda i: F.size(i).cast("short")).alias("sizes"), F.flatten("u.ids").alias("ids")
+    )
     numbered = scan.mapInArrow(
-        lambda x: _blocks(x, re.compile(cut), False, long_ids), f"key {kind}, block long, numbers binary, crc long"
+        lambda x: _blocks(x, re.compile(cut), False, long_ids, buckets), f"key {kind}, block long, numbers binary, crc long"
     )
 
     def spell(rows: pd.DataFrame, strings: pd.DataFrame) -> pd.DataFrame:
-        strings = strings.sort_values("first")
+        listing, rows = rows[rows["crc"] < 0], rows[rows["crc"] >= 0]
+        strings = strings.sort_values("bucket")
         sizes = np.concatenate([*strings["sizes"], np.empty(0, np.int16)]).astype(np.int64)
         flat = np.concatenate([*strings["ids"], np.empty(0, np.int32)]).astype(np.int32)
         if (flat < 0).any():  # unknown characters
@@ -241,9 +260,14 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
             spelled_out = [known(i) for i in flat.tolist()]
             owner = np.repeat(owner, [len(x) for x in spelled_out])
             sizes, flat = np.bincount(owner, minlength=len(sizes)), np.array([i for x in spelled_out for i in x], np.int32)
+        # from the order by bucket to the block's numbers
+        where = np.frombuffer(zlib.decompress(listing["numbers"].iloc[0]), np.uint32) if len(listing) else np.empty(0, np.uint32)
+        place = np.empty(len(sizes), np.int64)
+        place[np.argsort(where, kind="stable")] = np.arange(len(sizes))
+        starts = np.cumsum(sizes) - sizes
         # ids noted in place of numbers follow the units in the same table
-        first = np.concatenate((np.cumsum(sizes) - sizes, len(flat) + np.arange(len(surfaces))))
-        sizes, flat = np.concatenate((sizes, np.ones(len(surfaces), np.int64))), np.concatenate((flat, np.arange(len(surfaces), dtype=np.int32)))
+        first = np.concatenate((starts[place], len(flat) + np.arange(len(surfaces))))
+        sizes, flat = np.concatenate((sizes[place], np.ones(len(surfaces), np.int64))), np.concatenate((flat, np.arange(len(surfaces), dtype=np.int32)))
         units = len(sizes) - len(surfaces)
         out = []
         for data in rows["numbers"]:
