@@ -5,7 +5,7 @@
    a unit's hash, a block's units of a bucket in one string. The one shuffle by bucket serves all steps up to the paths.
 2. The distinct units are exploded into substrings of at most the longest piece's length and joined to the piece table on
    equality. That gives the edges of each unit's lattice; a character that no piece holds gets an edge of its own.
-3. Edges are grouped by unit and folded in order of their ends with Spark's higher-order aggregate (Viterbi): best score up to
+3. Edges are grouped by unit and the places of the unit folded with Spark's higher-order aggregate (Viterbi): best score up to
    each place and the edge that reached it; of equal scores the one with the longer last piece wins. A second fold walks back.
 4. Each block gets the ids of its units and spells its documents; unknown characters become byte pieces.
 
@@ -190,30 +190,31 @@ def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
     """by, carried, ids: the best path of each unit's edges."""
     found = F.sort_array(F.collect_list(F.struct("end", "start", "score", "id")))
     grouped = edges.groupBy(*by).agg(found.alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
-    state = "array<struct<score:double,start:int,id:int>>"
-
-    def step(best, edge):
-        here = F.struct((best[edge["start"]]["score"] + edge["score"]).alias("score"), edge["start"].alias("start"), edge["id"].alias("id"))
-
-        def kept(h):
-            new = F.size(best) == edge["end"]
-            better = new | (h["score"] > F.element_at(best, -1)["score"])
-            return F.when(better, F.concat(F.when(new, best).otherwise(F.slice(best, 1, edge["end"])), F.array(h))).otherwise(best)
-
-        return F.transform(F.array(here), kept)[0]  # so that it is computed once
+    state = "array<struct<score:double,back:int,id:int>>"
+    every = F.col("edges")
+
+    def step(best, end):
+        """The best edge that ends here; of equal scores the one from further back."""
+        here = F.filter(every, lambda e: e["end"] == end)
+        reached = F.transform(
+            here,
+            lambda e: F.struct((best[e["start"]]["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id")),
+        )
+        return F.concat(best, F.array(F.array_max(reached)))
 
-    zero = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(-1).alias("id"))).cast(state)
-    best = grouped.select(*by, carried, F.aggregate("edges", zero, step).alias("best"))
+    zero = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id"))).cast(state)
+    ends = F.sequence(F.lit(1), F.element_at(every, -1)["end"])
+    best = grouped.select(*by, carried, F.aggregate(ends, zero, step).alias("best"))
     begin = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
-    def back(path, _):
+    def walk(path, _):
         here = F.col("best")[path["at"]]
         return F.when(path["at"] == 0, path).otherwise(
-            F.struct(here["start"].alias("at"), F.concat(path["ids"], F.array(here["id"])).alias("ids"))
+            F.struct((-here["back"]).alias("at"), F.concat(path["ids"], F.array(here["id"])).alias("ids"))
         )
 
-    walk = F.aggregate(F.sequence(F.lit(1), F.size("best") - 1), begin, back)
-    return best.select(*by, carried, F.reverse(walk["ids"]).alias("ids"))
+    path = F.aggregate(F.sequence(F.lit(1), F.size("best") - 1), begin, walk)
+    return best.select(*by, carried, F.reverse(path["ids"]).alias("ids"))
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
