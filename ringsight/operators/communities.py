@@ -89,8 +89,8 @@ def _settle(links: DataFrame, loops: DataFrame, hashes: DataFrame, cfg: Settings
         if left < all_rows:
             ended = state.where("done").drop("done")
             settled = ended if settled is None else settled.unionByName(ended)
-        if not left:
-            return settled
+        if not left:  # nothing at all where no component is large
+            return state.drop("done") if settled is None else settled
         state, number = state.where("not done").drop("done"), number + 1
 
 
