@@ -18,6 +18,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -182,7 +183,7 @@ class RunEncoder:
         parts = []
         for i in range(0, len(split), 100_000):
             piece = split[i : i + 100_000]
-            new = [r for r in set(piece) if r not in self.runs]
+            new = list(set(filterfalse(self.runs.__contains__, piece)))
             if len(self.runs) + len(new) > MEMO // 2:
                 self.runs.clear()
                 new = list(set(piece))
