@@ -237,6 +237,30 @@ def test_decontamination(spark, docs):
     assert decontaminate.find_items(whole, items.limit(0)).isEmpty() and decontaminate.find_items(whole.limit(0), items).isEmpty()
 
 
+def test_altered_items_are_found_as_by_brute_force(spark):
+    """Recall of the search against the confirmation rule at every place, for items that differ in about every fourth word."""
+    pick = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(4000)]
+    weights = [1 / (k + 3) for k in range(4000)]
+    text = lambda n: pick.choices(vocabulary, weights, k=n)
+    items = [text(pick.randrange(16, 60)) for _ in range(300)]
+    texts, want = [], set()
+    for k, item in enumerate(items):
+        other = [pick.choices(vocabulary, weights)[0] if pick.random() < 0.25 else w for w in item]
+        whole = [*text(150), *other, *text(150)]
+        texts.append((k, " ".join(whole)))
+        masks = {w: sum(1 << i for i, x in enumerate(item) if x == w) for w in item}
+        size = len(item) + max(4, len(item) // 2)
+        best = max(decontaminate.common_subsequence(item, masks, whole[a : a + size]) for a in range(len(whole) - size + 1))
+        answer = item[-decontaminate.ANSWER :]
+        there = any(whole[a : a + len(answer)] == answer for a in range(len(whole)))
+        if best >= decontaminate.COVER * len(item) or best >= decontaminate.COVER_ANSWER * len(item) and there:
+            want.add((k, k))
+    found = decontaminate.find_items(spark.createDataFrame(texts, "doc_id long, text string").repartition(4), spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert len(want) > 100 and len(got & want) >= 0.99 * len(want), (len(got & want), len(want))
+
+
 def test_quality(spark, docs):
     junk = [(1000 + k, "BUY!! NOW!! " * (k % 9 + 3)) for k in range(60)]
     good = [(2000 + k, f"the thing {k} of others is, as it was, there and on") for k in range(60)]
