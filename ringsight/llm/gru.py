@@ -7,11 +7,14 @@ log frequencies, so an untrained model is the unigram model of the symbols.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 
 HIDDEN, WINDOW, LANES = 16, 32, 128
+BLOCK = 4096  # steps laid out at once
 RATE, WARM, CLIP = 0.006, 150, 5.0
 
 
@@ -153,46 +156,58 @@ class Adam:
 
 
 def train(model: Gru, texts: Iterable[np.ndarray], pool: int = 1 << 19) -> int:
-    """One pass over symbol arrays; documents follow each other in lanes, and the state is carried between windows."""
+    """One pass over symbol arrays; documents follow each other in lanes, and the state is carried from window to window to their ends."""
     adam, seen = Adam(len(model.flat)), 0
-    for group in _pools(texts, pool):
-        lanes: list[list[np.ndarray]] = [[] for _ in range(LANES)]
-        sizes = np.zeros(LANES, np.int64)
-        for text in sorted(group, key=len, reverse=True):
+    lanes: list[deque[np.ndarray]] = [deque() for _ in range(LANES)]
+    at = [0] * LANES  # the next place in the first document of each lane
+    sizes = np.zeros(LANES, np.int64)
+    h = np.zeros((LANES, model.hidden), np.float32)
+    for group in chain(_pools(texts, pool), [None]):
+        for text in sorted(group or [], key=len, reverse=True):
             k = int(sizes.argmin())
             lanes[k].append(text)
             sizes[k] += len(text)
-        steps = -(-int(sizes.max()) // WINDOW) * WINDOW
-        y = np.zeros((steps, LANES), np.int64)
-        x = np.full((steps, LANES), model.symbols, np.int64)
-        used = np.zeros((steps, LANES), bool)
-        for k, lane in enumerate(lanes):
-            at = 0
-            for text in lane:
-                end = at + len(text)
-                y[at:end, k], x[at + 1 : end, k], used[at:end, k] = text, text[:-1], True
-                at = end
-        h = np.zeros((LANES, model.hidden), np.float32)
-        for t in range(0, steps, WINDOW):
-            w = slice(t, t + WINDOW)
-            live = used[t]  # a lane that has ended stays ended
-            if live.any():
-                fresh = x[w][:, live] == model.symbols
-                h[live] = model.learn(x[w][:, live], y[w][:, live], h[live], fresh, used[w][:, live], adam)
-                seen += int(used[w].sum())
+        # what is left in the lanes goes on with the next pool; after the last one the lanes run to their ends
+        ready = int(sizes.max()) if group is None else int(sizes.min()) // WINDOW * WINDOW
+        while ready > 0:
+            steps = -(-min(ready, BLOCK) // WINDOW) * WINDOW
+            ready -= steps
+            y = np.zeros((steps, LANES), np.int64)
+            x = np.full((steps, LANES), model.symbols, np.int64)
+            used = np.zeros((steps, LANES), bool)
+            for k, lane in enumerate(lanes):
+                to = 0
+                while lane and to < steps:
+                    text, low = lane[0], at[k]
+                    n = min(len(text) - low, steps - to)
+                    y[to : to + n, k], used[to : to + n, k] = text[low : low + n], True
+                    if low:  # under way: it goes on after its last symbol
+                        x[to, k] = text[low - 1]
+                    x[to + 1 : to + n, k] = text[low : low + n - 1]
+                    at[k], to = low + n, to + n
+                    if at[k] == len(text):
+                        lane.popleft()
+                        at[k] = 0
+                sizes[k] -= to
+            for t in range(0, steps, WINDOW):
+                w = slice(t, t + WINDOW)
+                live = used[t]  # a lane that has ended stays ended
+                if live.any():
+                    fresh = x[w][:, live] == model.symbols
+                    h[live] = model.learn(x[w][:, live], y[w][:, live], h[live], fresh, used[w][:, live], adam)
+                    seen += int(used[w].sum())
     return seen
 
 
-def _pools(texts: Iterable[np.ndarray], pool: int, longest: int = 512) -> Iterator[list[np.ndarray]]:
-    """Groups of documents of about `pool` symbols; long ones are cut for training."""
+def _pools(texts: Iterable[np.ndarray], pool: int) -> Iterator[list[np.ndarray]]:
+    """Groups of whole documents of about `pool` symbols."""
     group, size = [], 0
     for text in texts:
-        for i in range(0, len(text), longest):
-            group.append(text[i : i + longest])
-            size += len(group[-1])
-            if size >= pool:
-                yield group
-                group, size = [], 0
+        group.append(text)
+        size += len(text)
+        if size >= pool:
+            yield group
+            group, size = [], 0
     if group:
         yield group
 

@@ -153,6 +153,28 @@ def test_training_beats_the_start():
     assert gru.score(model, texts[:1])[0] > before * 0.9
 
 
+def test_training_carries_long_documents(monkeypatch):
+    """Only the first symbol of a document is fresh, inputs are the symbols before, and pieces follow in the lane of their document."""
+    random = np.random.default_rng(4)
+    texts = [random.integers(0, 6, n) for n in (9000, 2000, 700, 513, 40, 1, *random.integers(1, 900, 300))]
+    model, tapes, starts, before = gru.Gru(np.full(6, 10.0), np.array([0, 0, 1, 1, 2, 2])), [], 0, []
+
+    def learn(self, x, y, h, fresh, used, adam):
+        nonlocal starts
+        starts += int((fresh & used).sum())
+        # the state handed on is the last target
+        for k in range(x.shape[1]):
+            if not fresh[0, k]:
+                before.append(h[k, 0] == x[0, k])
+            assert ((x[1:, k] == y[:-1, k]) | fresh[1:, k])[used[1:, k]].all()
+        tapes.append(int(used.sum()))
+        return np.repeat(y[-1][:, None], model.hidden, axis=1).astype(np.float32)
+
+    monkeypatch.setattr(gru.Gru, "learn", learn)
+    assert gru.train(model, texts, pool=3000) == sum(map(len, texts)) == sum(tapes)
+    assert starts == len(texts) and before and all(before)
+
+
 def test_ranker_orders_and_cuts():
     random = np.random.default_rng(0)
     good = random.random(400) < 0.8
