@@ -6,9 +6,9 @@
 2. The `HEAD` most frequent words are symbols of their own, in classes of about equal mass; other words fall into bands by count
    (0, 1, 2, 3, 4, up to 8, up to 16, ...). Every document becomes an array of symbols, written once. A rare word's probability is
    its band's, times its share of the band's count. All unknown words are one word, as in the base.
-3. Training: in each of `ROUNDS` rounds every partition trains the model on a share of its training documents, starting from the
-   common weights; the weights are averaged by tokens, in a tree. A training document is used once or not at all (by hash);
-   the counts come from all of them. A rare word counts as one less (leave-one-out), so words met once teach what an unknown word looks like.
+3. Training: in each of `ROUNDS` rounds every partition trains the model on its training documents of the round, starting from the
+   common weights; the weights are averaged by tokens, in a tree. The rounds share out the training documents (by hash), so each
+   one is used exactly once. A rare word counts as one less (leave-one-out), so words met once teach what an unknown word looks like.
 4. Scoring: every document from its first to its last token, with the state carried across windows.
 
 Null texts count as empty (only the end). Null or repeated ids are fine. Without training documents all words are unknown.
@@ -32,8 +32,8 @@ from ringsight.llm.pieces import BLOCK_CHARS, _scan
 from ringsight.session import materialize
 
 HEAD, CLASSES = 1000, 28
-#: Rounds of training; one round uses one training document in `SHARE`, chosen by a hash, whatever their number.
-ROUNDS, SHARE = 2, 4
+#: Rounds of training; each training document belongs to one of them, by a hash.
+ROUNDS = 2
 #: Bands below this are single counts, so leaving one out moves a word to the band before. The last of them, 4, is told apart for
 #: that only: as the model sees it, a word met four times is in the band up to 8.
 EXACT = 5
@@ -154,7 +154,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     as_seen = np.arange(len(class_of))
     as_seen[first + EXACT - 1] += 1
     for turn in range(ROUNDS):
-        share = encoded.where(~F.col("held_out") & (F.pmod(F.xxhash64("key", "n_tokens"), F.lit(SHARE)) == turn))
+        share = encoded.where(~F.col("held_out") & (F.pmod(F.xxhash64("key", "n_tokens"), F.lit(ROUNDS)) == turn))
         model.flat = _round(share.select("symbols"), model.flat, frequency, class_of, left_out)
         model.view(model.flat, model)
 

@@ -222,6 +222,30 @@ def test_language_model(docs, table):
     assert found == want and all(-math.inf < r["score"] < 0 for r in got)
 
 
+def test_language_model_learns_from_every_training_document(spark, monkeypatch):
+    pick, round_, symbols = random.Random(6), language_model._round, []
+    after = {a: [pick.randrange(60) for _ in range(3)] for a in range(60)}
+    texts = []
+    for _ in range(2000):
+        words = [pick.randrange(60)]
+        while len(words) < 120:
+            words.append(pick.choice(after[words[-1]]))
+        texts.append(" ".join(f"w{k}" for k in words))
+
+    def kept(rows, *rest):
+        symbols.extend(bytes(r[0]) for r in rows.collect())
+        return round_(rows, *rest)
+
+    monkeypatch.setattr(language_model, "_round", kept)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = language_model.score_documents(rows).collect()
+    training = [r for r in got if not r["held_out"]]
+    assert len(symbols) == len(training) == sum(zlib.crc32(str(k).encode()) % 7 != 2 for k in range(2000))
+    assert sum(len(zlib.decompress(x)) // 2 for x in symbols) == training[0]["train_tokens"]
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
 def test_decontamination(spark, docs):
     pick = random.Random(9)
     item = [f"q{pick.randrange(400)}" for _ in range(40)]
