@@ -5,11 +5,11 @@
 2. Training: multinomial logistic regression (Spark ML) on the notices, windows of their words, sentences that only mention
    licences, and at most about `fit_paragraphs` paragraphs of the corpus (by hash) that share fewer than three 2-grams with
    the notices, which are the class `unknown`. Only the fit is bounded.
-3. Scoring: paragraphs that hold an anchor term (others are unknown by definition) meet the weights by n-gram; sums per class
-   give probabilities. A family is believed if its probability is the greatest and at least the calibrated bound, the greatest
+3. Scoring: paragraphs that share enough 2-grams with the notices together to share them with one (the others could not be
+   confirmed, so nothing is lost) meet the weights by n-gram; sums per class give probabilities. A family is believed if its probability is the greatest and at least the calibrated bound, the greatest
    family probability of any unknown training paragraph (at least 0.5).
 4. Confirmation: a notice of the family must share `SIMILAR` of its 2-grams, or of the paragraph's where that is shorter, and
-   three at least.
+   three at least (`LEAST`).
 
 Null texts count as empty; null or repeated ids are fine. An empty table gives an empty result.
 """
@@ -73,9 +73,8 @@ DECOYS = (
     "The general public may use the park free of charge.",
     "The restaurant lost its liquor license for the second time.",
 )
-ANCHORS = ("licen", "copyright", "warrant", "permission", "redistribut", "public license", "creative commons")
 UNKNOWN = "unknown"
-SIMILAR, FIT_PARAGRAPHS = 0.6, 2000
+SIMILAR, LEAST, FIT_PARAGRAPHS = 0.6, 3, 2000
 
 
 def words_of(paragraph: Column) -> Column:
@@ -88,11 +87,15 @@ def _pairs(words: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, text: str) -> DataFrame:
-    """One row per non-empty line that holds an anchor term, with its place."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    any_of = lambda c: F.greatest(*[F.contains(c, F.lit(a)) for a in ANCHORS])
-    lines = docs.where(any_of(lowered)).select("*", F.posexplode(F.split(text, "\n")).alias("paragraph", "line"))
-    return lines.where(any_of(F.lower("line")))
+    """One row per line that can be confirmed, with its place and words: it shares the 2-grams with all notices that one asks for."""
+    least = min(LEAST, *(len(_text_pairs(t)) for texts in NOTICES.values() for t in texts))
+    lines = docs.select("*", F.posexplode(F.split(text, "\n")).alias("paragraph", "line")).withColumn("words", words_of(F.col("line")))
+    return lines.where(F.size("words") > least).where(F.size(F.array_intersect(_pairs(F.col("words")), _known_pairs())) >= least)
+
+
+def _known_pairs() -> Column:
+    """The 2-grams of all notices."""
+    return F.array(*[F.lit(g) for g in sorted({g for texts in NOTICES.values() for t in texts for g in _text_pairs(t)})])
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -116,12 +119,11 @@ def train(docs: DataFrame, text: str = "text", fit_paragraphs: int = FIT_PARAGRA
     total = docs.count()
     share = max(1, -(-total * 4 // fit_paragraphs))
     some = docs.where(F.pmod(F.xxhash64(text), F.lit(share)) == 0).select(F.explode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line"))
-    known = F.array(*[F.lit(g) for g in sorted({g for texts in NOTICES.values() for t in texts for g in _text_pairs(t)})])
     plain = (
         some.where(F.pmod(F.xxhash64("line"), F.lit(2)) == 0)
         .select(F.slice(words_of(F.col("line")), 1, 400).alias("words"))
         .where(size > 0)
-        .where(F.size(F.array_intersect(_pairs(F.col("words")), known)) < 3)
+        .where(F.size(F.array_intersect(_pairs(F.col("words")), _known_pairs())) < LEAST)
         .select(F.lit(UNKNOWN).alias("family"), "words")
     )
     rows = fixed.select("family", "words").unionByName(windows).unionByName(plain)
@@ -158,7 +160,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     classes = sorted([*NOTICES, UNKNOWN])
     found = paragraphs(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row")), "text")
     # the lines are written once: rows are numbered once only
-    lines = materialize(found.select("key", "row", "paragraph", words_of(F.col("line")).alias("words")), "licence-lines")
+    lines = materialize(found.select("key", "row", "paragraph", "words"), "licence-lines")
     lines = lines.withColumn("pairs", _pairs(F.col("words")))
     sums = (
         lines.select("row", "paragraph", F.explode(F.concat(F.array_union("words", "pairs"), F.array(F.lit("")))).alias("ngram"))
@@ -177,7 +179,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     compared = scored.join(lines, ["row", "paragraph"]).join(F.broadcast(templates), "family")
     shared = F.size(F.array_intersect("own", "pairs"))
     similarity = shared / F.least(F.size("own"), F.size("pairs"))
-    confirmed = compared.where(shared >= F.least(F.lit(3), F.size("own"))).withColumn("similarity", similarity).where(F.col("similarity") >= SIMILAR)
+    confirmed = compared.where(shared >= F.least(F.lit(LEAST), F.size("own"))).withColumn("similarity", similarity).where(F.col("similarity") >= SIMILAR)
     return (
         confirmed.groupBy("row", "paragraph")
         .agg(F.max(F.struct("similarity", "notice", "family", "probability", "key")).alias("b"))

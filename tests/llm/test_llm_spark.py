@@ -310,6 +310,23 @@ def test_licenses(spark, docs):
     assert got == {(1, 1, "mit"), (2, 0, "gpl"), (None, 0, "apache")}
 
 
+def test_every_notice_and_other_wordings(spark, docs):
+    """Each notice as it is, lines of notices without the usual keywords, and wordings that are not among the notices."""
+    own = [(family, text) for family, texts in licenses.NOTICES.items() for text in texts]
+    other = [
+        ("mpl", "Note: if a copy of the MPL was not distributed with this file, you can obtain one from us at mozilla.org/MPL/2.0."),
+        ("gpl", "This program is free software, you can redistribute it and modify it as you like"),
+        ("gpl", "it under the terms of the GNU General Public"),
+        ("mit", "to any person obtaining a copy of this software and associated documentation files"),
+        ("bsd", "source and binary forms, with or without modification, are permitted provided that"),
+        ("cc", "This picture is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ]
+    texts = [(k, text) for k, (_, text) in enumerate(own + other)] + [(900 + k, text) for k, text in enumerate(licenses.DECOYS)]
+    whole = docs.select("doc_id", "text").where("doc_id is null or doc_id > 10000").union(spark.createDataFrame(texts, "doc_id long, text string"))
+    found = licenses.scan_licenses(whole).where("doc_id is not null").collect()
+    assert {(r["doc_id"], r["family"]) for r in found} == {(k, family) for k, (family, _) in enumerate(own + other)}
+
+
 def test_empty_tables(spark, nothing, tmp_path):
     decisions, kept = grace_dedup(nothing)
     assert decisions.isEmpty() and kept.isEmpty() and kept.columns == nothing.columns
