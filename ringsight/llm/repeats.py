@@ -1,13 +1,13 @@
-"""Passages that repeat across documents, by sparse suffix arrays.
+"""Passages that repeat across documents, by hashes at minimisers (in place of a sorted suffix array).
 
 1. Words (runs without white space, A-Z as a-z) are hashed; a run of `SEED` words is a minimiser if its hash is the least of
    some `SPREAD` consecutive runs. Minimisers are chosen by content, so a passage has the same ones in every text, and the first
    starts within `SPREAD` words of the passage's start. Only the suffixes that start there are kept.
-2. Suffixes are ordered by the hash of their first `min_words - SPREAD + 1` words, which any shared passage of `min_words` words
-   leaves to its first minimiser. Equal neighbours of different documents show that a suffix repeats. The comparison takes the
-   least and greatest document of each key: what sorted neighbours would say, but partial sums spread a key of any size.
+2. Suffixes are grouped by the hash of their first `min_words - SPREAD + 1` words, which any shared passage of `min_words` words
+   leaves to its first minimiser. Equal keys of different documents show that a suffix repeats. The comparison takes the
+   least and greatest document of each key; nothing is sorted, and partial sums spread a key of any size.
 3. Matches are extended: each suffix that repeats is extended to the left, word by word, over all starts whose passages have it
-   as their first minimiser, and to the right to `min_words` words in all. The extended suffixes are ordered and compared in
+   as their first minimiser, and to the right to `min_words` words in all. The extended suffixes are grouped by hash in
    the same way. Those that repeat are joined to maximal spans.
 
 So a word lies in a span if and only if it is part of `min_words` consecutive words that another document holds too (documents:
