@@ -61,9 +61,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
-def word_hashes(text: str, alnum: bool = False) -> np.ndarray:
-    """A 64-bit hash for every word of a text (words as in `word_spans`; A-Z counts as a-z)."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+def word_hashes(text: str | bytes, alnum: bool = False, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash for every word of a text (words as in `word_spans`; fold: A-Z counts as a-z)."""
+    data = np.frombuffer(text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass"), np.uint8)
     starts, ends = word_spans(data, alnum)
     if not len(starts):
         return np.empty(0, np.uint64)
@@ -76,7 +76,7 @@ def word_hashes(text: str, alnum: bool = False) -> np.ndarray:
         power, inverse = _powers(len(piece) + 1)
         with np.errstate(over="ignore"):
             sums = np.concatenate(
-                (np.zeros(1, np.uint64), np.cumsum(_BYTES[_LOWER[piece]] * power[:-1], dtype=np.uint64))
+                (np.zeros(1, np.uint64), np.cumsum(_BYTES[_LOWER[piece] if fold else piece] * power[:-1], dtype=np.uint64))
             )
             parts.append(mix((sums[ends[a:b] - low] - sums[starts[a:b] - low]) * inverse[starts[a:b] - low]))
     return np.concatenate(parts)
