@@ -65,9 +65,11 @@ class Settings:
     # physical limits: none of them changes a result, they only pick the plan
     account_rows_per_task: int = 2_000_000
     broadcast_rows: int = 200_000
-    pair_group_limit: int = 1_000
-    members_per_row: int = 10_000
-    hub_salts: int = 64
+    block_members: int = 256
+    group_rows: int = 100_000
+    community_links_per_task: int = 200_000
+
+    # a gain in modularity below this counts as none
     community_tolerance: float = 1e-7
 
     @property

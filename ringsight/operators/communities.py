@@ -1,24 +1,37 @@
 """Split large components into communities by modularity, for all of them at once.
 
-A synchronous Louvain over DataFrames. In a round every node weighs the neighbouring communities with one join and one
-grouped sum; about half of the nodes, chosen by a hash of the node's name and the round, may move, which keeps two neighbours
-from swapping places for ever (all of them while only few of the component want to). A component whose modularity fell goes back
-to its best assignment, so the result never gets worse from round to round. A component stops by itself, when no round helps any
-more, and then leaves the loop; its communities become the nodes of the next level. Levels end when nothing merges. The driver
-reads single numbers only. Gains are rounded before they are compared and ids keep the order of names, so the result depends
-neither on the order of additions, nor on the partitions, nor on the other components.
+A synchronous Louvain. In a round every node weighs the neighbouring communities; nodes that would gain move, but not all at a time,
+lest neighbours swap places for ever:
+
+- while rounds bring gains, about half of the nodes may move, chosen by a bit of the hash of the node's name (all of them while
+  only few of the component want to);
+- after two rounds without a gain, of the nodes that want to move only those go whose two communities, the old and the new one, no
+  node with a smaller hash wants to leave or to enter. Such moves do not touch each other, so together they never lose.
+
+An assignment that lost modularity is taken back. A component is settled when no node wants to move; its communities are then the
+nodes of the next level, and levels end when nothing merges. There is no cap on rounds or levels. Gains are compared in whole units
+of 1e-9 and ids keep the order of names, so the result depends neither on the order of additions, nor on the partitions, nor on
+the other components.
+
+Components of at most `community_links_per_task` links run these rounds in one task each, on arrays (`_Local`); larger ones as
+DataFrame rounds, one written table a round. Both follow the same rules and give the same communities, which tests compare.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringsight.config import DEFAULT, Settings
 from ringsight.operators.components import numbered
 from ringsight.session import materialize
 
-DIGITS = 9
+UNITS = 1e9
+#: rounds without a gain after which moves must not touch each other
+PATIENCE = 2
+_NONE = -(1 << 62)
 
 
 def refine(edges: DataFrame, components: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
@@ -33,78 +46,188 @@ def refine(edges: DataFrame, components: DataFrame, cfg: Settings = DEFAULT) ->
 
 def communities(edges: DataFrame, members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """(account_id, cluster_id) for the accounts of `members` (account_id, cluster_id = component)."""
-    inside = edges.join(members.select(F.col("account_id").alias("src"), F.col("cluster_id").alias("comp")), "src")
-    ends = inside.select(F.col("src").alias("name")).unionByName(inside.select(F.col("dst").alias("name")))
-    ids = numbered(ends.unionByName(members.select(F.col("account_id").alias("name"))))
+    place = members.select(F.col("account_id").alias("src"), F.col("cluster_id").alias("comp"))
+    inside = materialize(edges.join(place, "src").select("comp", "src", "dst", "weight"), "component-edges")
+    counts = inside.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    huge = materialize(counts.where(F.col("n") > cfg.community_links_per_task).select("comp"), "huge-components")
+    rows = members.select(F.col("cluster_id").alias("comp"), "account_id", F.xxhash64("account_id").alias("h"))
+    if huge.isEmpty():
+        return _in_tasks(inside, rows, cfg)
+    found = _in_rounds(inside.join(huge, "comp", "left_semi"), rows.join(huge, "comp", "left_semi"), cfg)
+    small = rows.join(huge, "comp", "left_anti")
+    return found.unionByName(_in_tasks(inside.join(huge, "comp", "left_anti"), small, cfg))
+
+
+# one task per component
+
+
+class _Local:
+    """One level of one component, on arrays: links both ways, loops, hashes; nodes are numbered in order of names."""
+
+    def __init__(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, loop: np.ndarray, h: np.ndarray, cfg: Settings):
+        self.u, self.v, self.w, self.loop, self.h, self.cfg = u, v, w, loop, h, cfg
+        self.n = len(loop)
+        self.k = np.bincount(u, w, self.n) + 2 * loop
+        self.m2 = self.k.sum()
+
+    def wishes(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(the best community, its gain, the gain of staying, units of modularity) of an assignment."""
+        n, nodes = self.n, np.arange(self.n)
+        total = np.bincount(c, self.k, n)
+        pairs, at = np.unique(np.concatenate((self.u * n + c[self.v], nodes * n + c)), return_inverse=True)
+        weight = np.bincount(at, np.concatenate((self.w, np.zeros(n))), len(pairs))
+        who, where = pairs // n, pairs % n
+        mine = where == c[who]
+        gain = np.floor((weight - self.k[who] * (total[where] - np.where(mine, self.k[who], 0.0)) / self.m2) * UNITS + 0.5).astype(np.int64)
+        order = np.lexsort((where, -gain, who))
+        first = order[np.searchsorted(who[order], nodes)]
+        within = weight[mine].sum() + 2 * self.loop.sum()
+        quality = int(np.floor((within / self.m2 - (total * total).sum() / (self.m2 * self.m2)) * UNITS + 0.5))
+        return where[first], gain[first], gain[mine], quality
+
+    def settle(self) -> tuple[np.ndarray, int]:
+        c = best = np.arange(self.n)
+        q, idle, few, number = _NONE, 0, False, 0
+        while True:
+            top, gain, stay, now = self.wishes(c)
+            wants, fell = gain > stay, now < q and idle <= PATIENCE
+            if not fell and not wants.any():
+                return c, now
+            gained = q == _NONE or now - q > self.cfg.community_tolerance * UNITS
+            if fell:
+                c = best
+            else:
+                best, q = c, now
+                c = np.where(wants & self._awake(c, top, wants, idle, few, number), top, c)
+            few = bool((self.n if fell else wants.sum()) * 10 < self.n)
+            idle, number = 0 if gained else idle + 1, number + 1
+
+    def _awake(self, c: np.ndarray, top: np.ndarray, wants: np.ndarray, idle: int, few: bool, number: int) -> np.ndarray:
+        if idle >= PATIENCE:
+            least = np.full(self.n, np.iinfo(np.int64).max)
+            for side in (c, top):
+                np.minimum.at(least, side[wants], self.h[wants])
+            return (least[c] == self.h) & (least[top] == self.h)
+        if few and not idle:
+            return np.ones(self.n, bool)
+        return (self.h >> (number % 61)) & 1 == 0
+
+    def merged(self, c: np.ndarray) -> tuple[_Local, np.ndarray]:
+        """(the next level, the number of each community in it)."""
+        names, at = np.unique(c, return_inverse=True)
+        n = len(names)
+        pairs, into = np.unique(at[self.u] * n + at[self.v], return_inverse=True)
+        w = np.bincount(into, self.w, len(pairs))
+        u, v = pairs // n, pairs % n
+        loop = np.bincount(at, self.loop, n) + np.bincount(u[u == v], w[u == v] / 2, n)
+        apart = u != v
+        return _Local(u[apart], v[apart], w[apart], loop, self.h[names], self.cfg), at
+
+
+def split_component(u: np.ndarray, v: np.ndarray, w: np.ndarray, h: np.ndarray, cfg: Settings = DEFAULT) -> np.ndarray:
+    """A community number per node of one component; links once, nodes numbered in order of names."""
+    level = _Local(np.concatenate((u, v)), np.concatenate((v, u)), np.concatenate((w, w)), np.zeros(len(h)), h, cfg)
+    place = np.arange(len(h))
+    while len(level.u):
+        c, q = level.settle()
+        if q < 0:  # no split beats one single group
+            return np.zeros(len(h), np.int64)
+        if (c == np.arange(level.n)).all():
+            break
+        level, at = level.merged(c)
+        place = at[place]
+    return place
+
+
+def _in_tasks(inside: DataFrame, rows: DataFrame, cfg: Settings) -> DataFrame:
+    def split(links: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("account_id", ignore_index=True)
+        names = nodes["account_id"].to_numpy(object)
+        number = pd.Series(np.arange(len(names)), index=names)
+        u, v = (number.loc[links[end]].to_numpy(np.int64) for end in ("src", "dst"))
+        # links in order, so that sums do not depend on how rows arrived
+        order = np.lexsort((v, u))
+        group = split_component(u[order], v[order], links["weight"].to_numpy(float)[order], nodes["h"].to_numpy(np.int64), cfg)
+        _, first, at = np.unique(group, return_index=True, return_inverse=True)
+        return pd.DataFrame({"account_id": names, "cluster_id": names[first][at]})
+
+    return inside.groupBy("comp").cogroup(rows.groupBy("comp")).applyInPandas(split, "account_id string, cluster_id string")
+
+
+# rounds over all components that one task should not hold
+
+
+def _in_rounds(inside: DataFrame, rows: DataFrame, cfg: Settings) -> DataFrame:
+    ids = numbered(rows.select(F.col("account_id").alias("name")))
     one_way = inside.select("comp", F.col("src").alias("u"), F.col("dst").alias("v"), F.col("weight").alias("w"))
+    place = rows.select("comp", "account_id", F.col("account_id").alias("node"), "h")
     for end in ("comp", "u", "v"):
         one_way = one_way.join(ids.withColumnRenamed("name", end), end).drop(end).withColumnRenamed("id", end)
+    for end in ("comp", "node"):
+        place = place.join(ids.withColumnRenamed("name", end), end).drop(end).withColumnRenamed("id", end)
     links = materialize(
         one_way.select("comp", "u", "v", "w").unionByName(one_way.select("comp", F.col("v").alias("u"), F.col("u").alias("v"), "w")),
         "community-links",
     )
+    place = materialize(place, "community-members")
     loops = links.sparkSession.createDataFrame([], "u long, loop double")
-    place = members.select("account_id", F.col("cluster_id").alias("comp"))
-    for name, column in (("account_id", "node"), ("comp", "comp")):
-        known = ids.select(F.col("name").alias(name), F.col("id").alias(f"{column}_id"))
-        place = place.join(known, name)
-    place = place.select("account_id", F.col("comp_id").alias("comp"), F.col("node_id").alias("node"))
-
-    hashes = ids.select(F.col("id").alias("u"), F.xxhash64("name").alias("h"))
+    hashes = place.select(F.col("node").alias("u"), "h")
+    place = place.drop("h")
     while True:
         settled = _settle(links, loops, hashes, cfg)
-        moved = settled.select("u", F.col("best").alias("c"), "q")
+        moved = settled.select("u", "c", "q")
         # a component in which no split beats one single group stays one group
         target = F.when(F.col("q") < 0, F.col("comp")).otherwise(F.coalesce("c", "node"))
         place = materialize(
-            place.join(moved.withColumnRenamed("u", "node"), "node", "left").select(
-                "account_id", "comp", target.alias("node")
-            ),
+            place.join(moved.withColumnRenamed("u", "node"), "node", "left").select("account_id", "comp", target.alias("node")),
             "community-members",
         )
-        if settled.where(F.col("best") != F.col("u")).isEmpty():
+        left = settled.where("q >= 0")
+        if left.where(F.col("c") != F.col("u")).isEmpty():
             break
-        links, loops = _contract(links, loops, moved)
+        links, loops = _contract(links, loops, left.select("u", "c"))
         if links.isEmpty():
             break
     names = place.groupBy("comp", "node").agg(F.min("account_id").alias("cluster_id"))
     return place.join(names, ["comp", "node"]).select("account_id", "cluster_id")
 
 
+def _units(value: Column) -> Column:
+    return F.floor(value * UNITS + 0.5)
+
+
 def _settle(links: DataFrame, loops: DataFrame, hashes: DataFrame, cfg: Settings) -> DataFrame:
-    """(comp, u, best, q, ...): the best assignment found for the nodes of one level, and its modularity per component."""
+    """(comp, u, c, q): the settled assignment of the nodes of one level, and its modularity per component."""
     degrees = links.groupBy("comp", "u").agg(F.sum("w").alias("k")).join(loops, "u", "left").join(hashes, "u")
     loop = F.coalesce("loop", F.lit(0.0))
-    nodes = materialize(
-        degrees.select("comp", "u", "h", (F.col("k") + 2 * loop).alias("k"), loop.alias("loop")), "community-nodes"
-    )
-    volumes = nodes.groupBy("comp").agg(F.sum("k").alias("m2"))
-    start = {"c": F.col("u"), "best": F.col("u"), "q": F.lit(float("-inf")), "idle": F.lit(0), "few": F.lit(False)}
-    state = materialize(nodes.join(volumes, "comp").withColumns(start), "community-state")
-
-    settled, number = None, 0
+    nodes = degrees.select("comp", "u", "h", (F.col("k") + 2 * loop).alias("k"), loop.alias("loop"))
+    start = {
+        "c": F.col("u"), "best": F.col("u"), "q": F.lit(_NONE).cast("long"), "idle": F.lit(0), "few": F.lit(False), "m2": F.col("m2"),
+    }
+    state = materialize(nodes.join(nodes.groupBy("comp").agg(F.sum("k").alias("m2")), "comp").withColumns(start), "community-state")
+    ended, number = None, 0
     while True:
-        state = _round(links, state, number, cfg)
-        left, all_rows = state.agg(F.count_if(~F.col("done")), F.count(F.lit(1))).first()
-        if left < all_rows:
-            ended = state.where("done").drop("done")
-            settled = ended if settled is None else settled.unionByName(ended)
-        if not left:  # nothing at all where no component is large
-            return state.drop("done") if settled is None else settled
-        state, number = state.where("not done").drop("done"), number + 1
-
-
-def _round(links: DataFrame, state: DataFrame, number: int, cfg: Settings) -> DataFrame:
-    m2, k = F.col("m2"), F.col("k")
-    totals = state.groupBy("comp", "c").agg(F.sum("k").alias("total"))
+        wishes = materialize(_wishes(links, state), "community-wishes")
+        told = _status(wishes, cfg)
+        left, idle, every = told.agg(F.count_if(~F.col("done")), F.max(F.when(~F.col("done"), F.col("old_idle"))), F.count(F.lit(1))).first()
+        if left < every:
+            now = wishes.join(told.where("done").select("comp", "q_now"), "comp").select("comp", "u", F.col("own").alias("c"), F.col("q_now").alias("q"))
+            ended = now if ended is None else ended.unionByName(now)
+        if not left:
+            return ended
+        state, number = _moved(wishes, told.where("not done"), number, idle >= PATIENCE), number + 1
+
 
+def _wishes(links: DataFrame, state: DataFrame) -> DataFrame:
+    """Per node: the best community and its gain, the gain and weight of staying; per community the sum that modularity needs."""
+    k = F.col("k")
+    totals = state.groupBy("comp", "c").agg(F.sum("k").alias("total"))
     # what every node would gain in every neighbouring community, and in its own with itself taken out
     neighbours = links.join(state.select(F.col("u").alias("v"), "c"), "v").select("u", "c", "w")
-    stay = state.select("u", "c", F.lit(0.0).alias("w"))
-    toward = neighbours.unionByName(stay).groupBy("u", "c").agg(F.sum("w").alias("w"))
+    toward = neighbours.unionByName(state.select("u", "c", F.lit(0.0).alias("w"))).groupBy("u", "c").agg(F.sum("w").alias("w"))
     mine = F.col("c") == F.col("own")
-    gain = F.round(F.col("w") - k * (F.col("total") - F.when(mine, k).otherwise(0.0)) / m2, DIGITS)
-    wishes = materialize(
+    gain = _units(F.col("w") - k * (F.col("total") - F.when(mine, k).otherwise(0.0)) / F.col("m2"))
+    return (
         toward.join(state.withColumnRenamed("c", "own"), "u")
         .join(totals.select("c", "total"), "c")
         .withColumn("gain", gain)
@@ -113,50 +236,52 @@ def _round(links: DataFrame, state: DataFrame, number: int, cfg: Settings) -> Da
             F.min(F.struct((-F.col("gain")).alias("loss"), "c")).alias("top"),
             F.max(F.when(mine, F.col("gain"))).alias("own_gain"),
             F.max(F.when(mine, F.col("w"))).alias("own_w"),
-        ),
-        "community-wishes",
+            F.max(F.when(mine, F.col("total"))).alias("total"),
+        )
+        .withColumn("wants", -F.col("top.loss") > F.col("own_gain"))
     )
 
-    # modularity of the current assignment, per component
-    squares = totals.groupBy("comp").agg(F.sum(F.col("total") * F.col("total")).alias("sq"))
-    quality = (
-        wishes.groupBy("comp", "m2")
-        .agg(F.sum(F.col("own_w") + 2 * F.col("loop")).alias("within"))
-        .join(squares, "comp")
-        .select("comp", F.round(F.col("within") / m2 - F.col("sq") / (m2 * m2), DIGITS).alias("q_now"))
-    )
 
-    wants = -F.col("top.loss") > F.col("own_gain")
-    # when few nodes of a component want to move, neighbours seldom swap: let all of them, until a round brings nothing
-    awake = (F.col("few") & (F.col("idle") == 0)) | (F.pmod(F.xxhash64("h", F.lit(number)), F.lit(2)) == 0)
-    fell = F.col("q_now") < F.col("q")
-    first = F.col("q") == float("-inf")
-    gained = F.when(first, 1.0).otherwise(F.greatest(F.col("q_now") - F.col("q"), F.lit(0.0)))
-    moved = materialize(
-        wishes.join(quality, "comp").select(
-            "comp",
-            "u",
-            "h",
-            "k",
-            "loop",
-            "m2",
-            F.when(fell, F.col("best")).when(wants & awake, F.col("top.c")).otherwise(F.col("own")).alias("c"),
-            F.when(fell, F.col("best")).otherwise(F.col("own")).alias("best"),
-            F.greatest("q", "q_now").alias("q"),
-            "idle",
-            gained.alias("gained"),
-            (wants | fell).alias("wants"),
-        ),
-        "community-moves",
-    )
-    idle = F.when(F.max("gained") > cfg.community_tolerance, 0).otherwise(F.max("idle") + 1)
-    restless, pending = F.count_if(F.col("wants")), F.count_if(F.col("c") != F.col("best"))
-    status = moved.groupBy("comp").agg(
-        idle.alias("idle"),
-        (restless * 10 < F.count(F.lit(1))).alias("few"),
-        (((restless == 0) & (pending == 0)) | (idle >= 4)).alias("done"),
-    )
-    return materialize(moved.drop("idle", "gained", "wants").join(status, "comp"), "community-state")
+def _status(wishes: DataFrame, cfg: Settings) -> DataFrame:
+    """One row per component: its modularity now, whether it fell, and how it goes on."""
+    per = wishes.groupBy("comp", "m2", "q", "idle", "few").agg(
+        F.sum(F.col("own_w") + 2 * F.col("loop")).alias("within"),
+        F.sum(F.col("k") * F.col("total")).alias("squares"),  # a community's total once per node, by its share of it
+        F.count_if("wants").alias("restless"), F.count(F.lit(1)).alias("n"),
+    )
+    m2 = F.col("m2")
+    now = per.withColumn("q_now", _units(F.col("within") / m2 - F.col("squares") / (m2 * m2)))
+    # moves that do not touch each other never lose, whatever rounding says
+    fell = (F.col("q_now") < F.col("q")) & (F.col("idle") <= PATIENCE)
+    gained = (F.col("q") == _NONE) | (F.col("q_now") - F.col("q") > cfg.community_tolerance * UNITS)
+    return now.select(
+        "comp", "q_now", fell.alias("fell"), F.col("idle").alias("old_idle"), F.col("few").alias("old_few"),
+        F.when(gained, 0).otherwise(F.col("idle") + 1).alias("idle"),
+        (F.when(fell, F.col("n")).otherwise(F.col("restless")) * 10 < F.col("n")).alias("few"),
+        (~fell & (F.col("restless") == 0)).alias("done"),
+    )
+
+
+def _moved(wishes: DataFrame, told: DataFrame, number: int, apart: bool) -> DataFrame:
+    """The next assignment of the components of `told`; apart: for some of them moves must not touch each other."""
+    rows = wishes.drop("idle", "few").join(told, "comp")
+    bit = F.shiftright("h", number % 61).bitwiseAND(F.lit(1)) == 0
+    awake = F.when(F.col("old_few") & (F.col("old_idle") == 0), F.lit(True)).otherwise(bit)
+    if apart:
+        touched = rows.where("wants").select("comp", "h", F.explode(F.array("own", "top.c")).alias("c"))
+        least = touched.groupBy("comp", "c").agg(F.min("h").alias("least"))
+        for side, column in (("own", F.col("own")), ("new", F.col("top.c"))):
+            found = least.select(F.col("c").alias(f"{side}_c"), F.col("least").alias(f"{side}_least"))
+            rows = rows.join(found, column == F.col(f"{side}_c"), "left")
+        alone = (F.col("h") == F.col("own_least")) & (F.col("h") == F.col("new_least"))
+        awake = F.when(F.col("old_idle") >= PATIENCE, F.coalesce(alone, F.lit(False))).otherwise(awake)
+    fell = F.col("fell")
+    moves = F.when(F.col("wants") & awake, F.col("top.c")).otherwise(F.col("own"))
+    return rows.select(
+        "comp", "u", "h", "k", "loop", "m2",
+        F.when(fell, F.col("best")).otherwise(moves).alias("c"), F.when(fell, F.col("best")).otherwise(F.col("own")).alias("best"),
+        F.when(fell, F.col("q")).otherwise(F.col("q_now")).alias("q"), "idle", "few",
+    )
 
 
 def _contract(links: DataFrame, loops: DataFrame, moved: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,25 +13,24 @@ from pyspark.sql import functions as F
 
 from ringsight.config import DEFAULT, Settings
 from ringsight.operators.links import GROUP, PROXIMITY, nodes, proximity_chains, registrations
-from ringsight.session import exceeds, materialize
+from ringsight.session import exceeds, hint, materialize
 
 
-def star_links(members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """(u, v) with u > v: each member linked to the smallest of its group, in two steps.
+def star_links(members: DataFrame, ids: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
+    """(u, v) with u > v, as numbers of `ids`: each member linked to the smallest of its group.
 
-    The first step works on salted parts of a group, so no task holds more than 1/salts of a hub; the second joins the
-    heads of the parts, at most `hub_salts` rows per group.
+    The smallest is a grouped minimum over longs, combined before the shuffle, so a group of all accounts reaches it as one row
+    per task. Members meet the heads of groups above `group_rows` by a broadcast (at most rows / `group_rows` of them, counted),
+    so they stay where they are; the others by a shuffle.
     """
-    salt = F.pmod(F.xxhash64("account_id"), F.lit(cfg.hub_salts))
-    parts = members.select(*GROUP, "account_id", salt.alias("salt")).withColumn(
-        "head", F.min("account_id").over(Window.partitionBy(*GROUP, "salt"))
+    rows = members.select(*GROUP, F.col("account_id").alias("name")).join(ids, "name").select(*GROUP, "id")
+    heads = materialize(
+        rows.groupBy(*GROUP).agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "group-heads"
     )
-    to_head = parts.where(F.col("account_id") > F.col("head")).select(F.col("account_id").alias("u"), F.col("head").alias("v"))
-    heads = parts.where(F.col("account_id") == F.col("head")).withColumn(
-        "top", F.min("head").over(Window.partitionBy(*GROUP))
-    )
-    to_top = heads.where(F.col("head") > F.col("top")).select(F.col("head").alias("u"), F.col("top").alias("v"))
-    return to_head.unionByName(to_top)
+    large = hint(heads.where(F.col("n") > cfg.group_rows), cfg.broadcast_rows)
+    small = heads.where(F.col("n") <= cfg.group_rows)
+    met = rows.join(large, GROUP).unionByName(rows.join(large.select(*GROUP), GROUP, "left_anti").join(small, GROUP))
+    return met.where(F.col("id") > F.col("head")).select(F.col("id").alias("u"), F.col("head").alias("v"))
 
 
 def numbered(names: DataFrame) -> DataFrame:
@@ -50,9 +49,12 @@ def connected_components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     ends = edges.where(F.col("u") != F.col("v"))
     for end in ("u", "v"):
         ends = ends.join(ids.withColumnRenamed("name", end), end).drop(end).withColumnRenamed("id", end)
-    current = materialize(
-        ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "component-links"
-    )
+    return _closed(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ids)
+
+
+def _closed(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """(account_id, cluster_id) from links (u, v) with u > v between the numbers of `ids`."""
+    current = materialize(links, "component-links")
     while True:
         current = materialize(_small_star(_large_star(current)), "component-links")
         if _is_star_forest(current):
@@ -90,7 +92,8 @@ def account_components(
 ) -> DataFrame:
     """Components of the graph in which accounts sharing an identifier, or registered close in time, are linked."""
     linked = members.unionByName(proximity_chains(accounts, cfg))
-    return connected_components(star_links(linked, cfg), nodes(accounts))
+    ids = numbered(nodes(accounts).select(F.col("account_id").alias("name")))
+    return _closed(star_links(linked, ids, cfg), ids)
 
 
 def shared_signals(mapping: DataFrame, accounts: DataFrame, members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
@@ -130,20 +133,12 @@ def cluster_summary(mapping: DataFrame, signals: DataFrame) -> DataFrame:
     )
 
 
-def member_lists(mapping: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """(cluster_id, part, member_accounts): the members as arrays, in parts of about `members_per_row` accounts.
+def member_lists(mapping: DataFrame) -> DataFrame:
+    """(cluster_id, member_accounts): one row per cluster, for the published format.
 
-    A cluster up to that size is one row. A larger one is spread over as many parts as it needs, so no array grows with it.
+    A list is as long as its cluster. Nothing else in the library reads lists; members are the rows of `mapping` at every size.
     """
-    sizes = mapping.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
-    large = sizes.where(F.col("size") > cfg.members_per_row)
-    parts = large.select("cluster_id", F.ceil(F.col("size") / cfg.members_per_row).alias("parts"))
-    part = F.pmod(F.xxhash64("account_id"), F.coalesce("parts", F.lit(1))).cast("int")
-    return (
-        mapping.join(parts, "cluster_id", "left")
-        .groupBy("cluster_id", part.alias("part"))
-        .agg(F.sort_array(F.collect_list("account_id")).alias("member_accounts"))
-    )
+    return mapping.groupBy("cluster_id").agg(F.sort_array(F.collect_list("account_id")).alias("member_accounts"))
 
 
 def cluster_of(mapping: DataFrame, account_id: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Which accounts are linked, and how strongly.
 
 The base table is `memberships`: one row per (identifier value, account). It grows with the input, never with the square of
-a group. Components, cluster signals and densities are computed from it directly. Pairs are made only where a caller wants
-the weighted edges, and only inside groups of at most `pair_group_limit` accounts; a larger group is kept whole as a star,
-one edge from each member to a hub node, with the clique's total weight.
+a group. Components, cluster signals and densities are computed from it directly. The weighted edge list is the one result
+that lists pairs, and it lists all of them at every size. Pairs are made by a block join: the members of a group are dealt into
+blocks of about `block_members` by a hash of their names, and every two blocks meet under a key of their own. So a group of any
+size is spread over all tasks, no key holds more than two blocks, and a group of one block is an ordinary join.
 """
 
 from __future__ import annotations
@@ -13,11 +14,10 @@ from pyspark.sql import functions as F
 
 from ringsight.config import DEFAULT, Settings
 from ringsight.functions import days_between, micros, subnet24
-from ringsight.session import exceeds, hint, materialize
+from ringsight.session import materialize
 
 PROXIMITY = "reg_proximity"
 GROUP = ["origin", "link_type", "value"]
-HUB_PREFIX = "hub:"
 
 
 def nodes(accounts: DataFrame) -> DataFrame:
@@ -72,38 +72,26 @@ def shared_groups(members: DataFrame) -> DataFrame:
     )
 
 
-def hub_groups(members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame | None:
-    """The groups too large for pairs, or None. At most (rows of `members`) / (limit) rows."""
-    groups = shared_groups(members)
-    if not exceeds(groups, "n", cfg.pair_group_limit):
-        return None
-    return materialize(groups.where(F.col("n") > cfg.pair_group_limit), "hub-groups")
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("account_id"), blocks).cast("int")
 
 
-def identifier_pairs(members: DataFrame, cfg: Settings = DEFAULT, hubs: DataFrame | None = None) -> DataFrame:
-    """(src, dst, link_type, us) for every two accounts that share a value, src < dst.
-
-    `hubs` (see `hub_groups`) are the values left to `hub_links`; without any, all groups are within the limit.
-    """
-    if hubs is not None:
-        members = members.join(hint(hubs.select(*GROUP), cfg.broadcast_rows), GROUP, "left_anti")
-    left = members.join(shared_groups(members), GROUP).select(*GROUP, F.col("account_id").alias("src"), "group_us")
-    right = members.select(*GROUP, F.col("account_id").alias("dst"))
-    return (
-        left.join(right, GROUP)
-        .where(F.col("src") < F.col("dst"))
-        .select("src", "dst", "link_type", F.col("group_us").alias("us"))
-    )
+def _count(n: Column, cfg: Settings) -> Column:
+    return F.ceil(n / cfg.block_members).cast("int")
 
 
-def hub_links(members: DataFrame, hubs: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """(src, dst, link_type, us, pairs_per_member): each member of a large group, linked to the group's hub node."""
-    return members.join(hint(hubs, cfg.broadcast_rows), GROUP).select(
-        F.col("account_id").alias("src"),
-        F.concat_ws(":", F.lit(HUB_PREFIX[:-1]), *GROUP).alias("dst"),
-        "link_type",
-        F.col("group_us").alias("us"),
-        ((F.col("n") - 1) / 2).alias("pairs_per_member"),
+def identifier_pairs(members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
+    """(src, dst, origin, link_type, us) for every two accounts that share a value, src < dst; us: the group's latest time."""
+    sized = members.select(*GROUP, "account_id").join(shared_groups(members), GROUP).withColumn("blocks", _count(F.col("n"), cfg))
+    rows = materialize(sized.select(*GROUP, "account_id", "group_us", "blocks", _block(F.col("blocks")).alias("own")), "group-members")
+    left = rows.select(
+        *GROUP, F.col("account_id").alias("a"), "group_us", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j")
+    )
+    right = rows.select(*GROUP, F.col("account_id").alias("b"), F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    return (
+        left.join(right, [*GROUP, "i", "j"])
+        .where((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
+        .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), "origin", "link_type", F.col("group_us").alias("us"))
     )
 
 
@@ -118,115 +106,51 @@ def registrations(accounts: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     )
 
 
-def crowded_slots(accounts: DataFrame, cfg: Settings = DEFAULT) -> DataFrame | None:
-    """Slots with more registrations than pairs are made for, or None. Bounded by the time span, not by accounts."""
-    counts = registrations(accounts, cfg).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
-    if not exceeds(counts, "n", cfg.pair_group_limit):
-        return None
-    return materialize(counts.where(F.col("n") > cfg.pair_group_limit).select("slot"), "crowded-slots")
-
-
-def proximity_pairs(accounts: DataFrame, cfg: Settings = DEFAULT, crowded: DataFrame | None = None) -> DataFrame:
+def proximity_pairs(accounts: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """(src, dst, link_type, us) for registrations at most the window apart; the pair's time is the later one.
 
-    A range join written as an equi-join: the earlier account looks into its own slot and the next, the later account is
-    found in its own. Pairs that touch a slot of `crowded` (see `crowded_slots`) are left to `proximity_hubs`.
+    A range join written as an equi-join: two accounts of one slot are always close, and an account is compared with those of
+    the next slot. Slots are cut into blocks like the groups of `identifier_pairs`, so a crowded one is many keys.
     """
     reg = registrations(accounts, cfg)
-    earlier = reg.select(
-        F.col("account_id").alias("a"),
-        F.col("us").alias("a_us"),
-        F.col("slot").alias("a_slot"),
-        F.explode(F.array("slot", F.col("slot") + 1)).alias("slot"),
+    slots = materialize(reg.groupBy("slot").agg(_count(F.count(F.lit(1)), cfg).alias("blocks")), "slots")
+    ahead = slots.select((F.col("slot") - 1).alias("slot"), F.col("blocks").alias("next_blocks"))
+    behind = slots.select((F.col("slot") + 1).alias("slot"), F.col("blocks").alias("last_blocks"))
+    known = slots.join(ahead, "slot", "left").join(behind, "slot", "left")
+    rows = materialize(reg.join(known, "slot").withColumn("own", _block(F.col("blocks"))), "slot-members")
+
+    def keys(slot: Column, step: int, i: Column | None, j: Column | None, first: Column, last: Column) -> Column:
+        """(slot of the left side, 0 within it or 1 to the next, the two blocks); the one not given runs from first to last."""
+        made = F.transform(
+            F.sequence(first, last),
+            lambda x: F.struct(slot.alias("slot"), F.lit(step).alias("step"), (x if i is None else i).alias("i"), (x if j is None else j).alias("j")),
+        )
+        return F.when(last.isNotNull(), made).otherwise(F.array().cast("array<struct<slot:bigint,step:int,i:int,j:int>>"))
+
+    own, none = F.col("own"), F.lit(0)
+    left = F.concat(
+        keys(F.col("slot"), 0, own, None, own, F.col("blocks") - 1), keys(F.col("slot"), 1, own, None, none, F.col("next_blocks") - 1)
+    )
+    right = F.concat(
+        keys(F.col("slot"), 0, None, own, none, own), keys(F.col("slot") - 1, 1, None, own, none, F.col("last_blocks") - 1)
     )
-    if crowded is not None:
-        own = hint(crowded.select(F.col("slot").alias("a_slot")), cfg.broadcast_rows)
-        looked_at = hint(crowded, cfg.broadcast_rows)
-        earlier = earlier.join(own, "a_slot", "left_anti").join(looked_at, "slot", "left_anti")
-    later = reg.select("slot", F.col("account_id").alias("b"), F.col("us").alias("b_us"))
-    gap = F.col("b_us") - F.col("a_us")
-    close = (gap <= cfg.proximity_micros) & ((gap > 0) | ((gap == 0) & (F.col("a") < F.col("b"))))
+    at = ["k.slot", "k.step", "k.i", "k.j"]
+    lefts = rows.select(F.col("account_id").alias("a"), F.col("us").alias("a_us"), F.explode(left).alias("k")).select("a", "a_us", *at)
+    rights = rows.select(F.col("account_id").alias("b"), F.col("us").alias("b_us"), F.explode(right).alias("k")).select("b", "b_us", *at)
+    within = (F.col("step") == 0) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
+    across = (F.col("step") == 1) & (F.col("b_us") - F.col("a_us") <= cfg.proximity_micros)
     return (
-        earlier.join(later, "slot")
-        .where(close)
+        lefts.join(rights, ["slot", "step", "i", "j"])
+        .where(within | across)
         .select(
             F.least("a", "b").alias("src"),
             F.greatest("a", "b").alias("dst"),
             F.lit(PROXIMITY).alias("link_type"),
-            F.col("b_us").alias("us"),
+            F.greatest("a_us", "b_us").alias("us"),
         )
     )
 
 
-def proximity_blocks(accounts: DataFrame, crowded: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """All proximity pairs that touch a crowded slot, as complete blocks instead of pairs.
-
-    Two accounts of one slot are always close: one block per crowded slot. An account at offset x of a slot and one at
-    offset y of the next are close iff y <= x. Comparing the offsets bit by bit, that is: equal, or equal above some bit
-    that is 1 in x and 0 in y. So each (slot, bit, higher bits) is a two-sided block in which every left account is close
-    to every right account, and every close pair lies in exactly one block. Rows: accounts times bits of the window.
-
-    Columns: block, side ('own', 'left', 'right'), account_id, us.
-    """
-    reg = registrations(accounts, cfg)
-    bits = cfg.proximity_micros.bit_length()
-    full = hint(crowded, cfg.broadcast_rows)
-    # a boundary is named by its left slot; it is crowded when either side is
-    boundaries = hint(crowded.select(F.explode(F.array("slot", F.col("slot") - 1)).alias("boundary")).distinct(), cfg.broadcast_rows)
-
-    own = reg.join(full, "slot", "left_semi").select(
-        F.concat_ws(":", F.lit("slot"), "slot").alias("block"), F.lit("own").alias("side"), "account_id", "us"
-    )
-    offset = F.col("us") - F.col("slot") * cfg.proximity_micros
-    sides = reg.withColumn("offset", offset).select(
-        "account_id",
-        "us",
-        "offset",
-        F.explode(
-            F.array(
-                F.struct(F.lit("left").alias("side"), F.col("slot").alias("boundary")),
-                F.struct(F.lit("right").alias("side"), (F.col("slot") - 1).alias("boundary")),
-            )
-        ).alias("s"),
-    ).select("account_id", "us", "offset", "s.side", "s.boundary").join(boundaries, "boundary", "left_semi")
-
-    wanted = F.when(F.col("side") == "left", 1).otherwise(0)
-    levels = F.filter(F.sequence(F.lit(0), F.lit(bits - 1)), lambda b: F.call_function("getbit", F.col("offset"), b) == wanted)
-    across = sides.withColumn("bit", F.explode(F.concat(F.array(F.lit(-1)), levels))).select(
-        F.concat_ws(
-            ":",
-            F.lit("edge"),
-            "boundary",
-            "bit",
-            F.floor(F.col("offset") / F.pow(F.lit(2.0), F.col("bit") + 1)).cast("long"),
-        ).alias("block"),
-        "side",
-        "account_id",
-        "us",
-    )
-    sizes = across.groupBy("block").agg(F.count_distinct("side").alias("sides")).where(F.col("sides") == 2)
-    return own.unionByName(across.join(sizes.select("block"), "block", "left_semi"))
-
-
-def proximity_hubs(accounts: DataFrame, crowded: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """Hub links for the blocks of `proximity_blocks`, in the layout of `hub_links`."""
-    blocks = proximity_blocks(accounts, crowded, cfg)
-    sizes = blocks.groupBy("block").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("side") == "left").alias("left"),
-        F.count_if(F.col("side") == "right").alias("right"),
-        F.max("us").alias("block_us"),
-    )
-    pairs = F.when(F.col("left") > 0, F.col("left") * F.col("right")).otherwise(F.col("n") * (F.col("n") - 1) / 2)
-    return blocks.join(sizes, "block").select(
-        F.col("account_id").alias("src"),
-        F.concat_ws(":", F.lit(HUB_PREFIX[:-1]), F.lit(PROXIMITY), "block").alias("dst"),
-        F.lit(PROXIMITY).alias("link_type"),
-        F.col("block_us").alias("us"),
-        (pairs / F.col("n")).alias("pairs_per_member"),
-    )
-
-
 def edge_weight(types: Column, days: Column, cfg: Settings = DEFAULT) -> Column:
     """Sum of the weights of the shared types plus a bonus that fades over `recency_days`."""
     base = F.lit(0.0)
@@ -247,24 +171,16 @@ def latest_time(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
 def weighted_edges(
     accounts: DataFrame, transactions: DataFrame, members: DataFrame | None = None, cfg: Settings = DEFAULT
 ) -> DataFrame:
-    """(src, dst, weight, shared_types): one row per linked pair, plus one per member of a group too large for pairs."""
+    """(src, dst, weight, shared_types): one row per linked pair."""
     if members is None:
         members = memberships(accounts, transactions)
-    hubs, crowded = hub_groups(members, cfg), crowded_slots(accounts, cfg)
-    pairs = identifier_pairs(members, cfg, hubs).unionByName(proximity_pairs(accounts, cfg, crowded))
-    pairs = pairs.withColumn("pairs_per_member", F.lit(1.0))
-    if hubs is not None:
-        pairs = pairs.unionByName(hub_links(members, hubs, cfg))
-    if crowded is not None:
-        pairs = pairs.unionByName(proximity_hubs(accounts, crowded, cfg))
+    pairs = identifier_pairs(members, cfg).drop("origin").unionByName(proximity_pairs(accounts, cfg))
     merged = pairs.groupBy("src", "dst").agg(
-        F.sort_array(F.collect_set("link_type")).alias("shared_types"),
-        F.max("us").alias("us"),
-        F.max("pairs_per_member").alias("pairs_per_member"),
+        F.sort_array(F.collect_set("link_type")).alias("shared_types"), F.max("us").alias("us")
     )
     now = latest_time(accounts, transactions).scalar()
     weight = edge_weight(F.col("shared_types"), days_between(now, F.col("us")), cfg)
-    return merged.select("src", "dst", (weight * F.col("pairs_per_member")).alias("weight"), "shared_types")
+    return merged.select("src", "dst", weight.alias("weight"), "shared_types")
 
 
 def proximity_chains(accounts: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:

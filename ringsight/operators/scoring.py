@@ -136,5 +136,5 @@ def ring_score(scored: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 def cluster_output(scored: DataFrame, lists: DataFrame) -> DataFrame:
     """The published cluster rows with their members; `lists` is `components.member_lists`."""
     return scored.join(lists, "cluster_id").select(
-        "cluster_id", "part", "size", "member_accounts", "ring_score", "shared_signals", "flags"
+        "cluster_id", "size", "member_accounts", "ring_score", "shared_signals", "flags"
     )

@@ -86,7 +86,7 @@ class BatchRun:
     def write(self, folder: str) -> None:
         """Publish model, clusters, audit log and metrics."""
         tables.save_model(self.model, f"{folder}/model")
-        lists = components.member_lists(self.mapping, self.cfg)
+        lists = components.member_lists(self.mapping)
         tables.write_clusters(scoring.cluster_output(self.scored, lists), f"{folder}/clusters")
         tables.write_table(self.mapping, f"{folder}/mapping")
         tables.replace_audit(self.log, f"{folder}/audit_log")

@@ -140,7 +140,7 @@ def audit_log_table(spark, sf_dir):
 def cluster_table(spark, sf_dir):
     run = _run(spark, sf_dir)
     path = _scratch(spark, "clusters")
-    tables.write_clusters(scoring.cluster_output(run.scored, components.member_lists(run.mapping, run.cfg)), path)
+    tables.write_clusters(scoring.cluster_output(run.scored, components.member_lists(run.mapping)), path)
     rows = tables.read_clusters(spark, path)
     return rows.select(
         "cluster_id", "size", _text("member_accounts"), "ring_score", _text("shared_signals"), _text("flags")
@@ -365,14 +365,7 @@ def model_quality(spark, sf_dir):
 def _pairs(spark: SparkSession, sf_dir: str, origin: str, link_type: str) -> DataFrame:
     run = _run(spark, sf_dir)
     members = run.members.where((F.col("origin") == origin) & (F.col("link_type") == link_type))
-    hubs = links.hub_groups(members, run.cfg)
-    return _one_per_pair(links.identifier_pairs(members, run.cfg, hubs), hubs and links.hub_links(members, hubs, run.cfg))
-
-
-def _one_per_pair(pairs: DataFrame, hubs: DataFrame | None) -> DataFrame:
-    if hubs is not None:
-        pairs = pairs.unionByName(hubs.drop("pairs_per_member"))
-    return pairs.groupBy("src", "dst").agg(F.max("us").alias("us"))
+    return links.identifier_pairs(members, run.cfg).groupBy("src", "dst").agg(F.max("us").alias("us"))
 
 
 @query
@@ -403,9 +396,7 @@ def payment_instrument_pairs(spark, sf_dir):
 @query
 def registration_proximity_pairs(spark, sf_dir):
     run = _run(spark, sf_dir)
-    crowded = links.crowded_slots(run.accounts, run.cfg)
-    hubs = links.proximity_hubs(run.accounts, crowded, run.cfg) if crowded is not None else None
-    return _one_per_pair(links.proximity_pairs(run.accounts, run.cfg, crowded), hubs)
+    return links.proximity_pairs(run.accounts, run.cfg).groupBy("src", "dst").agg(F.max("us").alias("us"))
 
 
 @query
@@ -430,7 +421,7 @@ def account_components(spark, sf_dir):
 def component_summary(spark, sf_dir):
     run = _run(spark, sf_dir)
     summary = run.summary(run.components)
-    lists = components.member_lists(run.components, run.cfg).select("cluster_id", _text("member_accounts"))
+    lists = components.member_lists(run.components).select("cluster_id", _text("member_accounts"))
     return summary.join(lists, "cluster_id").select("cluster_id", "size", _text("shared_types"), "member_accounts")
 
 

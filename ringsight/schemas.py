@@ -55,7 +55,6 @@ LAYER1 = T.StructType(
 CLUSTERS = T.StructType(
     [
         T.StructField("cluster_id", T.StringType()),
-        T.StructField("part", T.IntegerType()),
         T.StructField("size", T.LongType()),
         T.StructField("member_accounts", T.ArrayType(T.StringType())),
         T.StructField("ring_score", T.DoubleType()),

@@ -93,15 +93,63 @@ def test_random_graph_is_refined_and_modularity_never_below_one_group(spark):
     assert all(r.modularity >= -1e-9 for r in communities.modularity(edges, found, comps).collect())
 
 
-def test_hub_nodes_are_no_members(spark):
-    accounts = [account(f"a{i}", START + timedelta(days=i), registration_device_id="same") for i in range(8)]
-    a, t = accounts_frame(spark, accounts), transactions_frame(spark, [])
-    cfg = Settings(pair_group_limit=2)
-    edges = links.weighted_edges(a, t, cfg=cfg)
-    assert not edges.where(F.col("dst").startswith(links.HUB_PREFIX)).isEmpty()
-    comps = components.account_components(a, links.memberships(a, t), cfg)
-    found = communities.refine(edges, comps, cfg)
-    assert groups(found) == {"a0": {f"a{i}" for i in range(8)}}
+ROUNDS = Settings(community_links_per_task=0)
+
+
+def random_edges(seed, n, links_):
+    rng = random.Random(seed)
+    names = [f"n{k:03d}" for k in rng.sample(range(1000), n)]
+    found = {tuple(sorted(rng.sample(names, 2))): rng.choice([0.6, 1.0, 1.1, 1.5, 2.2]) for _ in range(links_)}
+    for group in range(4):  # cliques, as shared values make them
+        found |= {(a, b): 1.3 for a, b in combinations(sorted(rng.sample(names, 7)), 2)}
+    return names, [(a, b, w) for (a, b), w in found.items()]
+
+
+@pytest.mark.parametrize("seed,n,links_", [(1, 40, 60), (2, 200, 420)])
+def test_rounds_and_tasks_find_the_same_communities(spark, seed, n, links_):
+    names, edges = random_edges(seed, n, links_)
+    comps = spark.createDataFrame([(name, min(names)) for name in names], "account_id string, cluster_id string")
+    frame = edge_frame(spark, edges)
+    in_tasks = groups(communities.refine(frame, comps))
+    assert groups(communities.refine(frame.repartition(5), comps, ROUNDS)) == in_tasks
+    assert 1 < len(in_tasks) < n
+
+
+def modularity_of(group, u, v, w):
+    total = 2 * w.sum()
+    inside = 2 * w[group[u] == group[v]].sum()
+    volume = np.bincount(group, np.bincount(u, w, len(group)) + np.bincount(v, w, len(group)))
+    return inside / total - (volume**2).sum() / total**2
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_no_single_move_improves_a_split(seed):
+    """Of random graphs: the split is at least as good as one group, and no node wants to leave its community for another."""
+    names, edges = random_edges(seed, 30 + 5 * seed, 40 + 9 * seed)
+    at = {name: k for k, name in enumerate(sorted(names))}
+    u, v = (np.array([at[e[k]] for e in edges]) for k in (0, 1))
+    w = np.array([e[2] for e in edges])
+    h = np.random.default_rng(seed).integers(-(2**63), 2**63, len(names))
+    group = np.unique(communities.split_component(u, v, w, h), return_inverse=True)[1]
+    best = modularity_of(group, u, v, w)
+    assert best >= -1e-12
+    one_level = communities._Local(np.concatenate((u, v)), np.concatenate((v, u)), np.concatenate((w, w)), np.zeros(len(h)), h, Settings())
+    c, q = one_level.settle()
+    top, gain, stay, now = one_level.wishes(c)
+    assert (gain <= stay).all() and q == now and best * 1e9 >= q - 2
+
+
+def test_popular_values_split_like_any_other(spark):
+    """Two devices that many accounts share, joined by one account of both: the communities of the full pair list."""
+    accounts = [account(f"a{i:03d}", START + timedelta(days=i), registration_device_id="one" if i < 60 else "two") for i in range(110)]
+    bridge = [transaction("t1", "a003", START, device_id="card"), transaction("t2", "a090", START, device_id="card")]
+    a, t = accounts_frame(spark, accounts), transactions_frame(spark, bridge)
+    members = links.memberships(a, t)
+    comps = components.account_components(a, members)
+    assert comps.select("cluster_id").distinct().count() == 1
+    for cfg in (Settings(), Settings(block_members=8), Settings(community_links_per_task=0)):
+        found = groups(communities.refine(links.weighted_edges(a, t, members, cfg), comps, cfg))
+        assert found == {"a000": {f"a{i:03d}" for i in range(60)}, "a060": {f"a{i:03d}" for i in range(60, 110)}}
 
 
 def correlation_of_members(rows, members):

@@ -1,4 +1,4 @@
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from ringsight.config import Settings
 from ringsight.functions import subnet24
 from ringsight.operators import components, links
 
-# groups above two accounts, and slots above two registrations, are kept without pairs
-HUBS = Settings(pair_group_limit=2)
+# every group of more than two accounts, and every slot of more than two registrations, is cut into blocks
+BLOCKS = Settings(block_members=2, group_rows=2)
 
 
 @pytest.fixture(scope="module", params=[1, 2])
@@ -52,52 +52,53 @@ def test_edges_match_all_pairs(spark, tables):
         assert got[pair].weight == pytest.approx(expected_weight(types, days))
 
 
-def test_hubs_hold_exactly_the_pairs_that_were_not_listed(spark, tables):
+def test_blocks_give_every_pair_once(spark, tables):
     accounts, transactions, a, t = tables
     members = links.memberships(a, t)
-    hubs = links.hub_groups(members, HUBS)
-    listed = {(r.src, r.dst, r.link_type) for r in links.identifier_pairs(members, HUBS, hubs).collect()}
-    by_hub: dict = {}
-    for r in links.hub_links(members, hubs, HUBS).collect():
-        by_hub.setdefault((r.dst, r.link_type), set()).add(r.src)
-    assert by_hub and all(len(m) > 2 for m in by_hub.values())
-    unfolded = {(x, y, kind) for (_, kind), m in by_hub.items() for x in m for y in m if x < y}
-    want = {
-        (x, y, kind) for (x, y), (types, _) in expected_links(accounts, transactions).items() for kind in types if kind != "reg_proximity"
-    }
-    assert listed | unfolded == want
-
-
-def test_blocks_hold_every_close_pair_once(spark):
+    listed = [(r.src, r.dst, r.link_type) for r in links.identifier_pairs(members, BLOCKS).collect()]
+    plain = [(r.src, r.dst, r.link_type) for r in links.identifier_pairs(members).collect()]
+    assert sorted(listed) == sorted(plain)
+    want = {(x, y, kind) for (x, y), (types, _) in expected_links(accounts, transactions).items() for kind in types if kind != "reg_proximity"}
+    assert set(listed) == want
+
+
+@pytest.mark.parametrize("cfg", [Settings(), BLOCKS, Settings(block_members=1)])
+def test_every_close_pair_is_found_once(spark, cfg):
     minutes = [0, 0, 3, 100, 300, 359, 360, 361, 500, 719, 720, 720, 725, 1081, 1500, 1860, 2221, 9000]
     accounts = [account(f"a{i:02d}", START + timedelta(minutes=m, seconds=i % 3)) for i, m in enumerate(minutes)]
-    a = accounts_frame(spark, accounts)
-    want = sorted(p for p, (types, _) in expected_links(accounts, []).items() if "reg_proximity" in types)
-    crowded = links.crowded_slots(a, HUBS)
-    assert crowded is not None
-    pairs = [(r.src, r.dst) for r in links.proximity_pairs(a, HUBS, crowded).collect()]
-    blocks: dict = {}
-    for r in links.proximity_blocks(a, crowded, HUBS).collect():
-        blocks.setdefault(r.block, {}).setdefault(r.side, []).append(r.account_id)
-    for sides in blocks.values():
-        if "own" in sides:
-            pairs += [(x, y) for x in sides["own"] for y in sides["own"] if x < y]
-        else:
-            pairs += [tuple(sorted((x, y))) for x in sides["left"] for y in sides["right"]]
-    assert sorted(pairs) == want
-    assert sorted((r.src, r.dst) for r in links.proximity_pairs(a).collect()) == want
-
-
-def test_hub_edges_keep_the_total_weight_of_a_group(spark):
-    accounts = [account(f"a{i}", START + timedelta(days=i), registration_device_id="same") for i in range(5)]
-    a, t = accounts_frame(spark, accounts), transactions_frame(spark, [])
-    whole = links.weighted_edges(a, t).where(F.array_contains("shared_types", "device"))
-    stars = links.weighted_edges(a, t, cfg=HUBS).where(F.array_contains("shared_types", "device"))
-    assert stars.count() == 5 and whole.count() == 10
-    assert stars.agg(F.sum("weight")).first()[0] == pytest.approx(whole.agg(F.sum("weight")).first()[0])
+    links_ = {p: latest for p, (types, latest) in expected_links(accounts, []).items() if "reg_proximity" in types}
+    rows = links.proximity_pairs(accounts_frame(spark, accounts), cfg).collect()
+    assert sorted((r.src, r.dst) for r in rows) == sorted(links_)
+    us = {p: int((when - datetime(1970, 1, 1)).total_seconds()) * 1_000_000 for p, when in links_.items()}
+    assert {(r.src, r.dst): r.us for r in rows} == us
 
 
-@pytest.mark.parametrize("cfg", [Settings(), Settings(hub_salts=1), HUBS])
+def test_edges_are_the_same_in_blocks(spark, tables):
+    _, _, a, t = tables
+    rows = lambda cfg: sorted((r.src, r.dst, round(r.weight, 9), tuple(r.shared_types)) for r in links.weighted_edges(a, t, cfg=cfg).collect())
+    assert rows(Settings()) == rows(BLOCKS)
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_a_popular_value_lists_all_its_pairs(spark, n):
+    """A device that n accounts share, and their registrations one second apart."""
+    accounts = [account(f"a{i:05d}", START + timedelta(seconds=i), registration_device_id="same") for i in range(n)]
+    a, t = accounts_frame(spark, accounts), transactions_frame(spark, [])
+    members = links.memberships(a, t)
+    a.createOrReplaceTempView("popular")
+    want = spark.sql("SELECT a.account_id AS src, b.account_id AS dst FROM popular a JOIN popular b ON a.account_id < b.account_id")
+    pairs = links.identifier_pairs(members)
+    assert pairs.count() == n * (n - 1) // 2 == links.proximity_pairs(a).count()
+    assert pairs.select("src", "dst").exceptAll(want).isEmpty() and want.exceptAll(links.proximity_pairs(a).select("src", "dst")).isEmpty()
+    edges = links.weighted_edges(a, t, members)
+    assert edges.count() == n * (n - 1) // 2
+    assert edges.select("shared_types").distinct().collect()[0].shared_types == ["device", "reg_proximity"]
+    # a key of the join holds two blocks at most, by the hash that deals them
+    sized = members.withColumn("own", F.pmod(F.xxhash64("account_id"), F.lit(-(-n // 256))))
+    assert sized.groupBy("own").count().agg(F.max("count")).first()[0] <= 2 * 256
+
+
+@pytest.mark.parametrize("cfg", [Settings(), BLOCKS])
 def test_components_match_union_find(spark, tables, cfg):
     accounts, transactions, a, t = tables
     want = expected_components([x["account_id"] for x in accounts], expected_links(accounts, transactions))
@@ -129,11 +130,20 @@ def test_summary_lists_types_of_links_inside_a_cluster(spark, tables):
     assert sum(r["size"] for r in got.values()) == len(accounts)
 
 
-def test_member_lists_split_large_clusters_without_loss(spark):
+def test_a_group_of_all_accounts_is_combined_before_the_shuffle(spark):
+    accounts = [account(f"a{i:04d}", START + timedelta(days=i), registration_device_id="same") for i in range(300)]
+    a, t = accounts_frame(spark, accounts), transactions_frame(spark, [])
+    members = links.memberships(a, t)
+    ids = components.numbered(links.nodes(a).select(F.col("account_id").alias("name")))
+    found = components.star_links(members, ids, BLOCKS)
+    assert found.count() == 299 and found.select("v").distinct().count() == 1
+    # members of a large group meet its head by a broadcast, so no task gathers them
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [origin" in plan
+
+
+def test_member_lists_are_one_row_per_cluster(spark):
     mapping = spark.range(100).select(F.concat(F.lit("a"), "id").alias("account_id"), F.when(F.col("id") < 5, "s").otherwise("l").alias("cluster_id"))
-    rows = components.member_lists(mapping, Settings(members_per_row=10)).collect()
-    small = [r for r in rows if r.cluster_id == "s"]
-    large = [r for r in rows if r.cluster_id == "l"]
-    assert len(small) == 1 and small[0].part == 0 and len(small[0].member_accounts) == 5
-    assert len(large) > 5 and sum(len(r.member_accounts) for r in large) == 95
+    rows = {r.cluster_id: r.member_accounts for r in components.member_lists(mapping).collect()}
+    assert rows["s"] == ["a0", "a1", "a2", "a3", "a4"] and len(rows["l"]) == 95 and rows["l"] == sorted(rows["l"])
     assert components.cluster_of(mapping, "a3").first().cluster_id == "s"
