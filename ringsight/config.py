@@ -67,6 +67,7 @@ class Settings:
     broadcast_rows: int = 200_000
     block_members: int = 256
     group_rows: int = 100_000
+    audit_buckets: int = 64
     community_links_per_task: int = 200_000
 
     # a gain in modularity below this counts as none

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringsight.config import DEFAULT, Settings
 from ringsight.functions import joined_or
 from ringsight.operators.fusion import DECISION, EVIDENCE
+from ringsight.sources.tables import audit_bucket
 
 
 def _verb(action: Column) -> Column:
@@ -61,8 +63,13 @@ def log_entries(fused: DataFrame, layer1: DataFrame, scored: DataFrame) -> DataF
     )
 
 
-def audit_trail(log: DataFrame, txn_id: str) -> DataFrame:
-    """The first entry of a transaction, or no row; of entries at one time the least by action and text."""
+def audit_trail(log: DataFrame, txn_id: str, cfg: Settings = DEFAULT) -> DataFrame:
+    """The first entry of a transaction, or no row; of entries at one time the least by action and text.
+
+    In the published layout only the files of the transaction's bucket are read.
+    """
+    if "bucket" in log.columns:
+        log = log.where(F.col("bucket") == audit_bucket(F.lit(txn_id), cfg))
     return log.where(F.col("txn_id") == txn_id).orderBy("timestamp", "action_taken", "explanation").limit(1)
 
 

@@ -47,7 +47,10 @@ def refine(edges: DataFrame, components: DataFrame, cfg: Settings = DEFAULT) ->
 def communities(edges: DataFrame, members: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """(account_id, cluster_id) for the accounts of `members` (account_id, cluster_id = component)."""
     place = members.select(F.col("account_id").alias("src"), F.col("cluster_id").alias("comp"))
-    inside = materialize(edges.join(place, "src").select("comp", "src", "dst", "weight"), "component-edges")
+    # both ends are accounts of the table; a transaction of an unknown account links nobody here
+    other = place.select(F.col("src").alias("dst"), F.col("comp").alias("comp2"))
+    both = edges.join(place, "src").join(other, "dst").where(F.col("comp") == F.col("comp2"))
+    inside = materialize(both.select("comp", "src", "dst", "weight"), "component-edges")
     counts = inside.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
     huge = materialize(counts.where(F.col("n") > cfg.community_links_per_task).select("comp"), "huge-components")
     rows = members.select(F.col("cluster_id").alias("comp"), "account_id", F.xxhash64("account_id").alias("h"))

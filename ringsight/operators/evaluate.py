@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ringsight.config import DEFAULT, Settings
 from ringsight.functions import hour_bin
+from ringsight.session import materialize
 
 
 def labelled(log: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -31,23 +32,45 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, 0.0).otherwise(part / whole)
 
 
+def decision_counts(rows: DataFrame, accounts: DataFrame | None = None, cfg: Settings = DEFAULT) -> DataFrame:
+    """(score, block, review, flagged, label_fraud, ambiguous, n): all that the metrics need to know about the decisions.
+
+    One pass. Layer-1 scores have four digits, so there are at most 10,001 scores times a few flags, however many rows.
+    """
+    ambiguous = F.lit(False)
+    if accounts is not None:
+        known = accounts.where("is_ambiguous").select(F.col("account_id").alias("ambiguous_id")).distinct()
+        rows = rows.join(known, rows["account_id"] == F.col("ambiguous_id"), "left")
+        ambiguous = F.col("ambiguous_id").isNotNull()
+    score = F.col("layer1_score")
+    return rows.groupBy(
+        F.round(score, 4).alias("score"),
+        (score >= cfg.block_threshold).alias("block"),
+        (score >= cfg.review_threshold).alias("review"),
+        (F.col("final_score") >= cfg.review_threshold).alias("flagged"),
+        "label_fraud",
+        ambiguous.alias("ambiguous"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sum(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+
 def tier_metrics(rows: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """(tier, precision, recall, f1) of the layer-1 score at both thresholds; an empty denominator gives 0."""
-    tiers = F.array(
-        F.struct(F.lit("block").alias("tier"), F.lit(cfg.block_threshold).alias("cut")),
-        F.struct(F.lit("review").alias("tier"), F.lit(cfg.review_threshold).alias("cut")),
-    )
-    hit = F.col("layer1_score") >= F.col("t.cut")
-    counts = (
-        rows.select("label_fraud", "layer1_score", F.explode(tiers).alias("t"))
+    return _tiers(decision_counts(rows, None, cfg))
+
+
+def _tiers(counts: DataFrame) -> DataFrame:
+    tiers = F.array(*[F.struct(F.lit(t).alias("tier"), F.col(t).alias("hit")) for t in ("block", "review")])
+    hit = F.col("t.hit")
+    sums = (
+        counts.select("label_fraud", "n", F.explode(tiers).alias("t"))
         .groupBy(F.col("t.tier").alias("tier"))
-        .agg(
-            F.count_if(hit & F.col("label_fraud")).alias("tp"),
-            F.count_if(hit).alias("flagged"),
-            F.count_if("label_fraud").alias("frauds"),
-        )
+        .agg(_sum(hit & F.col("label_fraud")).alias("tp"), _sum(hit).alias("flagged"), _sum(F.col("label_fraud")).alias("frauds"))
     )
-    return counts.select(
+    return sums.select(
         "tier",
         _ratio(F.col("tp"), F.col("flagged")).alias("precision"),
         _ratio(F.col("tp"), F.col("frauds")).alias("recall"),
@@ -60,8 +83,13 @@ def roc_auc(rows: DataFrame) -> DataFrame:
 
     Scores are rounded to four digits, so the window runs over at most 10,001 rows.
     """
-    by_score = rows.groupBy(F.round("layer1_score", 4).alias("score")).agg(
-        F.count_if("label_fraud").cast("double").alias("pos"), F.count_if(~F.col("label_fraud")).cast("double").alias("neg")
+    counted = rows.groupBy(F.round("layer1_score", 4).alias("score"), "label_fraud").agg(F.count(F.lit(1)).alias("n"))
+    return _auc(counted)
+
+
+def _auc(counts: DataFrame) -> DataFrame:
+    by_score = counts.groupBy("score").agg(
+        _sum(F.col("label_fraud")).cast("double").alias("pos"), _sum(~F.col("label_fraud")).cast("double").alias("neg")
     )
     below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     wins = F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0.0)) + F.col("neg") / 2)
@@ -90,10 +118,13 @@ def ring_recovery(accounts: DataFrame, mapping: DataFrame, scored: DataFrame, cf
 
 def ambiguous_friction(rows: DataFrame, accounts: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """One row: legitimate rows of ambiguous accounts, those flagged, and the share in percent."""
-    legit = _ambiguous_legit(rows, accounts)
-    flagged = F.count_if(F.col("final_score") >= cfg.review_threshold)
-    total = F.count(F.lit(1))
-    return legit.agg(
+    return _friction(decision_counts(rows, accounts, cfg))
+
+
+def _friction(counts: DataFrame) -> DataFrame:
+    legit = ~F.col("label_fraud") & F.col("ambiguous")
+    total, flagged = _sum(legit), _sum(legit & F.col("flagged"))
+    return counts.agg(
         total.alias("legit_rows"), flagged.alias("flagged_rows"), (_ratio(flagged, total) * 100).alias("friction_percent")
     )
 
@@ -121,7 +152,8 @@ def exemplars(rows: DataFrame, accounts: DataFrame, cfg: Settings = DEFAULT) ->
 def evaluation_table(
     rows: DataFrame, accounts: DataFrame, mapping: DataFrame, scored: DataFrame, cfg: Settings = DEFAULT
 ) -> DataFrame:
-    """Every figure of the report in one long table (metric, tier, value)."""
+    """Every figure of the report in one long table (metric, tier, value). The decisions are read once."""
+    counts = materialize(decision_counts(rows, accounts, cfg), "decision-counts")
 
     def melt(df: DataFrame, tier: Column, names: list[str]) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])
@@ -132,10 +164,10 @@ def evaluation_table(
         *[F.count_if(F.col("outcome") == o).alias(f"rings_{o}") for o in ("full", "partial", "missed")]
     )
     return (
-        melt(tier_metrics(rows, cfg), F.col("tier"), ["precision", "recall", "f1"])
-        .unionByName(melt(roc_auc(rows), every, ["roc_auc"]))
+        melt(_tiers(counts), F.col("tier"), ["precision", "recall", "f1"])
+        .unionByName(melt(_auc(counts), every, ["roc_auc"]))
         .unionByName(melt(rings, every, ["rings_full", "rings_partial", "rings_missed"]))
-        .unionByName(melt(ambiguous_friction(rows, accounts, cfg), every, ["legit_rows", "flagged_rows", "friction_percent"]))
+        .unionByName(melt(_friction(counts), every, ["legit_rows", "flagged_rows", "friction_percent"]))
     )
 
 

@@ -32,14 +32,55 @@ def prepare_data(features: DataFrame) -> DataFrame:
     return ready
 
 
-def is_holdout(cfg: Settings = DEFAULT) -> Column:
-    """A fixed share of rows by a hash of the id: the same rows on every run and in every engine, without a shuffle."""
-    number = F.conv(F.substring(F.md5(F.col("txn_id")), 1, 8), 16, 10).cast("long")
-    return number % 100 < cfg.holdout_percent
+def holdout_cuts(rows: DataFrame, cfg: Settings = DEFAULT) -> dict[bool | None, str | None]:
+    """Per label the hash up to which rows are held out: exactly `holdout_percent` of the label's rows, rounded to whole rows.
+
+    The k-th smallest md5 of the ids is found by counting hex digits, three at a time: every pass counts the rows whose hash goes on
+    from the prefix found so far, per label and next digits, and keeps the digits in which the k-th lies. Nothing is sorted; a pass
+    sends at most 4096 counts per label through one small shuffle and to the driver. Rows of one id stay together.
+    """
+    label = F.col("label_fraud") if "label_fraud" in rows.columns else F.lit(None).cast("boolean")
+    ids = rows.select(label.alias("label"), F.md5("txn_id").alias("hash"))
+    totals = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count("hash").alias("n")).collect()}
+    wanted = {x: (n * cfg.holdout_percent + 50) // 100 for x, n in totals.items()}
+    cuts: dict[bool | None, str | None] = {x: None for x, k in wanted.items() if k == 0}
+    prefix = {x: "" for x, k in wanted.items() if k}
+    while prefix:
+        size = len(next(iter(prefix.values())))
+        inside = F.lit(False)
+        for x, start in prefix.items():
+            inside = inside | (F.col("label").eqNullSafe(F.lit(x)) & F.col("hash").startswith(start))
+        counts = ids.where(inside).groupBy("label", F.substring("hash", size + 1, 3).alias("digits")).agg(F.count(F.lit(1)).alias("n"))
+        found = counts.orderBy("digits").collect()
+        for x in list(prefix):
+            left = wanted[x]
+            for r in found:
+                if r["label"] == x:
+                    if left <= r["n"]:
+                        break
+                    left -= r["n"]
+            prefix[x] += r["digits"]
+            if left == r["n"] or len(prefix[x]) == 32:
+                cuts[x] = prefix.pop(x)
+            else:
+                wanted[x] = left
+    return cuts
+
+
+def is_holdout(cuts: dict[bool | None, str | None], labelled: bool = True) -> Column:
+    """Whether a row is held out: the same rows on every run and in every engine, without a shuffle."""
+    label = F.col("label_fraud") if labelled else F.lit(None).cast("boolean")
+    chosen = F.lit(False)
+    for x, cut in cuts.items():
+        if cut is not None:
+            chosen = chosen | (label.eqNullSafe(F.lit(x)) & (F.substring(F.md5("txn_id"), 1, len(cut)) <= cut))
+    return F.coalesce(chosen, F.lit(False))
 
 
 def split(features: DataFrame, cfg: Settings = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    return features.where(~is_holdout(cfg)), features.where(is_holdout(cfg))
+    """(training rows, held-out rows), stratified by label. `features` is read a few times (ids and labels): pass a written table."""
+    held = is_holdout(holdout_cuts(features, cfg), "label_fraud" in features.columns)
+    return features.where(~held), features.where(held)
 
 
 def train(features: DataFrame, cfg: Settings = DEFAULT) -> PipelineModel:

@@ -117,6 +117,13 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
             coalesce(amount_zscore > 4 AND NOT geo_device_consistency, false)::BIGINT AS high_deviation_flag,
             (is_unusual_hour AND is_new_merchant_category)::BIGINT AS odd_hour_new_category_flag FROM features)""",
     ),
+    # of every label the fifth with the least hashes
+    "held": (
+        ("t",),
+        """
+    SELECT *, row_number() OVER (PARTITION BY label_fraud ORDER BY md5(txn_id))
+                <= (count(*) OVER (PARTITION BY label_fraud) * 20 + 50) // 100 AS held_out FROM t""",
+    ),
     "long_inputs": (
         ("ruled",),
         """
@@ -415,14 +422,17 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
   odd_hour_new_category_flag::DOUBLE AS odd_hour_new_category_flag, label_fraud::INT::DOUBLE AS label FROM ruled""",
     ),
     "holdout_split": (
-        ("t",),
-        """SELECT ('0x' || substr(md5(txn_id), 1, 8))::UBIGINT % 100 < 20 AS held_out, label_fraud, count(*) AS n
-  FROM t GROUP BY ALL""",
+        ("held",),
+        """SELECT held_out, label_fraud, count(*) AS n, sum(('0x' || substr(md5(txn_id), 1, 8))::UBIGINT)::BIGINT AS id_sum
+  FROM held GROUP BY ALL""",
     ),
     "model_checks": (
-        ("t",),
-        """SELECT label_fraud, count(*) AS n, TRUE AS within_range, TRUE AS same_when_loaded
-  FROM t WHERE ('0x' || substr(md5(txn_id), 1, 8))::UBIGINT % 100 < 20 GROUP BY ALL""",
+        ("held",),
+        "SELECT label_fraud, count(*) AS n, TRUE AS within_range, TRUE AS same_when_loaded FROM held WHERE held_out GROUP BY ALL",
+    ),
+    "model_quality": (
+        ("held",),
+        "SELECT count(*) AS held_out_rows, count(*) FILTER (label_fraud) AS frauds, TRUE AS auc_reached FROM held WHERE held_out",
     ),
     "blended_scores": (("layer1",), "SELECT txn_id, layer1_score FROM layer1"),
     "top_features": (("tops",), "SELECT txn_id, place, feature, round(value, 6) AS value, contribution FROM tops"),
@@ -555,6 +565,15 @@ FROM (SELECT cluster_id, count(*) AS size, count(*) FILTER (label_ring_member) A
     "live_action_totals": _TOTALS,
     "live_minute_counts": _MINUTES,
     "live_score_histogram": _BINS,
+    "live_features": (
+        ("features",),
+        """SELECT txn_id, velocity_1min, velocity_1hr, velocity_24hr, round(amount_zscore, 6) AS amount_zscore, is_new_merchant_category,
+  geo_device_consistency, is_unusual_hour, round(failure_retry_ratio, 6) AS failure_retry_ratio FROM features""",
+    ),
+    "live_layer1_scores": (
+        ("layer1",),
+        "SELECT txn_id, layer1_score, array_to_string(triggered_rules, ',') AS triggered_rules FROM layer1",
+    ),
     "live_ring_lookups": (
         ("t", "mapping", "scored"),
         """SELECT txn_id, account_id, cluster_id AS ring_membership, ring_score

@@ -5,6 +5,7 @@ Every stage that more than one later stage reads is written once to the shared f
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.ml import PipelineModel
@@ -80,8 +81,13 @@ class BatchRun:
     def log(self) -> DataFrame:
         return audit.log_entries(self.fused, self.layer1, self.scored)
 
+    @cached_property
+    def _labelled(self) -> DataFrame:
+        return materialize(evaluate.labelled(self.log, self.transactions), "labelled")
+
     def labelled(self) -> DataFrame:
-        return evaluate.labelled(self.log, self.transactions)
+        """Log entries with label and account, joined once for all that is measured."""
+        return self._labelled
 
     def write(self, folder: str) -> None:
         """Publish model, clusters, audit log and metrics."""
@@ -91,7 +97,8 @@ class BatchRun:
         tables.write_table(self.mapping, f"{folder}/mapping")
         tables.replace_audit(self.log, f"{folder}/audit_log")
         log = tables.read_audit(self.accounts.sparkSession, f"{folder}/audit_log")
-        rows = evaluate.labelled(log, self.transactions)
+        tables.publish_audit(log, f"{folder}/audit_index", uuid.uuid4().hex, self.cfg)
+        rows = materialize(evaluate.labelled(log, self.transactions), "labelled")
         tables.write_metrics(evaluate.uplift(rows, self.cfg), f"{folder}/metrics")
         report = evaluate.evaluation_table(rows, self.accounts, self.mapping, self.scored, self.cfg)
         tables.write_table(report, f"{folder}/evaluation")

@@ -77,6 +77,8 @@ AUDIT = T.StructType(
     ]
 )
 
+AUDIT_INDEX = T.StructType([*AUDIT.fields, T.StructField("run", T.StringType()), T.StructField("bucket", T.IntegerType())])
+
 METRICS = T.StructType(
     [
         T.StructField("total_fraud_test_set", T.LongType()),

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ringsight.schemas import ACCOUNTS, AUDIT, CLUSTERS, METRICS, TRANSACTIONS
+from ringsight.config import DEFAULT, Settings
+from ringsight.schemas import ACCOUNTS, AUDIT, AUDIT_INDEX, CLUSTERS, METRICS, TRANSACTIONS
 
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
@@ -35,6 +37,26 @@ def replace_audit(entries: DataFrame, path: str) -> None:
     entries.write.mode("overwrite").json(path)
 
 
+def audit_bucket(txn_id: Column, cfg: Settings = DEFAULT) -> Column:
+    return F.pmod(F.xxhash64(txn_id), F.lit(cfg.audit_buckets)).cast("int")
+
+
+def publish_audit(entries: DataFrame, path: str, run: str, cfg: Settings = DEFAULT) -> None:
+    """Add a run's entries in the layout for lookups: partitioned by run and bucket of txn_id, sorted by ring in each file.
+
+    A transaction is in one bucket, so its trail reads 1 / `audit_buckets` of a run's files. Files are sorted by ring, so the
+    least and greatest ring of their row groups let a history skip most of the rest.
+    """
+    laid = entries.withColumns({"run": F.lit(run), "bucket": audit_bucket(F.col("txn_id"), cfg)})
+    sorted_ = laid.repartition(cfg.audit_buckets, "bucket").sortWithinPartitions("bucket", "ring_membership", "timestamp", "txn_id")
+    sorted_.write.mode("append").partitionBy("run", "bucket").parquet(path)
+
+
+def read_published_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The entries with `run` and `bucket`."""
+    return spark.read.schema(AUDIT_INDEX).parquet(path)
+
+
 def write_clusters(clusters: DataFrame, path: str) -> None:
     clusters.write.mode("overwrite").parquet(path)
 

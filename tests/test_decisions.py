@@ -34,7 +34,7 @@ def test_split_is_fixed_and_near_its_share(spark):
     rows = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("txn_id"), (F.col("id") % 10 == 0).alias("label_fraud"))
     train, held_out = model.split(rows)
     assert train.count() + held_out.count() == 5000
-    shares = {r.label_fraud: r.share for r in rows.groupBy("label_fraud").agg(F.avg(model.is_holdout().cast("int")).alias("share")).collect()}
+    shares = {r.label_fraud: r.share for r in rows.groupBy("label_fraud").agg(F.avg(model.is_holdout(model.holdout_cuts(rows)).cast("int")).alias("share")).collect()}
     assert shares[True] == pytest.approx(0.2, abs=0.05) and shares[False] == pytest.approx(0.2, abs=0.02)
     assert held_out.exceptAll(model.split(rows.repartition(3))[1]).isEmpty()
 

@@ -23,6 +23,10 @@ def run(stream, tmp_path, name, mode):
     return str(tmp_path / name)
 
 
+def read(spark, sink, schema, mode):
+    return live.read_published(spark, sink, schema) if mode == "complete" else spark.read.schema(schema).parquet(sink)
+
+
 def test_tail_reads_every_entry_once_across_restarts(spark, tmp_path):
     path = str(tmp_path / "log")
     seen = []
@@ -45,10 +49,52 @@ def test_live_views_equal_the_batch_views(spark, tmp_path):
     for name, (streamed, direct) in views.items():
         sink = run(streamed(live.tail_audit(spark, path)), tmp_path, name, "complete")
         want = direct(batch)
-        got = spark.read.schema(want.schema).parquet(sink)
+        got = read(spark, sink, want.schema, "complete")
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), name
 
 
+def test_versions_are_published_whole_and_once(spark, tmp_path):
+    sink, schema = str(tmp_path / "sink"), "action_taken string, decisions long"
+    frame = lambda n: spark.createDataFrame([("log_only", n)], schema)
+    types = frame(0).schema
+    assert live.read_published(spark, sink, types).isEmpty()
+    live.publish(frame(1), 0, sink)
+    live.publish(frame(2), 1, sink)
+    live.publish(frame(99), 1, sink)  # a replay of the same batch
+    assert [r.decisions for r in live.read_published(spark, sink, types).collect()] == [2]
+    assert live.versions(spark, sink).count() == 2
+    # data without an entry in the list, as an interrupted batch leaves it, is not seen
+    frame(3).write.parquet(f"{sink}/version-000000000002-interrupted")
+    assert [r.decisions for r in live.read_published(spark, sink, types).collect()] == [2]
+    live.publish(frame(4), 2, sink)
+    assert [r.decisions for r in live.read_published(spark, sink, types).collect()] == [4]
+
+
+def test_totals_grow_from_version_to_version(spark, tmp_path):
+    path = str(tmp_path / "log")
+    seen = []
+    for part in (range(0, 30), range(30, 50)):
+        tables.append_audit(log(spark, part), path)
+        stream = live.action_totals(live.tail_audit(spark, path))
+        sink = run(stream, tmp_path, "totals", "complete")
+        seen.append(sum(r.decisions for r in live.read_published(spark, sink, stream.schema).collect()))
+    assert seen == [30, 50]
+
+
+def test_rows_behind_the_watermark_are_dropped_and_counted_once(spark, tmp_path):
+    path, dropped = str(tmp_path / "log"), 0
+    for part in (range(0, 40), [400], [1], [800]):  # the entry of the first minute comes after it was closed
+        tables.append_audit(log(spark, part), path)
+        stream = live.minute_counts(live.tail_audit(spark, path))
+        query = live.run_available(stream, str(tmp_path / "late"), str(tmp_path / "late-state"))
+        query.awaitTermination()
+        dropped += sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    want = audit.actions_per_minute(log(spark, [*range(0, 40), 400]))
+    got = spark.read.schema(want.schema).parquet(str(tmp_path / "late"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert dropped == 1
+
+
 def test_minutes_are_final_behind_the_watermark(spark, tmp_path):
     path = str(tmp_path / "log")
     for part in (range(0, 40), [400]):  # the late entry moves the watermark past the first minutes
