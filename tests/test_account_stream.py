@@ -24,7 +24,7 @@ LAST = transaction("zz", "sentinel", START + timedelta(days=4000))
 @pytest.fixture(autouse=True)
 def few_state_partitions(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
     yield
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
