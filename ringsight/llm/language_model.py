@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from ringsight.llm.common import held, sum_arrays
 from ringsight.llm.gru import Gru, score, train
-from ringsight.llm.pieces import BLOCK_CHARS, _scan
+from ringsight.llm.pieces import _scan
 from ringsight.session import materialize
 
 HEAD, CLASSES = 1000, 28
+BLOCK_CHARS = 1 << 24
 #: Rounds of training; each training document belongs to one of them, by a hash.
 ROUNDS = 2
 #: Bands below this are single counts, so leaving one out moves a word to the band before. The last of them, 4, is told apart for

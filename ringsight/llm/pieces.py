@@ -28,7 +28,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +37,8 @@ MARK = "▁"
 LONG = 512
 DIRECT = 1 << 31
 #: Buckets of units, as a multiple of the shuffle partitions: the edges of a task must fit its memory.
-SPREAD = 4
-BLOCK_CHARS = 1 << 24
+SPREAD = 16
+BLOCK_CHARS = 1 << 23
 _FINE_RUNS = re.compile(f"{MARK}*[^\\W\\d_{MARK}]+|{MARK}*(?:[\\W\\d_](?<!{MARK}))+|{MARK}+")
 _COARSE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -114,13 +113,24 @@ def segment(unit: str, scores: dict[str, tuple[float, int]], longest: int, unkno
 
 
 def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, text and the place they were read from; tables that are not files are written first."""
+    """key, text and the place they were read from; whatever is not a plain scan of files is written first.
+
+    Spark resolves the place of a row behind a shuffle, a join or a union too, but there rows of one place are in many tasks.
+    """
     columns = [F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text")]
     place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at")]
-    try:
-        return docs.select(*columns, *place)
-    except AnalysisException:
-        return materialize(docs.select(*columns), "piece-texts").select("key", "text", *place)
+    if not _plain_scan(docs):
+        docs = materialize(docs.select(*columns), "piece-texts")
+        columns = ["key", "text"]
+    return docs.select(*columns, *place)
+
+
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether a table is a scan of files with nothing but columns and filters above it."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.children().isEmpty() and node.nodeName() == "LogicalRelation" and bool(docs.inputFiles())
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, long_ids: Callable[[str], list[int]], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -236,8 +246,6 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     spark = docs.sparkSession
     buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a bucket's units are grouped in memory; the default turns to sorting after 128 of them
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
     listed = scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True, long_ids, buckets), "block long, bucket int, units string")
     rows = listed.repartition(buckets, "bucket").select("block", "bucket", F.posexplode(F.split("units", " ")).alias("n", "unit"))
     # grouping by (bucket, ...) keeps the layout by bucket; a unit has one place in a block

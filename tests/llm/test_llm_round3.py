@@ -288,3 +288,25 @@ def test_empty_tables_of_the_new_operators(spark, nothing):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     found = repair.repair_conversations(empty)
     assert found.summary.collect() == [] and found.rows.collect() == []
+
+
+def test_scans_are_told_from_shuffled_tables(spark, tmp_path):
+    """Blocks are named by the place of a file only where a task reads that place as a whole."""
+    from ringsight.llm import language_model, pieces
+
+    pick = random.Random(1)
+    rows = [(k, " ".join(pick.choice(["on", "the", "ré", "x y", "ing."]) + str(pick.randrange(9)) for _ in range(pick.randrange(40)))) for k in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    ids = docs.select("doc_id").distinct()
+    forms = {"plain": docs, "dealt": docs.repartition(7), "sorted": docs.orderBy("text"), "joined": docs.join(ids, "doc_id"), "both": docs.where("doc_id < 100").union(docs.where("doc_id >= 100"))}
+    assert [name for name, form in forms.items() if pieces._plain_scan(form)] == ["plain"]
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    counts = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")
+    want = None
+    for form in forms.values():
+        found = sorted((r["doc_id"], list(r["ids"]), r["decoded"]) for r in pieces.encode(form, model).collect())
+        told = sorted(tuple(round(r[c], 6) for c in counts) for r in language_model.score_documents(form).select(*counts).collect())
+        want = want or (found, told)
+        assert (found, told) == want
