@@ -255,6 +255,15 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     spelled = spelled.agg(F.sort_array(F.collect_list(F.struct("p.n", "ids"))).alias("u")).select(
         "block", "bucket", F.transform("u.ids", lambda i: F.size(i).cast("short")).alias("sizes"), F.flatten("u.ids").alias("ids")
     )
+    # A bucket is small, so its units are grouped by hash; the default would turn to sorting all edges after 128 of them. The setting
+    # holds for this one table only.
+    setting = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "100000")
+    try:
+        spelled = materialize(spelled, "piece-paths")
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
     numbered = scan.mapInArrow(
         lambda x: _blocks(x, re.compile(cut), False, long_ids, buckets), f"key {kind}, block long, numbers binary, crc long"
     )
