@@ -11,28 +11,39 @@ from ringsight.operators.fusion import DECISION, EVIDENCE
 from ringsight.sources.tables import audit_bucket
 
 
+# The published wording of reasons.
+BLOCKED, FLAGGED, LOGGED = "blocked", "flagged for review", "logged"
+FEATURE_TEXT = "%s (%s)"
+RULES_TEXT = "Triggered hard rules (%s)"
+MODEL_TEXT = "Suspicious behavior detected by ML model"
+LAYER1_TEXT = "Transaction %s: %s. Top contributing features were %s."
+LAYER2_TEXT = "Transaction %s: account belongs to %s (%s accounts sharing %s; %s)."
+NO_SIGNALS = "weak proximity signals"
+NO_FLAGS = "general suspicious synchrony"
+
+
 def _verb(action: Column) -> Column:
-    return F.when(action == "block", "blocked").when(action == "flag_for_review", "flagged for review").otherwise("logged")
+    return F.when(action == "block", BLOCKED).when(action == "flag_for_review", FLAGGED).otherwise(LOGGED)
 
 
 def layer1_explanation(action: Column, rules: Column, top: Column) -> Column:
-    named = F.transform(top, lambda t: F.format_string("%s (%s)", t["feature"], t["contribution"]))
+    named = F.transform(top, lambda t: F.format_string(FEATURE_TEXT, t["feature"], t["contribution"]))
     cause = F.when(
-        F.size(rules) > 0, F.format_string("Triggered hard rules (%s)", F.array_join(rules, ", "))
-    ).otherwise("Suspicious behavior detected by ML model")
+        F.size(rules) > 0, F.format_string(RULES_TEXT, F.array_join(rules, ", "))
+    ).otherwise(MODEL_TEXT)
     return F.format_string(
-        "Transaction %s: %s. Top contributing features were %s.", _verb(action), cause, F.array_join(named, ", ")
+        LAYER1_TEXT, _verb(action), cause, F.array_join(named, ", ")
     )
 
 
 def layer2_explanation(action: Column, cluster_id: Column, size: Column, signals: Column, flags: Column) -> Column:
     return F.format_string(
-        "Transaction %s: account belongs to %s (%s accounts sharing %s; %s).",
+        LAYER2_TEXT,
         _verb(action),
         cluster_id,
         size.cast("string"),
-        joined_or(signals, "weak proximity signals"),
-        joined_or(flags, "general suspicious synchrony"),
+        joined_or(signals, NO_SIGNALS),
+        joined_or(flags, NO_FLAGS),
     )
 
 
