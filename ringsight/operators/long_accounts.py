@@ -1,9 +1,10 @@
-"""Features of accounts too long for one task, as running sums over time segments.
+"""Features of accounts too long for one task, as running sums over segments of equal row count.
 
-Each such account is cut into equal time segments, narrow enough that none holds more than `account_rows_per_task` rows
-(rows of one millisecond stay together). A row entering a look-back window counts +1 at its own time and -1 at the moment
-it leaves the window, so every window feature is a running sum over those marks. A segment starts from the totals of all
-earlier segments, which are computed on one small row per segment and key.
+The rows of long accounts are sorted over all tasks by (account, time, id), numbered by partial counts, and cut by that rank: a
+dense burst, even one within a single moment, is as many segments as it has rows for. A row entering a look-back window counts +1 at
+its own time and -1 at the moment it leaves the window, so every window feature is a running sum over those marks; the marks are
+sorted and cut in the same way, because many rows can leave at once too. A segment starts from the totals of all earlier
+segments, which are computed on one small row per segment and key. Amounts carry (n, mean, M2), not raw squares.
 """
 
 from __future__ import annotations
@@ -15,61 +16,51 @@ from ringsight.config import Settings
 from ringsight.functions import hour_of_day, micros
 from ringsight.session import exceeds, hint, materialize
 
-# Candidate segment widths in microseconds, widest first: 30 days, 1 day, 1 hour, 1 minute, 1 second, 1 millisecond.
-WIDTHS = (2_592_000_000_000, 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000)
 KEYS = ["account_id", "seg"]
 MARK_CARRY, MARK_LEAVE, MARK_ROW = 0, 1, 2
 
 
 def find(transactions: DataFrame, cfg: Settings) -> DataFrame | None:
-    """(account_id, width) of the accounts above the limit, or None when there are none."""
+    """(account_id) of the accounts above the limit, or None when there are none."""
     counts = transactions.groupBy("account_id").count()
     if not exceeds(counts, "count", cfg.account_rows_per_task):
         return None
-    long = materialize(counts.where(F.col("count") > cfg.account_rows_per_task).select("account_id"), "long-accounts")
-    fine = (
-        transactions.join(hint(long, cfg.broadcast_rows), "account_id", "left_semi")
-        .groupBy("account_id", F.floor(micros(F.col("timestamp")) / WIDTHS[-1]).alias("slot"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    fullest = (
-        fine.withColumn("width", F.explode(F.array(*[F.lit(w) for w in WIDTHS])))
-        .groupBy("account_id", "width", F.floor(F.col("slot") * WIDTHS[-1] / F.col("width")).alias("slot"))
-        .agg(F.sum("n").alias("n"))
-        .groupBy("account_id", "width")
-        .agg(F.max("n").alias("fullest"))
-    )
-    fits = F.when(F.col("fullest") <= cfg.account_rows_per_task, F.col("width"))
-    widths = fullest.groupBy("account_id").agg(F.coalesce(F.max(fits), F.lit(WIDTHS[-1])).alias("width"))
-    return materialize(widths, "long-account-widths")
+    return materialize(counts.where(F.col("count") > cfg.account_rows_per_task).select("account_id"), "long-accounts")
 
 
-def tag(transactions: DataFrame, long: DataFrame, averages: DataFrame, cfg: Settings) -> DataFrame:
-    """Rows of long accounts with their segment, the account average and its first amount that is known.
+def segments(rows: DataFrame, order: list[str], label: str, cfg: Settings) -> DataFrame:
+    """`rows` with `seg`: runs of `account_rows_per_task` rows of an account, in the given order.
 
-    Amounts are measured from the first one before they are squared, so equal amounts have a spread of exactly zero.
+    A range partitioning sorts all rows; a row's rank is its place in its partition plus the rows that earlier partitions hold of its
+    account. Those are counted in a table of at most one row per account and partition border.
     """
-    joined = transactions.join(hint(long, cfg.broadcast_rows), "account_id").withColumn("us", micros(F.col("timestamp")))
-    known = F.when(F.col("amount").isNotNull(), F.struct("us", "txn_id"))
-    first = joined.groupBy("account_id").agg(F.min_by("amount", known).alias("first_amount"))
-    about = materialize(
-        long.join(averages, "account_id", "left").join(first, "account_id", "left"), "long-account-facts"
-    )
-    return (
-        transactions.join(hint(about, cfg.broadcast_rows), "account_id")
-        .withColumn("us", micros(F.col("timestamp")))
-        .withColumn("seg", F.floor(F.col("us") / F.col("width")))
-    )
+    keys = ["account_id", *order]
+    laid = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = materialize(laid.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), label)
+    runs = placed.groupBy("account_id", "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("account_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("account_id", "part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("off"))
+    rank = F.col("place") - F.col("first") + F.col("off")
+    met = placed.join(hint(materialize(runs, f"{label}-runs"), cfg.broadcast_rows), ["account_id", "part"])
+    return met.withColumn("seg", F.floor(rank / cfg.account_rows_per_task)).drop("part", "place", "first", "off")
+
+
+def tag(transactions: DataFrame, long: DataFrame, averages: DataFrame, cfg: Settings) -> DataFrame:
+    """Rows of long accounts with their segment and the account average."""
+    about = materialize(long.join(averages, "account_id", "left"), "long-account-facts")
+    rows = transactions.join(hint(about, cfg.broadcast_rows), "account_id").withColumn("us", micros(F.col("timestamp")))
+    return segments(rows, ["us", "txn_id"], "long-ordered", cfg)
 
 
 def features(tagged: DataFrame, columns: list[str], lookbacks: dict[str, int], cfg: Settings) -> DataFrame:
     from ringsight.operators.features import retry_ratio, unusual_hour, zscore
 
     rows = materialize(_with_retries(tagged, cfg), "long-rows")
-    counted = materialize(_running_sums(rows, columns, lookbacks), "long-sums")
+    counted = materialize(_running_sums(rows, columns, lookbacks, cfg), "long-sums")
     counted = _with_usual_pair(counted)
 
-    n, s1, s2 = F.col("n_before"), F.col("s1_before"), F.col("s2_before")
+    # sums are taken around the mean of the earlier segments, which adds nothing to the first and M2 to the second
+    n, s1, s2 = F.col("n_carried") + F.col("n_before"), F.col("s1_before"), F.col("m2_carried") + F.col("s2_before")
     spread = F.greatest(s2 - s1 * s1 / n, F.lit(0.0)) / (n - 1)
     prior_std = F.when(n > 1, F.sqrt(spread))
     return counted.select(
@@ -105,53 +96,70 @@ def _with_retries(tagged: DataFrame, cfg: Settings) -> DataFrame:
     return rows.withColumn("is_retry", is_retry(status, us, cfg)).drop("place", "s", "u", "tail_status", "tail_us")
 
 
-def _running_sums(rows: DataFrame, columns: list[str], lookbacks: dict[str, int]) -> DataFrame:
+def _amounts_before(marks: DataFrame) -> DataFrame:
+    """Per segment (n, mean, M2) of the amounts in earlier segments, and the value that sums are taken around.
+
+    Means are combined around the account's own mean; equal amounts are told by their least and greatest, so that their spread is
+    exactly zero.
+    """
+    first = F.min_by("amount", F.when(F.col("amount").isNotNull(), F.struct("us", "txn_id")))
+    per = marks.where(F.col("kind") == MARK_ROW).groupBy(*KEYS).agg(
+        F.count("amount").alias("n"), F.avg("amount").alias("mean"), (F.var_pop("amount") * F.count("amount")).alias("m2"),
+        F.min("amount").alias("low"), F.max("amount").alias("high"), first.alias("first_amount"),
+    )
+    every = marks.select(*KEYS).distinct().join(per, KEYS, "left")
+    whole = per.groupBy("account_id").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("middle"))
+    off = F.col("mean") - F.col("middle")
+    earlier = _earlier_segments()
+    sums = every.join(whole, "account_id", "left").select(
+        *KEYS, "middle", "first_amount",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_carried"),
+        F.coalesce(F.sum(F.col("n") * off).over(earlier), F.lit(0.0)).alias("a"),
+        F.coalesce(F.sum(F.col("m2") + F.col("n") * off * off).over(earlier), F.lit(0.0)).alias("b"),
+        F.min("low").over(earlier).alias("low"), F.max("high").over(earlier).alias("high"),
+    )
+    n, same = F.col("n_carried"), F.col("low") == F.col("high")
+    return sums.select(
+        *KEYS, "n_carried",
+        F.when((n == 0) | same, 0.0).otherwise(F.greatest(F.col("b") - F.col("a") * F.col("a") / n, F.lit(0.0))).alias("m2_carried"),
+        F.when(n == 0, F.col("first_amount")).when(same, F.col("low")).otherwise(F.col("middle") + F.col("a") / n).alias("origin"),
+    )
+
+
+def _running_sums(rows: DataFrame, columns: list[str], lookbacks: dict[str, int], cfg: Settings) -> DataFrame:
     longest = max(lookbacks, key=lookbacks.get)
-    shifted = F.col("amount") - F.col("first_amount")
-    totals = [*lookbacks, "retries", "rows", "n", "s1", "s2"]
+    totals = [*lookbacks, "retries", "rows"]
 
     def marks(kind: int, **values):
-        return [F.lit(kind).alias("kind"), *[values.get(t, F.lit(0)).cast("double" if t in ("s1", "s2") else "long").alias(t) for t in totals]]
+        return [F.lit(kind).alias("kind"), *[values.get(t, F.lit(0)).cast("long").alias(t) for t in totals]]
 
     arrivals = rows.withColumn("hour", hour_of_day(F.col("timestamp"))).select(
-        *KEYS,
+        "account_id",
         "us",
         *[c for c in columns if c != "account_id"],
         "historical_avg_amount",
         "hour",
-        *marks(
-            MARK_ROW,
-            **{name: F.lit(1) for name in lookbacks},
-            retries=F.col("is_retry"),
-            rows=F.lit(1),
-            n=F.col("amount").isNotNull(),
-            s1=F.coalesce(shifted, F.lit(0.0)),
-            s2=F.coalesce(shifted * shifted, F.lit(0.0)),
-        ),
-        *[F.lit(1).cast("long").alias(w) for w in ("category_w", "pair_w", "hour_w")],
+        *marks(MARK_ROW, **{name: F.lit(1) for name in lookbacks}, retries=F.col("is_retry"), rows=F.lit(1)),
     )
-
     leaving = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(w).alias("after")) for n, w in lookbacks.items()]))
-    departures = (
-        rows.select("account_id", "width", "us", "is_retry", leaving.alias("leave"))
-        .withColumn("us", F.col("us") + F.col("leave.after"))
-        .select(
-            "account_id",
-            F.floor(F.col("us") / F.col("width")).alias("seg"),
-            "us",
-            *marks(
-                MARK_LEAVE,
-                **{name: F.when(F.col("leave.name") == name, -1).otherwise(0) for name in lookbacks},
-                retries=F.when(F.col("leave.name") == longest, -F.col("is_retry")).otherwise(0),
-            ),
-        )
+    departures = rows.select("account_id", "us", "is_retry", leaving.alias("leave")).select(
+        "account_id",
+        (F.col("us") + F.col("leave.after")).alias("us"),
+        *marks(
+            MARK_LEAVE,
+            **{name: F.when(F.col("leave.name") == name, -1).otherwise(0) for name in lookbacks},
+            retries=F.when(F.col("leave.name") == longest, -F.col("is_retry")).otherwise(0),
+        ),
     )
+    every = arrivals.unionByName(departures, allowMissingColumns=True)
+    every = materialize(segments(every, ["us", "kind", "txn_id"], "long-marks", cfg), "long-segments")
+    amounts = _amounts_before(every)
+    weight = F.when(F.col("kind") == MARK_ROW, 1).cast("long")
+    every = every.withColumns({w: weight for w in ("category_w", "pair_w", "hour_w")})
+    arrivals = every.where(F.col("kind") == MARK_ROW)
 
-    moves = [*KEYS, *totals]
     carried = (
-        arrivals.select(*moves)
-        .unionByName(departures.select(*moves))
-        .groupBy(*KEYS)
+        every.groupBy(*KEYS)
         .agg(*[F.sum(t).alias(t) for t in totals])
         .select(*KEYS, *[F.sum(t).over(_earlier_segments()).alias(t) for t in totals])
         .where(F.col("rows").isNotNull())
@@ -168,9 +176,8 @@ def _running_sums(rows: DataFrame, columns: list[str], lookbacks: dict[str, int]
             .withColumn("kind", F.lit(MARK_CARRY))
         )
 
-    everything = arrivals
+    everything = every
     for part in (
-        departures,
         carried,
         carried_by("category_w", "merchant_category"),
         carried_by("pair_w", "geo_location", "device_id"),
@@ -179,7 +186,15 @@ def _running_sums(rows: DataFrame, columns: list[str], lookbacks: dict[str, int]
         everything = everything.unionByName(part, allowMissingColumns=True)
 
     # one shuffle for all the windows, whatever else they group by
-    everything = everything.repartition(*KEYS)
+    everything = everything.repartition(*KEYS).join(amounts, KEYS, "left")
+    shifted = F.col("amount") - F.col("origin")
+    everything = everything.withColumns(
+        {
+            "n": F.col("amount").isNotNull().cast("long"),
+            "s1": F.coalesce(shifted, F.lit(0.0)),
+            "s2": F.coalesce(shifted * shifted, F.lit(0.0)),
+        }
+    )
     order = [F.col("us").asc_nulls_first(), "kind", "txn_id"]
 
     def upto(*key: str):
@@ -205,6 +220,8 @@ def _running_sums(rows: DataFrame, columns: list[str], lookbacks: dict[str, int]
         "pair_seen",
         *[f"in_{name}" for name in [*lookbacks, "retries"]],
         *[f"{name}_before" for name in ("rows", "n", "s1", "s2")],
+        "n_carried",
+        "m2_carried",
     ]
     return sums.where(F.col("kind") == MARK_ROW).select(*kept)
 

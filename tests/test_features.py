@@ -1,3 +1,4 @@
+import random
 import re
 from datetime import timedelta
 
@@ -13,7 +14,8 @@ from samples import (
 )
 
 from ringsight.config import Settings
-from ringsight.operators.features import FEATURES, extract_features
+from ringsight.operators.features import FEATURES, LOOKBACKS, extract_features
+from ringsight.operators import long_accounts
 from ringsight.operators.rules import RULES, Rule, evaluate_rules
 
 ONE_TASK = Settings()
@@ -132,3 +134,52 @@ def test_unknown_amounts_do_not_hide_the_spread(spark, cfg):
     rows = [transaction(f"t{i}", "a", START + timedelta(hours=i), x) for i, x in enumerate(amounts)]
     got = {r["txn_id"]: r["amount_zscore"] for r in scored(spark, [account("a")], rows, cfg).collect()}
     assert [round(got[f"t{i}"], 4) for i in (3, 4, 5)] == [-8.4853, -1.3093, 1.9382]
+
+
+def burst(n_moment=10_000, n_dense=3_000, n_sparse=301):
+    """One account: many rows in one millisecond, a dense hour, a sparse year around them, and amounts that are unknown."""
+    rng = random.Random(17)
+    when = [START + timedelta(milliseconds=7)] * n_moment
+    when += [START + timedelta(days=3, microseconds=rng.randrange(3_600_000_000)) for _ in range(n_dense)]
+    when += [START + timedelta(minutes=rng.randrange(525_600)) for _ in range(n_sparse)]
+    return [
+        transaction(
+            f"t{k:06d}", "a", at, rng.choice([None, 5.0, 37.21, 1e6 + 0.1]), merchant_category=rng.choice(["a", "b", None]),
+            device_id=rng.choice(["d1", "d2", None]), status=rng.choice(["failed", "success"]),
+        )
+        for k, at in enumerate(when)
+    ]
+
+
+def test_bursts_are_cut_into_equal_segments(spark):
+    rows = burst()
+    cfg = Settings(account_rows_per_task=700)
+    t, a = transactions_frame(spark, rows), accounts_frame(spark, [account("a")])
+    long = long_accounts.find(t, cfg)
+    tagged = long_accounts.tag(t, long, a.select("account_id", "historical_avg_amount"), cfg)
+    sizes = [r["count"] for r in tagged.groupBy("seg").count().orderBy("seg").collect()]
+    assert sizes[:-1] == [700] * (len(rows) // 700) and sum(sizes) == len(rows)
+    got = {r["txn_id"]: r for r in extract_features(t, a, cfg).collect()}
+    want = extract_features(t, a, ONE_TASK).collect()
+    assert len(got) == len(want) == len(rows)
+    for r in want:
+        for name in FEATURES:
+            value = r[name] if r[name] is None else pytest.approx(r[name], rel=1e-6, abs=1e-9)
+            assert got[r["txn_id"]][name] == value, (r["txn_id"], name)
+
+
+def test_equal_amounts_in_many_segments_have_no_spread(spark):
+    rows = [transaction(f"t{k:03d}", "a", START + timedelta(hours=k), 37.21) for k in range(40)]
+    got = scored(spark, [account("a", historical_avg_amount=30.0)], rows, SEGMENTS).collect()
+    assert all(r["amount_zscore"] == pytest.approx(7.21) for r in got)
+
+
+def test_no_window_over_rows_is_by_account_alone(spark):
+    t, a = transactions_frame(spark, burst(60, 40, 10)), accounts_frame(spark, [account("a")])
+    cfg = Settings(account_rows_per_task=10)
+    tagged = long_accounts.tag(t, long_accounts.find(t, cfg), a.select("account_id", "historical_avg_amount"), cfg)
+    found = long_accounts.features(tagged, t.columns, LOOKBACKS, cfg)
+    windows = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Window [" in x]
+    # windows over segments (one row each) hold peaks; those over rows are within a segment
+    rows = [x for x in windows if "txn_id" in x]
+    assert rows and all(re.search(r"\[account_id#\d+, seg#", x) for x in rows)
