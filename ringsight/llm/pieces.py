@@ -1,13 +1,14 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-1. Texts are cut into units that no piece can cross (a run of the space mark with the letters, or the other characters, after
-   it). Each block of text numbers its distinct units; only those are shuffled, never the tokens of every document: by buckets of
-   a unit's hash, a block's units of a bucket in one string. The one shuffle by bucket serves all steps up to the paths.
+1. Texts are cut into units that no piece can cross: between any two characters that follow each other in no piece. Each block of
+   text numbers its distinct units; only those are shuffled, never the tokens of every document: by buckets of a unit's hash, a
+   block's units of a bucket in one string. The one shuffle by bucket serves all steps up to the paths.
 2. The distinct units are exploded into substrings of at most the longest piece's length and joined to the piece table on
    equality. That gives the edges of each unit's lattice; a character that no piece holds gets an edge of its own.
 3. Edges are grouped by unit and the places of the unit folded with Spark's higher-order aggregate (Viterbi): best score up to
    each place and the edge that reached it; of equal scores the one with the longer last piece wins. A second fold walks back.
-4. Each block gets the ids of its units and spells its documents; unknown characters become byte pieces.
+4. Only units pass through the lattice, never their places: each bucket then looks up the paths for the listings of all blocks, and
+   each block spells its documents from them; unknown characters become byte pieces.
 
 The segmentation is the one of the best total score, which the sentencepiece library gives when it treats the same piece file
 as a unigram model. Units of more than `LONG` characters would make one array of edges too large, so a block's task runs the
@@ -20,7 +21,6 @@ turns the space mark into a space, and drops the space put before the text; a te
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -36,11 +36,9 @@ from ringsight.session import materialize
 MARK = "▁"
 LONG = 512
 DIRECT = 1 << 31
-#: Buckets of units, as a multiple of the shuffle partitions: the edges of a task must fit its memory.
-SPREAD = 16
+#: Buckets of units: at least so many for each shuffle partition, and one for so many characters of text.
+SPREAD, BUCKET_CHARS = 4, 1 << 24
 BLOCK_CHARS = 1 << 23
-_FINE_RUNS = re.compile(f"{MARK}*[^\\W\\d_{MARK}]+|{MARK}*(?:[\\W\\d_](?<!{MARK}))+|{MARK}+")
-_COARSE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 @dataclass(frozen=True)
@@ -51,7 +49,6 @@ class Pieces:
     byte_ids: list[int]
     unknown: int
     size: int
-    pattern: str
 
     @property
     def longest(self) -> int:
@@ -61,6 +58,9 @@ class Pieces:
         rows = list(zip(self.names, self.ids, self.scores, strict=True))
         return spark.createDataFrame(rows, "piece string, id int, score double")
 
+    def cutter(self) -> Cutter:
+        return Cutter(sorted({x for name in self.names for x in zip(name, name[1:], strict=False)}))
+
     @property
     def unknown_score(self) -> float:
         return min(self.scores) - 10
@@ -76,7 +76,7 @@ class Pieces:
 
 
 def load_pieces(path: str) -> Pieces:
-    """The piece table of a model file, and the finest way to cut texts that no piece crosses."""
+    """The piece table of a model file."""
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=path)
@@ -88,11 +88,32 @@ def load_pieces(path: str) -> Pieces:
             names.append(model.id_to_piece(i))
             ids.append(i)
             scores.append(model.get_score(i))
-    has_bytes = any(byte_ids)
-    for pattern in (_FINE_RUNS, _COARSE):
-        if all(pattern.fullmatch(x) for x in names):
-            return Pieces(names, ids, scores, byte_ids if has_bytes else [], model.unk_id(), model.get_piece_size(), pattern.pattern)
-    raise ValueError("pieces cross the space mark")
+    return Pieces(names, ids, scores, byte_ids if any(byte_ids) else [], model.unk_id(), model.get_piece_size())
+
+
+class Cutter:
+    """Cuts texts between any two characters that follow each other in no piece; so no piece crosses a cut."""
+
+    def __init__(self, pairs: list[tuple[str, str]]):
+        self.pairs, self.tables = pairs, None
+
+    def __reduce__(self):
+        return Cutter, (self.pairs,)  # tasks build their own tables
+
+    def __call__(self, text: str) -> list[str]:
+        if self.tables is None:
+            letters = sorted({x for pair in self.pairs for x in pair})
+            numbers = np.zeros(0x110000, np.int32)
+            numbers[[ord(x) for x in letters]] = np.arange(1, len(letters) + 1)
+            joined = np.zeros((len(letters) + 1) ** 2, bool)
+            for a, b in self.pairs:
+                joined[numbers[ord(a)] * (len(letters) + 1) + numbers[ord(b)]] = True
+            self.tables = numbers, np.packbits(joined, bitorder="little"), len(letters) + 1
+        numbers, joined, n = self.tables
+        found = numbers[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        pair = found[:-1].astype(np.int64) * n + found[1:]
+        cuts = [0, *(np.flatnonzero((joined[pair >> 3] >> (pair & 7).astype(np.uint8)) & 1 == 0) + 1).tolist(), len(text)]
+        return [text[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def segment(unit: str, scores: dict[str, tuple[float, int]], longest: int, unknown: float) -> list[int]:
@@ -112,6 +133,16 @@ def segment(unit: str, scores: dict[str, tuple[float, int]], longest: int, unkno
     return ids[::-1]
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Compressed byte planes of an array of integers."""
+    return zlib.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, text and the place they were read from; whatever is not a plain scan of files is written first.
 
@@ -133,7 +164,7 @@ def _plain_scan(docs: DataFrame) -> bool:
     return node.children().isEmpty() and node.nodeName() == "LogicalRelation" and bool(docs.inputFiles())
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, long_ids: Callable[[str], list[int]], buckets: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], cut: Cutter, words: bool, long_ids: Callable[[str], list[int]], buckets: int) -> Iterator[pa.RecordBatch]:
     """Number the units of each block in order of appearance; yield them, or the documents as numbers (from `DIRECT` on: ids).
 
     After a block's documents comes a row with the buckets of its units in order; its crc is -1.
@@ -163,7 +194,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, lon
                 here, chars, numbers = (path, at), 0, {}
                 block = int.from_bytes(hashlib.blake2b(f"{path}\n{at}\n{part}".encode(), digest_size=8).digest(), "little", signed=True)
             chars += len(text) + 1
-            units = cut.findall(MARK + text.replace(" ", MARK)) if text else []
+            units = cut(MARK + text.replace(" ", MARK)) if text else []
             if units and max(map(len, units)) > LONG:
                 found = ([DIRECT + i for i in long_ids(u)] if len(u) > LONG else [numbers.setdefault(u, len(numbers))] for u in units)
                 order = np.array([i for x in found for i in x], np.uint32)
@@ -171,7 +202,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, lon
                 order = np.fromiter((numbers.setdefault(u, len(numbers)) for u in units), np.uint32, len(units))
             if not words:
                 out[0].append(block)
-                out[1].append(zlib.compress(order.view(np.uint8).reshape(-1, 4).T.tobytes(), 1))
+                out[1].append(_pack(order))
                 out[2].append(zlib.crc32(text.encode("utf-8", "surrogatepass")))
         if not words:
             yield pa.RecordBatch.from_arrays([keys, pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())], ["key", "block", "numbers", "crc"])
@@ -179,8 +210,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: re.Pattern, words: bool, lon
         yield listed(keys.type)
 
 
-def lattice(units: DataFrame, pieces: Pieces, keys: list[str], carried: str) -> DataFrame:
-    """keys, carried, start, end, score, id: every piece at every place of the units, by an equi-join."""
+def lattice(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
+    """keys, start, end, score, id: every piece at every place of the units, by an equi-join."""
     table = F.broadcast(pieces.table(units.sparkSession))  # as large as the model file, whatever the corpus
     length = F.char_length("unit")
     starts = units.select("*", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
@@ -188,18 +219,17 @@ def lattice(units: DataFrame, pieces: Pieces, keys: list[str], carried: str) ->
     parts = starts.select("*", F.explode(F.sequence(F.lit(1), most)).alias("size"))
     parts = parts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")))
     edges = parts.join(table, "piece", "left").where("id is not null or size = 1")
-    # what a unit carries along stands on its first edge only
     return edges.select(
-        *keys, F.when((F.col("start") == 0) & (F.col("size") == 1), F.col(carried)).alias(carried), "start", (F.col("start") + F.col("size")).alias("end"),
+        *keys, "start", (F.col("start") + F.col("size")).alias("end"),
         F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"),
         F.coalesce("id", -F.ascii("piece")).alias("id"),
     )
 
 
-def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
-    """by, carried, ids: the best path of each unit's edges."""
+def viterbi(edges: DataFrame, by: list[str]) -> DataFrame:
+    """by, ids: the best path of each unit's edges."""
     found = F.sort_array(F.collect_list(F.struct("end", "start", "score", "id")))
-    grouped = edges.groupBy(*by).agg(found.alias("edges"), F.first(carried, ignorenulls=True).alias(carried))
+    grouped = edges.groupBy(*by).agg(found.alias("edges"))
     state = "array<struct<score:double,back:int,id:int>>"
     every = F.col("edges")
 
@@ -214,7 +244,7 @@ def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
 
     zero = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id"))).cast(state)
     ends = F.sequence(F.lit(1), F.element_at(every, -1)["end"])
-    best = grouped.select(*by, carried, F.aggregate(ends, zero, step).alias("best"))
+    best = grouped.select(*by, F.aggregate(ends, zero, step).alias("best"))
     begin = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def walk(path, _):
@@ -224,13 +254,13 @@ def viterbi(edges: DataFrame, by: list[str], carried: str) -> DataFrame:
         )
 
     path = F.aggregate(F.sequence(F.lit(1), F.size("best") - 1), begin, walk)
-    return best.select(*by, carried, F.reverse(path["ids"]).alias("ids"))
+    return best.select(*by, F.reverse(path["ids"]).alias("ids"))
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids, decoded, lossless) of every document."""
     pieces = load_pieces(model)
-    scan, cut = _scan(docs, key, text), pieces.pattern
+    scan, cut = _scan(docs, key, text), pieces.cutter()
     kind = docs.schema[key].dataType.simpleString()
     scores = {n: (v, i) for n, v, i in zip(pieces.names, pieces.scores, pieces.ids, strict=True)}
     longest, unknown, byte_ids, unk, surfaces = pieces.longest, pieces.unknown_score, pieces.byte_ids, pieces.unknown, pieces.surfaces()
@@ -245,34 +275,39 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         return [j for i in segment(unit, scores, longest, unknown) for j in known(i)]
 
     spark = docs.sparkSession
-    buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = scan.mapInArrow(lambda x: _blocks(x, re.compile(cut), True, long_ids, buckets), "block long, bucket int, units string")
-    rows = listed.repartition(buckets, "bucket").select("block", "bucket", F.posexplode(F.split("units", " ")).alias("n", "unit"))
-    # grouping by (bucket, ...) keeps the layout by bucket; a unit has one place in a block
-    units = rows.groupBy("bucket", "unit").agg(F.collect_list(F.struct("block", "n")).alias("places"))
-    paths = viterbi(lattice(units, pieces, ["bucket", "unit"], "places"), ["bucket", "unit"], "places")
-    spelled = paths.select("bucket", F.explode("places").alias("p"), "ids").groupBy("bucket", "p.block")
-    spelled = spelled.agg(F.sort_array(F.collect_list(F.struct("p.n", "ids"))).alias("u")).select(
-        "block", "bucket", F.transform("u.ids", lambda i: F.size(i).cast("short")).alias("sizes"), F.flatten("u.ids").alias("ids")
+    chars = scan.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    buckets = max(SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
+    listed = scan.mapInArrow(lambda x: _blocks(x, cut, True, long_ids, buckets), "block long, bucket int, units string")
+    listed = listed.repartition(buckets, "bucket")
+    # grouping by (bucket, unit) keeps the layout by bucket
+    units = listed.select("bucket", F.explode(F.split("units", " ")).alias("unit")).distinct()
+    paths = viterbi(lattice(units, pieces, ["bucket", "unit"]), ["bucket", "unit"])
+
+    def look_up(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        """The paths of each block's units, in the order of its listing."""
+        where = {u: i for i, u in enumerate(found["unit"])}
+        sizes = np.fromiter(map(len, found["ids"]), np.int64, len(found))
+        flat = np.concatenate([*found["ids"], np.empty(0, np.int32)]).astype(np.int32)
+        starts, out = np.cumsum(sizes) - sizes, ([], [])
+        for text in rows["units"]:
+            at = np.fromiter((where[u] for u in text.split(" ")), np.int64)
+            n = sizes[at]
+            out[0].append(_pack(n.astype(np.int16)))
+            out[1].append(_pack(flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]))
+        return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "sizes": out[0], "ids": out[1]})
+
+    spelled = listed.groupBy("bucket").cogroup(paths.withColumnRenamed("bucket", "part").groupBy("part")).applyInPandas(
+        look_up, "block long, bucket int, sizes binary, ids binary"
     )
-    # A bucket is small, so its units are grouped by hash; the default would turn to sorting all edges after 128 of them. The setting
-    # holds for this one table only.
-    setting = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, "100000")
-    try:
-        spelled = materialize(spelled, "piece-paths")
-    finally:
-        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
     numbered = scan.mapInArrow(
-        lambda x: _blocks(x, re.compile(cut), False, long_ids, buckets), f"key {kind}, block long, numbers binary, crc long"
+        lambda x: _blocks(x, cut, False, long_ids, buckets), f"key {kind}, block long, numbers binary, crc long"
     )
 
     def spell(rows: pd.DataFrame, strings: pd.DataFrame) -> pd.DataFrame:
         listing, rows = rows[rows["crc"] < 0], rows[rows["crc"] >= 0]
         strings = strings.sort_values("bucket")
-        sizes = np.concatenate([*strings["sizes"], np.empty(0, np.int16)]).astype(np.int64)
-        flat = np.concatenate([*strings["ids"], np.empty(0, np.int32)]).astype(np.int32)
+        sizes = np.concatenate([*(_unpack(x, np.int16) for x in strings["sizes"]), np.empty(0, np.int16)]).astype(np.int64)
+        flat = np.concatenate([*(_unpack(x, np.int32) for x in strings["ids"]), np.empty(0, np.int32)])
         if (flat < 0).any():  # unknown characters
             owner = np.repeat(np.arange(len(sizes)), sizes)
             spelled_out = [known(i) for i in flat.tolist()]
@@ -289,8 +324,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         units = len(sizes) - len(surfaces)
         out = []
         for data in rows["numbers"]:
-            raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T
-            order = np.ascontiguousarray(raw).view(np.uint32).ravel().astype(np.int64)
+            order = _unpack(data, np.uint32).astype(np.int64)
             order = np.where(order >= DIRECT, order - DIRECT + units, order)
             n = sizes[order] if len(order) else order
             shift = np.repeat(first[order] - (np.cumsum(n) - n), n) if len(order) else order

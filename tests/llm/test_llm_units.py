@@ -1,5 +1,7 @@
 """The numpy parts of the text operators, without Spark."""
 
+import pickle
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -188,9 +190,15 @@ def test_ranker_orders_and_cuts():
 
 
 def test_units_cover_texts():
-    for pattern in (pieces._FINE_RUNS, pieces._COARSE):
-        for text in ("▁a▁▁b, c.▁", "▁", "▁▁x9_y²é\n▁"):
-            assert "".join(pattern.findall(text)) == text
+    names = ["▁ab", "b,", "▁▁", "é", "a"]
+    table = pieces.Pieces(names, list(range(5)), [0.0] * 5, [], 5, 6)
+    cut = pickle.loads(pickle.dumps(table.cutter()))
+    assert cut("▁ab,▁▁a☃é") == ["▁ab,", "▁▁", "a", "☃", "é"]
+    for text in ("▁a▁▁b, c.▁", "▁", "▁▁x9_y²é\n▁", "\U0010ffff\ud800"):
+        units = cut(text)
+        assert "".join(units) == text
+        crossed = {x for u in units for x in zip(u, u[1:], strict=False)}
+        assert crossed <= {x for n in names for x in zip(n, n[1:], strict=False)}
 
 
 def test_short_texts_are_one_gram():
