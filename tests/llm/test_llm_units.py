@@ -189,16 +189,23 @@ def test_ranker_orders_and_cuts():
     assert np.isfinite(quality.features("")).all() and np.isfinite(quality.features(None)).all()
 
 
-def test_units_cover_texts():
+def test_units_cover_texts(monkeypatch):
     names = ["▁ab", "b,", "▁▁", "é", "a"]
-    table = pieces.Pieces(names, list(range(5)), [0.0] * 5, [], 5, 6)
-    cut = pickle.loads(pickle.dumps(table.cutter()))
-    assert cut("▁ab,▁▁a☃é") == ["▁ab,", "▁▁", "a", "☃", "é"]
-    for text in ("▁a▁▁b, c.▁", "▁", "▁▁x9_y²é\n▁", "\U0010ffff\ud800"):
-        units = cut(text)
-        assert "".join(units) == text
-        crossed = {x for u in units for x in zip(u, u[1:], strict=False)}
-        assert crossed <= {x for n in names for x in zip(n, n[1:], strict=False)}
+    cutter = pickle.loads(pickle.dumps(pieces.Pieces(names, list(range(5)), [0.0] * 5, [], 5, 6).cutter()))
+
+    def cut(text):
+        starts, ends, hashes = cutter(text)
+        units = [text[i:j] for i, j in zip(starts, ends, strict=True)]
+        assert "".join(units) == text and len(set(zip(units, hashes))) == len(set(units)) == len(set(hashes))
+        return units
+
+    assert cut("▁ab,▁▁a☃é") == ["▁ab,", "▁▁a", "☃", "é"] and cut("") == []
+    for text in ("▁a▁▁b, c.▁", "▁", "▁▁x9_y²é\n▁", "\U0010ffff\ud800", "▁ab,▁abx▁▁▁▁▁▁▁a" * 9):
+        whole = cut(text)
+        assert {x for u in whole for x in zip(u, u[1:], strict=False)} <= {x for n in names for x in zip(n, n[1:], strict=False)}
+        monkeypatch.setattr(pieces, "PART", 3)
+        assert cut(text) == whole
+        monkeypatch.undo()
 
 
 def test_short_texts_are_one_gram():
