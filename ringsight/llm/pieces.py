@@ -30,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ LONG = 512
 DIRECT = 1 << 31
 #: Buckets of units: at least so many for each shuffle partition, and one for so many characters of text.
 SPREAD, BUCKET_CHARS = 4, 1 << 24
-BLOCK_CHARS, PART = 1 << 23, 1 << 18
+BLOCK_CHARS, PART = 1 << 22, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -107,7 +108,7 @@ class Cutter:
         """Starts and hashes of the units of a part of a text."""
         if self.tables is None:
             letters = sorted({x for pair in self.pairs for x in pair})
-            numbers = np.zeros(0x110000, np.int32)
+            numbers = np.zeros(0x110000, np.int32 if len(letters) < 46000 else np.int64)
             numbers[[ord(x) for x in letters]] = np.arange(1, len(letters) + 1)
             joined = np.zeros((len(letters) + 1) ** 2, bool)
             for a, b in self.pairs:
@@ -115,12 +116,11 @@ class Cutter:
             with np.errstate(over="ignore"):
                 values = mix(np.arange(1, 0x110001, dtype=np.uint64)) | np.uint64(1)
                 powers = np.multiply.accumulate(np.full(LONG + 1, 0x9E3779B97F4A7C15, np.uint64))
-            self.tables = numbers, np.packbits(joined, bitorder="little"), len(letters) + 1, values, powers
+            self.tables = numbers, joined, len(letters) + 1, values, powers
         numbers, joined, n, values, powers = self.tables
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        found = numbers[points].astype(np.int64)
-        pair = found[:-1] * n + found[1:]
-        starts = np.concatenate(([0], np.flatnonzero((joined[pair >> 3] >> (pair & 7).astype(np.uint8)) & 1 == 0) + 1))
+        found = numbers[points]
+        starts = np.concatenate(([0], np.flatnonzero(~joined[found[:-1] * n + found[1:]]) + 1))
         within = np.arange(len(text)) - np.repeat(starts, np.diff(starts, append=len(text)))
         with np.errstate(over="ignore"):
             return starts, mix(np.add.reduceat(values[points] * powers[np.minimum(within, LONG)], starts))
@@ -200,12 +200,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: Cutter, words: bool, long_id
     """List the distinct units of each block by bucket, in order of their hashes; or give the documents as numbers of units (from
     `DIRECT` on: ids), common units first, and then, with crc -1, the places of the numbered units in that list.
     """
-    here, block, chars, part, held = None, 0, 0, 0, []
+    here, block, chars, part, held, kind = None, 0, 0, 0, [], None
 
     def finish() -> pa.RecordBatch:
         ends = np.cumsum([len(x[2]) for x in held])
-        names, first, of, counts = np.unique(np.concatenate([x[2] for x in held]), return_index=True, return_inverse=True, return_counts=True)
+        of, names = pd.factorize(np.concatenate([x[2] for x in held]))
+        by_hash = np.argsort(names)
         if words:
+            first = np.empty(len(names), np.int64)
+            first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
+            names, first = names[by_hash], first[by_hash]
             owner = np.searchsorted(ends, first, "right")
             first = first - (ends - [len(x[2]) for x in held])[owner]
             units = [held[d][1][held[d][3][i] : held[d][4][i]] for d, i in zip(owner.tolist(), first.tolist(), strict=True)]
@@ -215,23 +219,23 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: Cutter, words: bool, long_id
             cuts = [*start.tolist(), len(units)]
             joined = [" ".join([str(block), *units[i:j]]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(joined, pa.string())], ["bucket", "units"])
-        order = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(order), np.uint32)
-        rank[order] = np.arange(len(order))
+        common = np.argsort(-np.bincount(of, minlength=len(names)), kind="stable")
+        rank, listed = np.empty(len(names), np.uint32), np.empty(len(names), np.uint32)
+        rank[common] = listed[by_hash] = np.arange(len(names))
         numbers, keys, crcs = [], [x[0] for x in held], [x[1] for x in held]
         for (_, _, _, longs), own in zip(held, np.split(rank[of], ends[:-1]), strict=True):
             if longs:
                 at, ids = zip(*[(i, DIRECT + j) for i, unit in longs for j in long_ids(unit)], strict=True)
                 own = np.insert(own, at, np.array(ids, np.uint32))
             numbers.append(_pack(own))
-        if len(order):
-            keys, numbers, crcs = [*keys, pa.nulls(1, keys[0].type)], [*numbers, _pack(order.astype(np.uint32))], [*crcs, -1]
-        columns = [pa.concat_arrays(keys), pa.array([block] * len(crcs), pa.int64()), pa.array(numbers, pa.binary()), pa.array(crcs, pa.int64())]
+        if len(names):
+            keys, numbers, crcs = [*keys, None], [*numbers, _pack(listed[common])], [*crcs, -1]
+        columns = [pa.array(keys, kind), pa.array([block] * len(crcs), pa.int64()), pa.array(numbers, pa.binary()), pa.array(crcs, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["key", "block", "numbers", "crc"])
 
     for batch in batches:
-        keys = batch.column(0)
-        for i, (value, path, at) in enumerate(zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+        kind = batch.column(0).type
+        for name, value, path, at in zip(*batch.columns[:2], batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             text = value.as_py()
             if here != (path, at) or chars > BLOCK_CHARS:
                 if held:
@@ -248,7 +252,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: Cutter, words: bool, long_id
             else:
                 # long units with the number of short ones before them
                 longs = [(int(t - k), marked[starts[t] : ends[t]]) for k, t in enumerate(np.flatnonzero(long).tolist())]
-                held.append((keys.slice(i, 1), zlib.crc32(text.encode("utf-8", "surrogatepass")), hashes[~long], longs))
+                held.append((name.as_py(), zlib.crc32(text.encode("utf-8", "surrogatepass")), hashes[~long], longs))
     if held:
         yield finish()
 
@@ -326,22 +330,22 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     units = listed.select("bucket", F.expr("explode(slice(split(units, ' '), 2, 2147483647))").alias("unit")).distinct()
     paths = viterbi(lattice(units, pieces, ["bucket", "unit"]), ["bucket", "unit"])
 
-    def look_up(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+    def look_up(rows: pa.Table, found: pa.Table) -> pa.Table:
         """The paths of each block's units, in the order of its listing."""
-        where = {u: i for i, u in enumerate(found["unit"])}
-        sizes = np.fromiter(map(len, found["ids"]), np.int64, len(found))
-        flat = np.concatenate([*found["ids"], np.empty(0, np.int32)]).astype(np.int32)
+        where = {u: i for i, u in enumerate(found["unit"].to_pylist())}
+        lists = found["ids"].combine_chunks()
+        sizes, flat = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten().to_numpy(zero_copy_only=False)
         starts, out = np.cumsum(sizes) - sizes, ([], [], [])
         for text in rows["units"]:
-            block, *names = text.split(" ")
+            block, *names = text.as_py().split(" ")
             at = np.fromiter((where[u] for u in names), np.int64, len(names))
             n = sizes[at]
-            out[2].append(int(block))
-            out[0].append(_pack(n.astype(np.int16)))
-            out[1].append(_pack(_gather(flat, starts[at], n)))
-        return pd.DataFrame({"block": np.array(out[2], np.int64), "bucket": rows["bucket"], "sizes": out[0], "ids": out[1]})
+            for column, value in zip(out, (int(block), _pack(n.astype(np.int16)), _pack(_gather(flat, starts[at], n))), strict=True):
+                column.append(value)
+        columns = [pa.array(out[0], pa.int64()), rows["bucket"], pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())]
+        return pa.table(columns, ["block", "bucket", "sizes", "ids"])
 
-    spelled = listed.groupBy("bucket").cogroup(paths.withColumnRenamed("bucket", "part").groupBy("part")).applyInPandas(
+    spelled = listed.groupBy("bucket").cogroup(paths.withColumnRenamed("bucket", "part").groupBy("part")).applyInArrow(
         look_up, "block long, bucket int, sizes binary, ids binary"
     )
     numbered = scan.mapInArrow(
@@ -352,17 +356,17 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     letter_sizes = np.array([len(x) for x in surfaces], np.int64)
     letter_starts = np.cumsum(letter_sizes) - letter_sizes
 
-    def spell(rows: pd.DataFrame, strings: pd.DataFrame) -> pd.DataFrame:
-        listing, rows = rows[rows["crc"] < 0], rows[rows["crc"] >= 0]
-        strings = strings.sort_values("bucket")
-        sizes = np.concatenate([*(_unpack(x, np.int16) for x in strings["sizes"]), np.empty(0, np.int16)]).astype(np.int64)
-        flat = np.concatenate([*(_unpack(x, np.int32) for x in strings["ids"]), np.empty(0, np.int32)])
+    def spell(rows: pa.Table, strings: pa.Table) -> pa.Table:
+        listing, rows = rows.filter(pc.less(rows["crc"], 0)), rows.filter(pc.greater_equal(rows["crc"], 0))
+        strings = strings.sort_by("bucket")
+        sizes = np.concatenate([*(_unpack(x.as_py(), np.int16) for x in strings["sizes"]), np.empty(0, np.int16)]).astype(np.int64)
+        flat = np.concatenate([*(_unpack(x.as_py(), np.int32) for x in strings["ids"]), np.empty(0, np.int32)])
         if (flat < 0).any():  # unknown characters
             owner = np.repeat(np.arange(len(sizes)), sizes)
             spelled_out = [known(i) for i in flat.tolist()]
             owner = np.repeat(owner, [len(x) for x in spelled_out])
             sizes, flat = np.bincount(owner, minlength=len(sizes)), np.array([i for x in spelled_out for i in x], np.int32)
-        place = _unpack(listing["numbers"].iloc[0], np.uint32).astype(np.int64) if len(listing) else np.empty(0, np.int64)
+        place = _unpack(listing["numbers"][0].as_py(), np.uint32).astype(np.int64) if len(listing) else np.empty(0, np.int64)
         starts = np.cumsum(sizes) - sizes
         # ids noted in place of numbers follow the units in the same table
         first = np.concatenate((starts[place], len(flat) + np.arange(len(surfaces))))
@@ -370,7 +374,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         units = len(sizes) - len(surfaces)
         out = []
         for data in rows["numbers"]:
-            order = _unpack(data, np.uint32).astype(np.int64)
+            order = _unpack(data.as_py(), np.uint32).astype(np.int64)
             order = np.where(order >= DIRECT, order - DIRECT + units, order)
             out.append(_gather(flat, first[order], sizes[order]))
         texts = []
@@ -378,9 +382,11 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
             parts = np.split(ids, range(PART, len(ids), PART))
             spelled_bytes = b"".join([_gather(letters, letter_starts[x], letter_sizes[x]).tobytes() for x in parts])
             texts.append(spelled_bytes[1:].decode("utf-8", "replace"))
-        same = [zlib.crc32(t.encode("utf-8", "surrogatepass")) == c for t, c in zip(texts, rows["crc"], strict=True)]
-        return pd.DataFrame({key: rows["key"], "ids": out, "decoded": texts, "lossless": same})
+        same = [zlib.crc32(t.encode("utf-8", "surrogatepass")) == c for t, c in zip(texts, rows["crc"].to_pylist(), strict=True)]
+        ends = pa.array(np.cumsum([0, *map(len, out)]), pa.int32())
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*out, np.empty(0, np.int32)]), pa.int32()))
+        return pa.table([rows["key"], lists, pa.array(texts, pa.string()), pa.array(same, pa.bool_())], [key, "ids", "decoded", "lossless"])
 
-    return numbered.groupBy("block").cogroup(spelled.groupBy("block")).applyInPandas(
+    return numbered.groupBy("block").cogroup(spelled.groupBy("block")).applyInArrow(
         spell, f"`{key}` {kind}, ids array<int>, decoded string, lossless boolean"
     )
