@@ -260,11 +260,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], cut: Cutter, words: bool, long_id
 def lattice(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
     """keys, start, end, score, id: every piece at every place of the units, by an equi-join."""
     table = F.broadcast(pieces.table(units.sparkSession))  # as large as the model file, whatever the corpus
-    length = F.char_length("unit")
-    starts = units.select("*", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
-    most = F.least(F.lit(pieces.longest), length - F.col("start"))
-    parts = starts.select("*", F.explode(F.sequence(F.lit(1), most)).alias("size"))
-    parts = parts.withColumn("piece", F.substring(F.col("unit"), F.col("start") + 1, F.col("size")))
+    starts = units.select("*", F.explode(F.sequence(F.lit(0), F.char_length("unit") - 1)).alias("start"))
+    starts = starts.withColumn("rest", F.substring("unit", F.col("start") + 1, F.lit(pieces.longest)))
+    parts = starts.select("*", F.explode(F.sequence(F.lit(1), F.char_length("rest"))).alias("size"))
+    parts = parts.withColumn("piece", F.substring("rest", F.lit(1), F.col("size")))
     edges = parts.join(table, "piece", "left").where("id is not null or size = 1")
     return edges.select(
         *keys, "start", (F.col("start") + F.col("size")).alias("end"),
@@ -326,9 +325,9 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     buckets = max(SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
     listed = scan.mapInArrow(lambda x: _blocks(x, cut, True, long_ids, buckets), "bucket int, units string")
     listed = listed.repartition(buckets, "bucket")
-    # grouping by (bucket, unit) keeps the layout by bucket
+    # grouping by (unit, bucket) keeps the layout by bucket; the unit is first, so that sorting seldom compares whole keys
     units = listed.select("bucket", F.expr("explode(slice(split(units, ' '), 2, 2147483647))").alias("unit")).distinct()
-    paths = viterbi(lattice(units, pieces, ["bucket", "unit"]), ["bucket", "unit"])
+    paths = viterbi(lattice(units, pieces, ["unit", "bucket"]), ["unit", "bucket"])
 
     def look_up(rows: pa.Table, found: pa.Table) -> pa.Table:
         """The paths of each block's units, in the order of its listing."""
