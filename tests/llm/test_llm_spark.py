@@ -153,6 +153,68 @@ def test_pii_learns_contexts(spark):
     assert got[101]["n_added"] == got[102]["n_added"] == got[3]["n_added"] == 0 and got[3]["spans"] == "ip:26:34"
 
 
+def test_pii_finds_unseen_forms(spark):
+    """Contexts learnt from the fixed patterns find a form of each kind that no pattern has; other contexts and other shapes stay out."""
+    seeds = []
+    for k in range(30):
+        card = _luhn(f"4{k:02d}500031234")
+        seeds += [
+            f"call phone number +1 (974) 555-34{k:02d} now", f"please contact user{k}@mail{k % 7}.org today",
+            f"host address is 10.0.{k}.7 behind it", f"charged to card {card} at once",
+        ]
+    amex = _luhn("37828224631000")
+    new = {
+        "call phone number 974-555-3499 now": "phone", "call phone number (974) 555-3498 now": "phone",
+        "please contact jane at mail dot org today": "email", "please contact anna@localhost today": "email",
+        "please contact jane (at) mail.org, today": "email", "please contact jim[at]mail[dot]org today": "email",
+        "host address is 2001:db8::17 behind it": "ip", f"charged to card {amex[:4]}.{amex[4:10]}.{amex[10:]} at once": "card",
+    }
+    # no context of the kind, a shape of another use, an instance that holds too little, words without any mark
+    clean = [
+        "part order 974-555-3497 shipped", "call phone number 2024 now", "we met jane at noon", "charged to card 1234 at once",
+        "please contact us today", "version is 2001:db8::18 maybe", "host address is 12 behind it", "please contact sales @ home today",
+    ] + [f"it was 2024 in {k}" for k in range(40)]
+    texts = [*seeds, *new, *clean, None, ""]
+    rows = [(k if k != 3 else None, t, k) for k, t in enumerate(texts)] + [(9, texts[9], 9)]
+    got = pii.find_pii(spark.createDataFrame(rows, "doc_id int, text string, row int")).collect()
+    assert len(got) == len(rows)
+    by_id = {r["doc_id"]: r for r in got}
+    at = len(seeds)
+    for k, (text, kind) in enumerate(new.items(), at):
+        name, start, end = by_id[k]["spans"].split(":")
+        assert (name, by_id[k]["n_added"]) == (kind, 1), (text, by_id[k])
+        assert int(start) == min(text.index(w) + len(w) for w in ("number ", "contact ", "is ", "card ") if w in text), (text, start)
+        assert text[int(end)] in " ,", (text, end)
+    # precision of the added spans: all are of `new`, none elsewhere
+    assert sum(r["n_added"] for r in got) == len(new)
+
+
+def _luhn(digits: str) -> str:
+    for last in "0123456789":
+        doubled = [(int(c) * 2 - 9 if int(c) > 4 else int(c) * 2) if i % 2 else int(c) for i, c in enumerate((digits + last)[::-1])]
+        if sum(doubled) % 10 == 0:
+            return digits + last
+
+
+def test_pii_learns_from_what_it_found(spark):
+    """A context that is seen with new identifiers only becomes strong in a later round, and finds more."""
+    texts = [f"call phone number +1 (974) 555-34{k:02d} now" for k in range(100)]
+    texts += [f"call phone number 974-555-35{k:02d} now" for k in range(16)]
+    texts += [f"ring me under 974-555-35{k:02d} later" for k in range(16)]
+    texts += ["ring me under 974-555-9999 later", "article no 974-555-8888 sold"]
+    got = {r["doc_id"]: r for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[k]["n_added"] for k in range(100, 134)] == [1] * 33 + [0] and got[132]["spans"] == "phone:14:26"
+
+
+def test_pii_places_in_long_texts(spark):
+    """Items and base spans side by side, marks around them, one long text."""
+    part = "client address 1.2.{}.77 2020 (id 7), 4.4.4.4;foo@x.com\n+1 (743) 555-3824\n9 "
+    long = "".join(part.format(k % 250) for k in range(3000))
+    got = {r["doc_id"]: r for r in pii.find_pii(spark.createDataFrame([(1, long), (2, "client address 300.2.3.4. End")], "doc_id long, text string")).collect()}
+    assert (got[1]["n_ip"], got[1]["n_email"], got[1]["n_phone"]) == (6000, 3000, 3000) and got[1]["n_added"] == 0
+    assert got[2]["spans"] == "ip:15:24"
+
+
 def test_token_files(spark, docs, table, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
