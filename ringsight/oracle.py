@@ -471,6 +471,7 @@ FROM mapping GROUP BY 1""",
     "layer1_explanations": (("log",), "SELECT txn_id, own AS explanation FROM log"),
     "layer2_explanations": (("scored",), f"SELECT cluster_id, {_layer2_text('flagged for review')} AS explanation FROM scored"),
     "audit_entries": _LOG_ROWS,
+    "decision_times": (("log",), "SELECT txn_id, TRUE AS within_run FROM log"),
     "audit_trail": (("log",), f"SELECT {_LOG} FROM log WHERE txn_id = 't100'"),
     "cluster_history": (("log",), f"SELECT {_LOG} FROM log WHERE ring_membership = 'a0'"),
     "labelled_log": (("fused",), "SELECT txn_id, account_id, label_fraud, final_score FROM fused"),

@@ -585,6 +585,25 @@ def audit_entries(spark, sf_dir):
     return _log_columns(_run(spark, sf_dir).log)
 
 
+@query
+def decision_times(spark, sf_dir):
+    """Per logged decision: whether its time, as read back from the log, lies within the run, and is that of all decisions of the run."""
+    run = _run(spark, sf_dir)
+    entries = audit.log_entries(run.fused, run.layer1, run.scored)
+    path = _scratch(spark, "audit-times")
+
+    def now() -> int:
+        return spark.sql("SELECT unix_millis(current_timestamp())").first()[0]  # the log keeps milliseconds
+
+    begun = now()
+    tables.replace_audit(entries, path)
+    ended = now()
+    log = tables.read_audit(spark, path).select("txn_id", F.unix_millis("timestamp").alias("ms"))
+    same = log.agg((F.min("ms") == F.max("ms")).alias("same")).scalar()
+    within = F.col("ms").between(begun, ended) & same
+    return log.select("txn_id", F.coalesce(within, F.lit(False)).alias("within_run"))
+
+
 @query
 def audit_trail(spark, sf_dir):
     return _log_columns(audit.audit_trail(_published_log(spark, sf_dir), "t100"))
