@@ -360,6 +360,20 @@ def test_quality(spark, docs):
     assert all(r["score"] >= quality.CUT for r in quality.with_scores(docs, none).collect())
 
 
+def test_quality_labels_that_conflict(spark):
+    """Repeated equal labels count once, an id with both classes is left out, and empty tables give the neutral ranker."""
+    texts = [(k, "BUY!! NOW!! " * (k % 9 + 3) if k % 2 else f"the thing {k} of others is, as it was, there and on") for k in range(80)]
+    whole = spark.createDataFrame(texts, "doc_id long, text string")
+    schema = "doc_id long, quality int"
+    plain = spark.createDataFrame([(k, 1 - k % 2) for k in range(10, 80)], schema)
+    mixed = plain.union(plain.limit(20)).union(spark.createDataFrame([(k, v) for k in range(10) for v in (0, 1)], schema))
+    want, got = quality.train(whole, plain), quality.train(whole, mixed.repartition(7))
+    assert np.allclose(want.weights, got.weights) and abs(want.threshold - got.threshold) < 1e-9 and np.abs(want.weights).max() > 0
+    nothing = whole.limit(0)
+    none = quality.train(nothing, plain)
+    assert not none.weights.any() and quality.with_scores(nothing, none).isEmpty()
+
+
 def test_licenses(spark, docs):
     texts = [
         (1, "hello\nReleased under the MIT License.\nYou need a driver license here"),
