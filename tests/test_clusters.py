@@ -115,6 +115,18 @@ def test_rounds_and_tasks_find_the_same_communities(spark, seed, n, links_):
     assert 1 < len(in_tasks) < n
 
 
+def test_rounds_end_in_tasks_once_levels_are_small(spark, monkeypatch):
+    """The later levels of a large component take no table a round, and its communities stay the same."""
+    names, edges = random_edges(2, 200, 420)
+    comps = spark.createDataFrame([(name, min(names)) for name in names], "account_id string, cluster_id string")
+    frame, levels, settle = edge_frame(spark, edges), [], communities._settle
+    monkeypatch.setattr(communities, "_settle", lambda *given: levels.append(1) or settle(*given))
+    in_tasks = groups(communities.refine(frame, comps))
+    assert not levels
+    assert groups(communities.refine(frame, comps, Settings(community_links_per_task=len(edges) - 1))) == in_tasks
+    assert len(levels) == 1
+
+
 def modularity_of(group, u, v, w):
     total = 2 * w.sum()
     inside = 2 * w[group[u] == group[v]].sum()
