@@ -210,3 +210,26 @@ def test_units_cover_texts(monkeypatch):
 
 def test_short_texts_are_one_gram():
     assert len(shingle_hashes(word_hashes("a b c"), 5)) == 1 and len(shingle_hashes(word_hashes(" "), 5)) == 0
+
+
+def test_quality_weights_are_those_of_all_pairs():
+    """The slope of the loss over every pair of a good and a bad row is zero at the weights, and the threshold is the exact quantile."""
+    random = np.random.default_rng(3)
+    good = random.random(900) < 0.3
+    x = random.normal(0, 1, (900, quality.N_FEATURES)) + 0.4 * good[:, None] * random.random(quality.N_FEATURES)
+    ranker = quality.fit_ranker(x, good)
+    z = np.clip((x - x.mean(axis=0)) / x.std(axis=0), -8, 8)
+    margin = z @ ranker.weights
+    p = 1 / (1 + np.exp(margin[good][:, None] - margin[~good]))
+    slope = (p.sum(axis=1) @ z[good] - p.sum(axis=0) @ z[~good]) / p.size - 1e-3 * ranker.weights
+    assert np.abs(slope).max() < 1e-4, np.abs(slope).max()
+    assert abs(ranker.threshold - np.quantile(margin, 1 - good.mean())) < 1e-9
+
+
+def test_quality_of_parts_is_that_of_the_whole():
+    random = np.random.default_rng(4)
+    good = random.random(500) < 0.5
+    x = random.normal(0, 1, (500, quality.N_FEATURES)) + good[:, None]
+    whole = quality.fit_ranker(x, good)
+    parts = quality._fit(lambda part: sum(part(x[k::7], good[k::7]) for k in range(7)))
+    assert np.allclose(whole.weights, parts.weights) and abs(whole.threshold - parts.threshold) < 1e-9
