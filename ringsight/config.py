@@ -64,6 +64,7 @@ class Settings:
 
     # physical limits: none of them changes a result, they only pick the plan
     account_rows_per_task: int = 2_000_000
+    feature_rows_per_task: int = 100_000
     broadcast_rows: int = 200_000
     block_members: int = 256
     group_rows: int = 100_000

@@ -38,20 +38,24 @@ def extract_features(transactions: DataFrame, accounts: DataFrame, cfg: Settings
     """`transactions` with the eight feature columns."""
     columns = transactions.columns
     averages = accounts.select("account_id", "historical_avg_amount")
-    long = long_accounts.find(transactions, cfg)
+    rows, most = long_accounts.sizes(transactions)
+    long = long_accounts.find(transactions, cfg, most)
+    parts = -(-rows // cfg.feature_rows_per_task)
     if long is None:
-        return _whole_accounts(transactions, averages, columns, cfg)
+        return _whole_accounts(transactions, averages, columns, cfg, parts)
 
     tagged = long_accounts.tag(transactions, long, averages, cfg)
     short_rows = transactions.join(hint(long.select("account_id"), cfg.broadcast_rows), "account_id", "left_anti")
-    short = _whole_accounts(short_rows, averages, columns, cfg)
+    short = _whole_accounts(short_rows, averages, columns, cfg, parts)
     return short.unionByName(long_accounts.features(tagged, columns, LOOKBACKS, cfg))
 
 
-def _whole_accounts(transactions: DataFrame, averages: DataFrame, columns: list[str], cfg: Settings) -> DataFrame:
+def _whole_accounts(transactions: DataFrame, averages: DataFrame, columns: list[str], cfg: Settings, parts: int) -> DataFrame:
     # One shuffle: the join and every window below need rows of an account together, whatever else they sort by.
+    # Several sorts of a task's rows are held at once, so tasks become more, not longer, as the input grows.
+    many = parts > transactions.sparkSession.sparkContext.defaultParallelism
     rows = (
-        transactions.repartition("account_id")
+        (transactions.repartition(parts, "account_id") if many else transactions.repartition("account_id"))
         .join(averages, "account_id", "left")
         .withColumn("us", micros(F.col("timestamp")))
         .withColumn("hour", hour_of_day(F.col("timestamp")))

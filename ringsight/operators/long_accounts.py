@@ -14,17 +14,23 @@ from pyspark.sql import functions as F
 
 from ringsight.config import Settings
 from ringsight.functions import hour_of_day, micros
-from ringsight.session import exceeds, hint, materialize
+from ringsight.session import hint, materialize
 
 KEYS = ["account_id", "seg"]
 MARK_CARRY, MARK_LEAVE, MARK_ROW = 0, 1, 2
 
 
-def find(transactions: DataFrame, cfg: Settings) -> DataFrame | None:
-    """(account_id) of the accounts above the limit, or None when there are none."""
-    counts = transactions.groupBy("account_id").count()
-    if not exceeds(counts, "count", cfg.account_rows_per_task):
+def sizes(transactions: DataFrame) -> tuple[int, int]:
+    """(all rows, rows of the longest account)."""
+    rows, most = transactions.groupBy("account_id").count().agg(F.sum("count"), F.max("count")).first()
+    return rows or 0, most or 0
+
+
+def find(transactions: DataFrame, cfg: Settings, most: int | None = None) -> DataFrame | None:
+    """(account_id) of the accounts above the limit, or None when there are none; most: rows of the longest one, if known."""
+    if (sizes(transactions)[1] if most is None else most) <= cfg.account_rows_per_task:
         return None
+    counts = transactions.groupBy("account_id").count()
     return materialize(counts.where(F.col("count") > cfg.account_rows_per_task).select("account_id"), "long-accounts")
 
 

@@ -183,3 +183,13 @@ def test_no_window_over_rows_is_by_account_alone(spark):
     # windows over segments (one row each) hold peaks; those over rows are within a segment
     rows = [x for x in windows if "txn_id" in x]
     assert rows and all(re.search(r"\[account_id#\d+, seg#", x) for x in rows)
+
+
+def test_more_rows_are_more_tasks(spark):
+    """The rows of a task are bounded, and the features are those of fewer, longer tasks."""
+    rows = [transaction(f"t{i}", f"a{i % 60}", START + timedelta(minutes=7 * i), amount=float(i % 13)) for i in range(600)]
+    t, a = transactions_frame(spark, rows), accounts_frame(spark, [account(f"a{i}", START) for i in range(60)])
+    few = extract_features(t, a, ONE_TASK)
+    many = extract_features(t, a, Settings(feature_rows_per_task=20))
+    assert many.rdd.getNumPartitions() >= 30
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
