@@ -115,6 +115,22 @@ def test_rounds_and_tasks_find_the_same_communities(spark, seed, n, links_):
     assert 1 < len(in_tasks) < n
 
 
+def test_blocks_of_links_and_joins_find_the_same_communities(spark, monkeypatch):
+    """Rounds over packed blocks write no table a round; two components in one run, and beyond `broadcast_rows` joins do the same."""
+    parts = [random_edges(seed, 24, 20) for seed in (3, 4)]
+    names = [f"{k}{name}" for k, (part, _) in enumerate(parts) for name in part]
+    frame = edge_frame(spark, [(f"{k}{a}", f"{k}{b}", w) for k, (_, edges) in enumerate(parts) for a, b, w in edges])
+    comps = spark.createDataFrame([(name, min(x for x in names if x[0] == name[0])) for name in names], "account_id string, cluster_id string")
+    in_tasks = groups(communities.refine(frame, comps))
+    tables, write = [], communities.materialize
+    monkeypatch.setattr(communities, "materialize", lambda df, label: tables.append(label) or write(df, label))
+    blocks = Settings(community_links_per_task=0, community_block_links=50)
+    assert groups(communities.refine(frame.repartition(3), comps, blocks)) == in_tasks
+    assert "community-wishes" not in tables and "community-blocks" in tables
+    joins = Settings(community_links_per_task=0, broadcast_rows=0)
+    assert groups(communities.refine(frame, comps, joins)) == in_tasks
+
+
 def test_rounds_end_in_tasks_once_levels_are_small(spark, monkeypatch):
     """The later levels of a large component take no table a round, and its communities stay the same."""
     names, edges = random_edges(2, 200, 420)
