@@ -207,18 +207,26 @@ def fit_ranker(x: np.ndarray, good: np.ndarray, penalty: float = 1e-3) -> Ranker
     return _fit(lambda part: part(x, good), penalty)
 
 
+def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds `x`: the features as bytes, so that texts are read once and never shuffled."""
+
+    @F.pandas_udf("binary")
+    def vector(texts: pd.Series) -> pd.Series:
+        return pd.Series([features(t).tobytes() for t in texts], dtype=object)
+
+    return docs.withColumn("x", vector(F.col(text)))
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Ranker:
     """Fit on all labelled documents whose crc32(id as text) mod 5 is not 0. An id with labels of both classes teaches nothing."""
-    known = labels.where(~held(key, 5, 0) & F.col("quality").isin(0, 1) & F.col(key).isNotNull()).select(key, "quality")
-    one = known.groupBy(key).agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
-    rows = docs.select(key, text).join(one, key)
+    return fit(with_features(docs.select(key, text).where(~held(key, 5, 0)), text).select(key, "x"), labels, key)
 
-    def vectors(batches):
-        for batch in batches:
-            x = [features(t) for t in batch[text]]
-            yield pd.DataFrame({"quality": batch["quality"].astype("int64"), "x": [v.tobytes() for v in x]})
 
-    written = materialize(rows.mapInPandas(vectors, "quality long, x binary"), "quality-features")
+def fit(rows: DataFrame, labels: DataFrame, key: str = "doc_id") -> Ranker:
+    """`train` on documents given as (key, x)."""
+    known = labels.where(~held(key, 5, 0) & F.col("quality").isin(0, 1) & F.col(key).isNotNull()).select(key, "quality")
+    one = known.groupBy(key).agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
+    written = materialize(rows.select(key, "x").join(one, key).select(F.col("quality").cast("long").alias("quality"), "x"), "quality-features")
 
     def total(part: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray | None:
         def add(batches):
@@ -236,6 +244,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return _fit(total)
 
 
+def scored_features(rows: DataFrame, ranker: Ranker, name: str = "score") -> DataFrame:
+    """`with_scores` of documents given by their features `x`."""
+
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series(ranker.score(np.frombuffer(b"".join(x)).reshape(-1, N_FEATURES)))
+
+    return rows.withColumn(name, score("x"))
+
+
 def with_scores(docs: DataFrame, ranker: Ranker, text: str = "text", name: str = "score") -> DataFrame:
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

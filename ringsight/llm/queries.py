@@ -22,7 +22,7 @@ from ringsight.llm.repair import damaged, repair_conversations
 from ringsight.llm.repeats import find_repeats
 from ringsight.llm.token_ids import read_token_files, write_token_files
 from ringsight.llm.windows import remove_repeated_windows
-from ringsight.session import prepare, shared_folder
+from ringsight.session import materialize, prepare, shared_folder
 
 
 def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,8 +60,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = documents(spark, sf_dir)
-    ranker = quality.train(docs, documents(spark, sf_dir, "labels"))
-    scored = quality.with_scores(docs.select("doc_id", "text"), ranker)
+    rows = materialize(quality.with_features(docs).select("doc_id", "x"), "document-features")
+    scored = quality.scored_features(rows, quality.fit(rows, documents(spark, sf_dir, "labels")))
     return scored.select(
         "doc_id", held("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted")
     )
