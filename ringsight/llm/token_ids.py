@@ -14,6 +14,7 @@ white space, so each task encodes a run once and remembers it, up to a bound.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -146,11 +147,20 @@ def read_shard(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [int(x) if v else None for x, v in zip(ids, valid, strict=True)], lengths, unpack(words, offsets, escapes, n)
 
 
+#: Letters that may make up a plain word: ASCII and Latin ones.
+_LETTERS = [c for c in map(chr, range(0x41, 0x180)) if c.isalpha()]
+#: The character that a byte-level tokenizer writes for each byte.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE = {**{b: b for b in _SEEN}, **{b: 256 + k for k, b in enumerate(sorted({*range(256)} - {*_SEEN}))}}
+
+
 class RunEncoder:
     """Ids (as bytes) of white-space separated runs, each encoded by the library once while it is remembered.
 
-    ASCII letters with a stop or comma after them are two tokens for the tokenizer, the letters in lower case; such words are
-    remembered apart from the runs, so runs can be forgotten and put together again without the library.
+    A word of plain letters is one unit of the tokenizer, in lower case, so it goes to the library's model at once, without the
+    steps that look for units. With a stop or comma after it it is two units; such words are remembered apart from the runs, so
+    runs can be forgotten and put together again without the library. Plain are the letters for which the model alone gives what
+    the whole tokenizer gives.
     """
 
     def __init__(self, path: str) -> None:
@@ -158,20 +168,33 @@ class RunEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        whole = self.tokenizer.encode_batch_fast(_LETTERS, add_special_tokens=False)
+        plain = [c for c, e in zip(_LETTERS, whole, strict=True) if array("I", e.ids).tobytes() == self._direct(c.lower())]
+        self.plain = re.compile(f"[{''.join(plain)}]+" if plain else r"(?!)").fullmatch
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
+    def _direct(self, word: str) -> bytes:
+        """The ids of a word of plain lower-case letters."""
+        units = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE)
+        return array("I", [t.id for t in self.model.tokenize(units)]).tobytes()
+
     def _add(self, runs: list[str]) -> None:
         stems = [r[:-1] if r[-1:] in (".", ",") else r for r in runs]
-        plain = [x.isascii() and x.isalpha() for x in stems]
+        plain = [self.plain(x) is not None for x in stems]
         keys = [x.lower() if p else r for r, x, p in zip(runs, stems, plain, strict=True)]
-        new = list({k for k in (*keys, ".", ",") if k not in self.words})
+        new = {k for k in (*keys, ".", ",") if k not in self.words}
         if len(self.words) + len(new) > MEMO:
             self.words.clear()
-            new = list({*keys, ".", ","})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            found = self.tokenizer.encode_batch(part, add_special_tokens=False)
+            new = {*keys, ".", ","}
+        letters = {k for k, p in zip(keys, plain, strict=True) if p and k in new}
+        for k in letters:
+            self.words[k] = self._direct(k)
+        rest = list(new - letters)
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             self.words.update(zip(part, (array("I", e.ids).tobytes() for e in found), strict=True))
         words = self.words
         for r, x, k, p in zip(runs, stems, keys, plain, strict=True):

@@ -374,6 +374,45 @@ def test_quality_labels_that_conflict(spark):
     assert not none.weights.any() and quality.with_scores(nothing, none).isEmpty()
 
 
+def test_plain_words_go_to_the_model_alone():
+    """Words of ASCII and Latin letters skip the tokenizer's search for units, with the ids that the whole tokenizer gives."""
+    encode = token_ids.RunEncoder(str(public_tokenizers.path("word_bpe_49k.json")))
+    rng = random.Random(5)
+    letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha()]
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 9))) + rng.choice(["", ".", ",", "&", "'s", "\u0301", "7"]) for _ in range(4000)]
+    words += [c for c in letters] + ["İ", "ŉ", "ſ", "Straße.", "naïve,", "don't", "日本", "e\u0301", ".", ",", ""]
+    for word in words:
+        assert encode.encode(word).tolist() == encode.tokenizer.encode(word, add_special_tokens=False).ids, word
+    given, batch = [], encode.tokenizer
+    encode.tokenizer = type("Seen", (), {"encode_batch_fast": lambda _, part, **more: given.extend(part) or batch.encode_batch_fast(part, **more)})()
+    encode.encode("Grüße élève, thing zwölf. x7")
+    assert given == ["x7"]
+
+
+def test_quality_shuffles_no_text(spark, monkeypatch):
+    """Features are made before documents meet their labels, so texts stay where they are read."""
+    texts = spark.createDataFrame([(k, f"text {k}") for k in range(20)], "doc_id long, text string")
+    plans, write = [], quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df, label: plans.append(df._jdf.queryExecution().simpleString()) or write(df, label))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        quality.train(texts, spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans[0].index("Exchange") < plans[0].index("ArrowEvalPython")
+
+
+def test_index_sums_few_matrices(spark, monkeypatch):
+    """However many tasks read the documents, few of them send a matrix for the index."""
+    texts = spark.createDataFrame([(k, f"a text with number {k}") for k in range(60)], "doc_id long, text string").repartition(60)
+    sent, add = [], decontaminate.sum_arrays
+    monkeypatch.setattr(decontaminate, "sum_arrays", lambda parts, dtype, **fan: sent.append(parts.count()) or add(parts, dtype, **fan))
+    found = decontaminate.find_items(texts, texts.where("doc_id = 3").withColumnRenamed("doc_id", "item_id"))
+    assert (3, 3) in {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert len(sent) > 1 and max(sent[1:]) <= decontaminate.FIT_TASKS
+
+
 def test_licenses(spark, docs):
     texts = [
         (1, "hello\nReleased under the MIT License.\nYou need a driver license here"),
