@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringsight.llm.common import sum_arrays, word_hashes
+from ringsight.session import materialize
 
 DIMS = 1 << 14
 WINDOW, STEP = 32, 16
 RANK, POWER = 128, 1
 CANDIDATE, SHARED, COVER, COVER_ANSWER, ANSWER = 0.45, 0.33, 0.75, 0.6, 6
-FIT_DOCS, ITEMS = 100, 1000
+FIT_DOCS, FIT_TASKS, ITEMS = 100, 8, 1000
 
 
 def words_of(text: str | None) -> np.ndarray:
@@ -67,8 +68,12 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
 
 def latent_basis(passages: DataFrame, text: str, idf: np.ndarray, rank: int = RANK, power: int = POWER) -> np.ndarray:
-    """Right singular vectors (DIMS x rank) of the passages' TF-IDF matrix, by a randomised range finder on the rows."""
+    """Right singular vectors (DIMS x rank) of the passages' TF-IDF matrix, by a randomised range finder on the rows.
+
+    The passages are written once, to at most `FIT_TASKS` files: each task that reads some sends a whole matrix.
+    """
     spark = passages.sparkSession
+    passages = materialize(passages.select(text).repartition(FIT_TASKS, text), "index-sample")
     random = np.random.Generator(np.random.PCG64(5))
     basis = np.linalg.qr(random.standard_normal((DIMS, rank + 8), dtype=np.float32))[0]
 
@@ -78,8 +83,9 @@ def latent_basis(passages: DataFrame, text: str, idf: np.ndarray, rank: int = RA
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             given = shared.value
-            total = np.zeros(given.shape, np.float32)
+            total, rows = np.zeros(given.shape, np.float32), 0
             for batch in batches:
+                rows += len(batch)
                 for value in batch.column(0):
                     feature = _features(words_of(value.as_py()))
                     for start in _starts(len(feature)):
@@ -87,7 +93,8 @@ def latent_basis(passages: DataFrame, text: str, idf: np.ndarray, rank: int = RA
                         row = (n * idf[own]).astype(np.float32)
                         row /= max(float(np.linalg.norm(row)), 1e-12)
                         total[own] += row[:, None] * (row @ given[own])
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["data"])
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["data"])
 
         total = sum_arrays(passages.select(text).mapInArrow(run, "data binary"), "float32", fan=2)
         shared.destroy()
