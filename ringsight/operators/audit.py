@@ -26,22 +26,31 @@ def _verb(action: Column) -> Column:
     return F.when(action == "block", BLOCKED).when(action == "flag_for_review", FLAGGED).otherwise(LOGGED)
 
 
+def _filled(wording: str, *values: Column) -> Column:
+    """The wording with its `%s` filled in, a missing value as "null"; unlike `format_string` it parses no pattern per row."""
+    first, *rest = wording.split("%s")
+    parts = [F.lit(first)]
+    for value, text in zip(values, rest, strict=True):
+        parts += [F.coalesce(value.cast("string"), F.lit("null")), F.lit(text)]
+    return F.concat(*parts)
+
+
 def layer1_explanation(action: Column, rules: Column, top: Column) -> Column:
-    named = F.transform(top, lambda t: F.format_string(FEATURE_TEXT, t["feature"], t["contribution"]))
+    named = F.transform(top, lambda t: _filled(FEATURE_TEXT, t["feature"], t["contribution"]))
     cause = F.when(
-        F.size(rules) > 0, F.format_string(RULES_TEXT, F.array_join(rules, ", "))
+        F.size(rules) > 0, _filled(RULES_TEXT, F.array_join(rules, ", "))
     ).otherwise(MODEL_TEXT)
-    return F.format_string(
+    return _filled(
         LAYER1_TEXT, _verb(action), cause, F.array_join(named, ", ")
     )
 
 
 def layer2_explanation(action: Column, cluster_id: Column, size: Column, signals: Column, flags: Column) -> Column:
-    return F.format_string(
+    return _filled(
         LAYER2_TEXT,
         _verb(action),
         cluster_id,
-        size.cast("string"),
+        size,
         joined_or(signals, NO_SIGNALS),
         joined_or(flags, NO_FLAGS),
     )

@@ -144,8 +144,9 @@ def top_features(statistics: Column, importances: list[float]) -> Column:
                 F.when(pull > HIGH, "high").when(pull > MEDIUM, "medium").otherwise("low").alias("contribution"),
             )
         )
-    ordered = F.slice(F.reverse(F.array_sort(F.array(*items))), 1, 2)
-    return F.transform(ordered, lambda t: F.struct(t["feature"].alias("feature"), t["value"].alias("value"), t["contribution"].alias("contribution")))
+    # no lambda functions here: Spark would interpret the whole expression for every row
+    ordered = F.sort_array(F.array(*items), asc=False)
+    return F.array(*[F.struct(*[ordered[i][name].alias(name) for name in ("feature", "value", "contribution")]) for i in (0, 1)])
 
 
 def predict(features: DataFrame, model: PipelineModel, cfg: Settings = DEFAULT) -> DataFrame:

@@ -67,6 +67,26 @@ def test_top_features_break_ties_by_the_later_input(spark):
     assert {t.contribution for t in same} == {"low"}
 
 
+def test_top_features_are_not_interpreted_row_by_row(spark, capsys):
+    names = ", ".join(f"{c} double" for c in model.INPUTS)
+    row = spark.createDataFrame([tuple(float(i) for i in range(11)), (None, *[float("nan")] * 10)], names)
+    statistics = row.withColumn("s", model.input_statistics(row).scalar())
+    found = statistics.select(model.top_features(F.col("s"), [1.0] * 11).alias("t"))
+    assert all(len(r.t) == 2 and r.t[0].feature != r.t[1].feature for r in found.collect())
+    capsys.readouterr()
+    found.explain("extended")
+    assert "lambda" not in capsys.readouterr().out
+
+
+def test_texts_name_missing_values_null(spark, capsys):
+    row = spark.createDataFrame([("c1", None, ["device"], [])], "c string, n long, s array<string>, f array<string>")
+    text = row.select(audit.layer2_explanation(F.lit("log_only"), F.col("c"), F.col("n"), F.col("s"), F.col("f")).alias("t"))
+    assert text.first().t == "Transaction logged: account belongs to c1 (null accounts sharing device; general suspicious synchrony)."
+    capsys.readouterr()
+    text.explain("extended")
+    assert "format_string" not in capsys.readouterr().out
+
+
 def decide(spark, layer1_score, ring_score, rules=(), cluster="c1", size=3, signals=("device",), flags=()):
     layer1 = spark.createDataFrame(
         [("t1", "a1", layer1_score, list(rules), [("velocity_1hr", 1.0, "high"), ("amount_zscore", 2.0, "low")])],
