@@ -188,6 +188,13 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(*columns, *place)
 
 
+def _few_files(scan: DataFrame, wanted: int) -> DataFrame:
+    """A block ends where its file ends, and every block lists its units anew; so texts of many small files are written to fewer first."""
+    if len(scan.inputFiles()) <= 2 * wanted:
+        return scan
+    return _scan(scan.select("key", "text").coalesce(wanted), "key", "text")
+
+
 def _plain_scan(docs: DataFrame) -> bool:
     """Whether a table is a scan of files with nothing but columns and filters above it."""
     node = docs._jdf.queryExecution().analyzed()
@@ -322,6 +329,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     spark = docs.sparkSession
     chars = scan.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    scan = _few_files(scan, max(spark.sparkContext.defaultParallelism, -(-chars // BLOCK_CHARS)))
     buckets = max(SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
     listed = scan.mapInArrow(lambda x: _blocks(x, cut, True, long_ids, buckets), "bucket int, units string")
     listed = listed.repartition(buckets, "bucket")

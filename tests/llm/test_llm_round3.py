@@ -310,3 +310,18 @@ def test_scans_are_told_from_shuffled_tables(spark, tmp_path):
         told = sorted(tuple(round(r[c], 6) for c in counts) for r in language_model.score_documents(form).select(*counts).collect())
         want = want or (found, told)
         assert (found, told) == want
+
+
+def test_texts_of_many_small_files_share_blocks(spark, tmp_path):
+    import public_tokenizers
+
+    from ringsight.llm import pieces
+
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = spark.createDataFrame([(k, f"the same words again and {k % 7} more") for k in range(120)], "doc_id long, text string")
+    for files in (1, 40):
+        rows.repartition(files).write.parquet(str(tmp_path / str(files)))
+    few, many = (pieces.encode(spark.read.parquet(str(tmp_path / x)), model) for x in ("1", "40"))
+    found = [sorted((r["doc_id"], list(r["ids"]), r["decoded"], r["lossless"]) for r in x.collect()) for x in (few, many)]
+    assert len(found[0]) == 120 and found[0] == found[1]
+    assert len(many.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism < 40
