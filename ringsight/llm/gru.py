@@ -15,13 +15,10 @@ import numpy as np
 
 HIDDEN, WINDOW, LANES = 16, 32, 128
 BLOCK = 4096  # steps laid out at once
+CHUNK = 2048  # outputs worked on at once, few enough to stay in a core's cache
 RATE, WARM, CLIP = 0.006, 150, 5.0
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class Gru:
     """Parameters in one flat vector, so that models can be averaged."""
 
@@ -48,6 +45,7 @@ class Gru:
         self.shapes = shapes
         self.view(flat, self)
         self.counts = counts
+        self.rooms: dict[str, np.ndarray] = {}
 
     def start_at_frequencies(self) -> None:
         share = (self.counts + 0.5) / (self.counts.sum() + 0.5 * len(self.counts))
@@ -61,54 +59,107 @@ class Gru:
         for k, place in self.parts.items():
             setattr(onto, k, flat[place].reshape(self.shapes[k]))
 
-    def steps(self, x: np.ndarray, h: np.ndarray, fresh: np.ndarray, keep: bool) -> tuple[np.ndarray, list, np.ndarray]:
-        """States before each output (T, n, H) from inputs (T, n); fresh marks inputs that start a document."""
-        n, states, tape = self.hidden, np.empty((*x.shape, self.hidden), np.float32), []
-        gates = self.E[x]
-        for t in range(len(x)):
-            h = np.where(fresh[t][:, None], np.float32(0), h) if fresh[t].any() else h
-            inner = h @ self.U
-            zr = _sigmoid(gates[t, :, : 2 * n] + inner[:, : 2 * n])
-            z, r = zr[:, :n], zr[:, n:]
-            c = np.tanh(gates[t, :, 2 * n :] + r * inner[:, 2 * n :])
-            new = c + z * (h - c)
-            if keep:
-                tape.append((h, z, r, c, inner[:, 2 * n :]))
-            h = states[t] = new
-        return states, tape, h
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """An array to fill, the same memory at every call: fresh pages for every window cost more than the sums in them."""
+        size = int(np.prod(shape))
+        if name not in self.rooms or self.rooms[name].size < size:
+            self.rooms[name] = np.empty(size, np.float32)
+        return self.rooms[name][:size].reshape(shape)
+
+    @staticmethod
+    def _order(values: np.ndarray, size: int) -> np.ndarray:
+        """The stable order of numbers below `size`; short integers are sorted by digits, which is much faster."""
+        return np.argsort(values.astype(np.int16) if size < 1 << 15 else values, kind="stable")
+
+    def _forward(self, x: np.ndarray, h: np.ndarray, fresh: np.ndarray, tape: dict[str, np.ndarray] | None) -> np.ndarray:
+        """States before each output (T, H, n) from the state before (n, H). Lanes come last: what a step works on is then contiguous."""
+        n, (length, lanes) = self.hidden, x.shape
+        gates, rows = self._room("gates", length, 3 * n, lanes), self._room("rows", length, lanes, 3 * n)
+        self.E.astype(np.float32, copy=False).take(x, axis=0, out=rows, mode="clip")  # without buffering; x is in range
+        gates[:] = rows.transpose(0, 2, 1)
+        turn = np.ascontiguousarray(self.U.T, np.float32)
+        states, starts = self._room("states", length, n, lanes), fresh.any(axis=1)
+        h = np.ascontiguousarray(h.T, np.float32)
+        inner, work = np.empty((3 * n, lanes), np.float32), np.empty((n, lanes), np.float32)
+        for t in range(length):
+            if starts[t]:
+                h = np.where(fresh[t], np.float32(0), h)
+            np.matmul(turn, h, out=inner)
+            gate = gates[t]
+            zr, c = gate[: 2 * n], gate[2 * n :]
+            zr += inner[: 2 * n]
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            np.multiply(zr[n:], inner[2 * n :], out=work)
+            c += work
+            np.tanh(c, out=c)
+            if tape is not None:
+                tape["before"][t], tape["inner"][t] = h, inner[2 * n :]
+            new = states[t]
+            np.subtract(h, c, out=new)
+            new *= zr[:n]
+            new += c
+            h = new
+        if tape is not None:
+            tape["gates"] = gates  # now z, r and the candidates
+        return states
+
+    def steps(self, x: np.ndarray, h: np.ndarray, fresh: np.ndarray, keep: bool) -> tuple[np.ndarray, dict, np.ndarray]:
+        """States before each output (T, n, H) from inputs (T, n); fresh marks inputs that start a document. The next call overwrites them."""
+        size = (len(x), self.hidden, x.shape[1])
+        tape = {k: self._room(k, *size) for k in ("before", "inner")} if keep else None
+        states = self._forward(x, h, fresh, tape)
+        return states.transpose(0, 2, 1), tape or {}, states[-1].T.copy()
 
     def output(self, states: np.ndarray, targets: np.ndarray, gradient: object | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of the targets, and the slope of minus their sum by the states."""
         cls = self.class_of[targets]
-        logits = states @ self.Wc.T + self.bc
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(axis=1, keepdims=True)
-        rows = np.arange(len(targets))
-        found = logits[rows, cls] - np.log(total[:, 0])
-        slope = None
-        if gradient is not None:
-            p /= total
-            p[rows, cls] -= 1
-            gradient.Wc += p.T @ states
-            gradient.bc += p.sum(axis=0)
-            slope = p @ self.Wc
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        order = self._order(cls, self.classes)
+        cls, targets = cls[order], targets[order]
+        columns, at = np.ascontiguousarray(states.take(order, axis=0).T), np.arange(len(order))
+        sums = np.empty(len(order), columns.dtype)
+        slope = None if gradient is None else np.empty_like(columns)
+        for low in range(0, len(order), CHUNK):
+            part = slice(low, low + CHUNK)
+            inside, mine = columns[:, part], (cls[part], at[: len(cls[part])])
+            p = self.Wc @ inside
+            p += self.bc[:, None]
+            p -= p.max(axis=0)
+            found = p[mine]
+            np.exp(p, out=p)
+            total = p.sum(axis=0)
+            sums[part] = found - np.log(total)
+            if gradient is not None:
+                p /= total
+                p[mine] -= 1
+                gradient.Wc += p @ inside.T
+                gradient.bc += p.sum(axis=1)
+                slope[:, part] = self.Wc.T @ p
+        cuts = np.searchsorted(cls, np.arange(self.classes + 1))
         for k in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.first) > 1)):
-            own, a, b = order[cuts[k] : cuts[k + 1]], self.first[k], self.first[k + 1]
-            inside = states[own] @ self.Ww[a:b].T + self.bw[a:b]
-            inside -= inside.max(axis=1, keepdims=True)
-            q = np.exp(inside)
-            sums = q.sum(axis=1, keepdims=True)
-            at = np.arange(len(own)), targets[own] - a
-            found[own] += inside[at] - np.log(sums[:, 0])
+            own, a, b = slice(cuts[k], cuts[k + 1]), self.first[k], self.first[k + 1]
+            inside, mine = columns[:, own], (targets[own] - a, at[: cuts[k + 1] - cuts[k]])
+            q = self.Ww[a:b] @ inside
+            q += self.bw[a:b, None]
+            q -= q.max(axis=0)
+            sums[own] += q[mine]
+            np.exp(q, out=q)
+            total = q.sum(axis=0)
+            sums[own] -= np.log(total)
             if gradient is not None:
-                q /= sums
-                q[at] -= 1
-                gradient.Ww[a:b] += q.T @ states[own]
-                gradient.bw[a:b] += q.sum(axis=0)
-                slope[own] += q @ self.Ww[a:b]
+                q /= total
+                q[mine] -= 1
+                gradient.Ww[a:b] += q @ inside.T
+                gradient.bw[a:b] += q.sum(axis=1)
+                slope[:, own] += self.Ww[a:b].T @ q
+        found = np.empty_like(sums)
+        found[order] = sums
+        if slope is not None:
+            back = np.empty((len(order), self.hidden), slope.dtype)
+            back[order] = slope.T
+            slope = back
         return found, slope
 
     def learn(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, fresh: np.ndarray, used: np.ndarray, adam: Adam) -> np.ndarray:
@@ -117,24 +168,46 @@ class Gru:
         total = np.zeros_like(self.flat)
         grad = type("Gradient", (), {})()
         self.view(total, grad)
-        slopes = np.zeros_like(states)
-        _, slope = self.output(states[used], y[used], grad)
-        slopes[used] = slope
-        dh, dgates = np.zeros_like(h), np.empty((*x.shape, 3 * self.hidden), np.float32)
+        n, slopes = self.hidden, np.zeros((x.size, self.hidden), np.float32)
+        given = np.flatnonzero(used)
+        _, slope = self.output(states.reshape(-1, n).take(given, axis=0), y.ravel()[given], grad)
+        slopes[given] = slope
+        slopes = np.ascontiguousarray(slopes.reshape(*x.shape, n).transpose(0, 2, 1))
+        z, r, c = (tape["gates"][:, k * n : (k + 1) * n] for k in range(3))
+        # what a step's slope is multiplied with, for all steps at once
+        by_z, by_c, by_r, work = (self._room(f"by {k}", *z.shape) for k in ("z", "c", "r", "work"))
+        np.subtract(1, z, out=work)
+        np.subtract(tape["before"], c, out=by_z)
+        by_z *= z
+        by_z *= work
+        np.multiply(c, c, out=by_c)
+        np.subtract(1, by_c, out=by_c)
+        by_c *= work
+        np.subtract(1, r, out=work)
+        np.multiply(tape["inner"], r, out=by_r)
+        by_r *= work
+        dgates, dinner = (self._room(k, len(x), 3 * n, x.shape[1]) for k in ("dgates", "dinner"))
+        turn, dh, starts = self.U.astype(np.float32, copy=False), np.zeros((n, x.shape[1]), np.float32), fresh.any(axis=1)
         for t in range(len(x) - 1, -1, -1):
-            before, z, r, c, inner = tape[t]
-            d = slopes[t] + dh
-            dz = d * (before - c) * z * (1 - z)
-            dc = d * (1 - z) * (1 - c * c)
-            dr = dc * inner * r * (1 - r)
-            np.concatenate((dz, dr, dc), axis=1, out=dgates[t])
-            dinner = np.concatenate((dz, dr, dc * r), axis=1)
-            grad.U += before.T @ dinner
-            dh = d * z + dinner @ self.U.T
-            dh[fresh[t]] = 0
-        order = np.argsort(x, axis=None, kind="stable")
+            d, out, into = slopes[t], dgates[t], dinner[t]
+            d += dh
+            np.multiply(d, by_z[t], out=out[:n])
+            np.multiply(d, by_c[t], out=out[2 * n :])
+            np.multiply(out[2 * n :], by_r[t], out=out[n : 2 * n])
+            into[: 2 * n] = out[: 2 * n]
+            np.multiply(out[2 * n :], r[t], out=into[2 * n :])
+            np.matmul(turn, into, out=dh)
+            d *= z[t]
+            dh += d
+            if starts[t]:
+                dh[:, fresh[t]] = 0
+        grad.U += np.matmul(tape["before"], dinner.transpose(0, 2, 1)).sum(axis=0)
+        order = self._order(x.ravel(), self.symbols + 1)
         inputs, at = np.unique(x.ravel()[order], return_index=True)
-        grad.E[inputs] = np.add.reduceat(dgates.reshape(-1, 3 * self.hidden)[order], at, axis=0)
+        rows, by_input = self._room("rows", *x.shape, 3 * n), self._room("by input", x.size, 3 * n)
+        rows[:] = dgates.transpose(0, 2, 1)
+        rows.reshape(-1, 3 * n).take(order, axis=0, out=by_input, mode="clip")
+        grad.E[inputs] = np.add.reduceat(by_input, at, axis=0)
         adam.step(self.flat, total / max(1, int(used.sum())), min(1, 2 * int(used.sum()) / (LANES * WINDOW)))
         return after
 

@@ -135,6 +135,34 @@ def test_gradients_match_differences():
         assert abs((up - down) / (2 * step) - seen[0][k]) < 2e-3
 
 
+def test_outputs_are_log_probabilities_for_any_number_of_tokens():
+    random = np.random.default_rng(4)
+    classes = np.array([0, 0, 0, 1, 1, 2, 3, 3])
+    model = gru.Gru(np.full(8, 5.0), classes, hidden=4)
+    for n in (0, 1, gru.CHUNK, gru.CHUNK + 3):
+        states, y = random.normal(size=(n, 4)), random.integers(0, 8, n)
+        rough = states @ model.Wc.T + model.bc
+        want = rough[np.arange(n), classes[y]] - np.log(np.exp(rough).sum(axis=1))
+        inner = states @ model.Ww.T + model.bw
+        own = np.where(classes == classes[y][:, None], np.exp(inner), 0).sum(axis=1)
+        assert np.allclose(model.output(states, y)[0], want + inner[np.arange(n), y] - np.log(own), atol=1e-5)
+
+
+def test_windows_of_training_reuse_their_memory():
+    random = np.random.default_rng(5)
+    model = gru.Gru(np.full(6, 10.0), np.array([0, 0, 1, 1, 2, 2]))
+    adam, h, after = gru.Adam(len(model.flat)), np.zeros((9, model.hidden), np.float32), []
+    for size in (32, 32, 7):
+        y = random.integers(0, 6, (size, 9))
+        x = np.concatenate((np.full((1, 9), 6), y[:-1]))
+        after.append(model.learn(x, y, h, x == 6, np.ones(y.shape, bool), adam))
+        kept = [a.copy() for a in after]
+        rooms = {k: v.ctypes.data for k, v in model.rooms.items()}
+    assert all((a == b).all() for a, b in zip(after, kept, strict=True))  # states carried on are no views of it
+    model.learn(x, y, h, x == 6, np.ones(y.shape, bool), adam)
+    assert rooms and rooms == {k: v.ctypes.data for k, v in model.rooms.items()}
+
+
 def test_probabilities_add_up_and_windows_carry_the_state():
     counts, classes = np.array([9.0, 5, 4, 3]), np.array([0, 0, 1, 2])
     model = gru.Gru(counts, classes, hidden=4)
