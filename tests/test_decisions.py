@@ -54,6 +54,52 @@ def test_model_round_trip_and_prediction(spark, featured, tmp_path):
         tables.load_model(str(tmp_path / "nothing"))
 
 
+def test_every_training_row_and_every_value_reach_the_booster(spark, monkeypatch):
+    """More rows than Spark's sample for split candidates: no row is left out, and a value of one row in 15,000 has its own bin."""
+    i = F.col("id")
+    rows = spark.range(15_000).select(
+        F.concat(F.lit("t"), i).alias("txn_id"),
+        *[(F.when(i % 1500 == 7, i / 1500 + 2) if k == 0 else i % (k + 2)).cast("double").alias(c) for k, c in enumerate(model.FEATURES)],
+        F.array().cast("array<string>").alias("triggered_rules"),
+        (i % 1500 == 7).alias("label_fraud"),
+    )
+    given = {}
+    fit = model.GBTClassifier.fit
+
+    def noted(booster, cells):
+        given["weight"] = cells.agg(F.sum(booster.getWeightCol())).first()[0]
+        given["bins"] = cells.select("velocity_1min_bin").distinct().count()
+        given["rows"], given["most"] = cells.count(), booster.getMaxBins() ** 2
+        return fit(booster, cells)
+
+    monkeypatch.setattr(model.GBTClassifier, "fit", noted)
+    rows = materialize(rows, "test-training")
+    training = model.split(rows)[0]
+    fitted = model.train(rows, SMALL)
+    assert given["weight"] == training.count() > 10_000
+    assert given["rows"] < given["most"]  # Spark samples rows for its candidates beyond this
+    assert given["bins"] == training.select(F.coalesce("velocity_1min", F.lit(0.0))).distinct().count() > 5
+    scores = model.with_probability(rows, fitted).groupBy("label_fraud").agg(F.min("probability"), F.max("probability"))
+    bounds = {r[0]: r[1:] for r in scores.collect()}
+    assert bounds[False][1] < bounds[True][0]
+
+
+def test_rows_with_weights_give_the_model_of_all_rows(spark):
+    """The trees on bins are those that the booster grows from every row alone."""
+    i = F.col("id")
+    columns = [(F.hash(i, F.lit(k)) % (k + 3)).cast("double").alias(c) for k, c in enumerate(model.FEATURES)]
+    labels = F.hash(i, F.lit(0)) % 3 + F.hash(i, F.lit(1)) % 4 + F.hash(i, F.lit(99)) % 3 > 1
+    rows = spark.range(4000).select(F.concat(F.lit("t"), i).alias("txn_id"), *columns, F.array().cast("array<string>").alias("triggered_rules"), labels.alias("label_fraud"))
+    rows = materialize(rows, "test-training")
+    got = model.with_probability(rows, model.train(rows, SMALL)).select("txn_id", "probability")
+    plain = model.prepare_data(model.split(rows)[0])
+    assembler = model.VectorAssembler(inputCols=list(model.INPUTS), outputCol="inputs")
+    booster = model.GBTClassifier(featuresCol="inputs", labelCol="label", maxIter=SMALL.trees, maxDepth=SMALL.depth, stepSize=SMALL.learning_rate, seed=SMALL.seed)
+    want = model.with_probability(rows, model.PipelineModel([assembler, booster.fit(assembler.transform(plain))]))
+    both = got.join(want.select("txn_id", F.col("probability").alias("other")), "txn_id")
+    assert both.count() == 4000 and both.agg(F.max(F.abs(F.col("probability") - F.col("other")))).first()[0] < 1e-9
+
+
 def test_blend(spark):
     df = spark.createDataFrame([(1.0, 0.2), (1.0, 0.95), (0.8, 0.5), (0.0, 0.12344)], "rule_score double, probability double")
     assert [r.s for r in df.select(model.blended_score().alias("s")).collect()] == [0.9, 0.95, 0.62, 0.0741]
