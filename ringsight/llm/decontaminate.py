@@ -2,10 +2,11 @@
 
 1. Words are the runs of letters and digits, A-Z as a-z, hashed to `DIMS` features. Passages are windows of `WINDOW` words,
    half overlapping. Document frequencies are counted over the passages of the whole corpus.
-2. Randomised SVD (Halko et al.): the TF-IDF rows of the benchmark items and of a bounded sample of documents, spread over the
-   cluster, are multiplied with a random matrix and, for each power iteration, with themselves; partial products are added in a
-   tree. The orthonormal basis found is the latent space. The sample (`fit_docs` documents at most, by hash) only shapes the
-   index; every passage of every document is projected into it and searched.
+2. Randomised SVD (Halko et al.): the TF-IDF rows of all passages of all documents and of the benchmark items are multiplied with a
+   random matrix and, for each power iteration, with themselves; partial products are added in a tree. The items' rows weigh
+   `ITEM_WEIGHT` times as much as the documents' in all, lest a large corpus crowds them out of the index. The orthonormal basis
+   found is the latent space; every passage of every document is projected into it and searched. Words are hashed once for this:
+   their features are written, two bytes a word.
 3. A passage whose latent cosine to a passage of an item reaches `CANDIDATE`, and whose words weigh at least `SHARED` of that
    passage's, is a candidate. Neighbouring passages of one item are joined, and the item's longest common subsequence with the
    words there is computed.
@@ -18,6 +19,7 @@ items without words are found nowhere. Null or repeated ids are fine: a row per
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,11 @@ DIMS = 1 << 14
 WINDOW, STEP = 32, 16
 RANK, POWER = 128, 1
 CANDIDATE, SHARED, COVER, COVER_ANSWER, ANSWER = 0.45, 0.33, 0.75, 0.6, 6
-FIT_DOCS, FIT_TASKS, ITEMS = 100, 8, 1000
+ITEM_WEIGHT, ITEMS = 1.0, 1000
+#: tasks that send a matrix for the index: so many, and one more for each so many tiles of `STEP` words beyond that
+FIT_TASKS, FIT_TILES = 8, 1_000_000
+#: words multiplied at once; longer texts are cut with one tile of overlap, which keeps their passages
+CHUNK = 1 << 10
 
 
 def words_of(text: str | None) -> np.ndarray:
@@ -48,14 +54,29 @@ def _features(words: np.ndarray) -> np.ndarray:
     return (words & np.uint64(DIMS - 1)).astype(np.int64)
 
 
-def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
-    """Passages with each feature, and all passages, over every text."""
+def feature_rows(texts: DataFrame, text: str) -> DataFrame:
+    """A written table of the features of each text's words in order, as 16-bit numbers."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_features(words_of(value.as_py())).astype(np.uint16).tobytes() for value in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["features"])
+
+    return materialize(texts.select(text).mapInArrow(hashed, "features binary"), "index-features")
+
+
+def _stored(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for value in batch.column(0):
+        yield np.frombuffer(value.as_buffer(), np.uint16)
+
+
+def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """Passages with each feature, and all passages, over every row of `feature_rows`."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, passages = np.zeros(DIMS + 1, np.int64), 0
         for batch in batches:
-            for value in batch.column(0):
-                feature = _features(words_of(value.as_py()))
+            for feature in _stored(batch):
                 # counted once in each run of STEP words: half passages tile the text without overlap
                 place = np.arange(len(feature)) // STEP
                 total[:DIMS] += np.bincount(np.unique(place * DIMS + feature) % DIMS, minlength=DIMS)
@@ -63,40 +84,85 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
         total[DIMS] = passages
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["data"])
 
-    total = sum_arrays(docs.select(text).mapInArrow(count, "data binary"), "int64")
+    total = sum_arrays(rows.mapInArrow(count, "data binary"), "int64")
     return (np.zeros(DIMS, np.int64), 0) if total is None else (total[:DIMS], int(total[DIMS]))
 
 
-def latent_basis(passages: DataFrame, text: str, idf: np.ndarray, rank: int = RANK, power: int = POWER) -> np.ndarray:
-    """Right singular vectors (DIMS x rank) of the passages' TF-IDF matrix, by a randomised range finder on the rows.
-
-    The passages are written once, to at most `FIT_TASKS` files: each task that reads some sends a whole matrix.
+def _chunks(rows: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The texts in lists of about `CHUNK` words."""
+    held, size = [], 0
+    for feature in rows:
+        for low in range(0, max(1, len(feature) - STEP), CHUNK):
+            part = feature[low : low + CHUNK + STEP]
+            if len(part):
+                held.append(part)
+                size += len(part)
+            if size >= CHUNK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+class Gram:
+    """Adds up A'(A matrix) for the TF-IDF rows A of passages, each of length 1."""
+
+    def __init__(self, matrix: np.ndarray, idf: np.ndarray) -> None:
+        self.matrix, self.idf = matrix.astype(np.float32), idf.astype(np.float32)
+        self.sums = np.zeros(matrix.shape)
+
+    def add(self, texts: list[np.ndarray]) -> None:
+        """The passages of a few texts as a dense matrix over the features that occur in them."""
+        feature = np.concatenate(texts)
+        there = np.zeros(DIMS, bool)
+        there[feature] = True
+        own, at = np.flatnonzero(there), (np.cumsum(there) - 1)[feature]
+        sizes = np.array([len(t) for t in texts])
+        tiles = -(-sizes // STEP)
+        ends = np.cumsum(tiles)
+        tile = (np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // STEP + np.repeat(ends - tiles, sizes)
+        rows = np.bincount(tile * len(own) + at, minlength=ends[-1] * len(own)).reshape(-1, len(own)).astype(np.float32)
+        rows *= self.idf[own]
+        # a passage is a tile of STEP words and the next one, or the only tile of its text
+        last, only = np.zeros(ends[-1], bool), np.zeros(ends[-1], bool)
+        last[ends - 1] = True
+        only[ends[tiles == 1] - 1] = True
+        following = rows[1:].copy()
+        following[last[:-1]] = 0
+        rows[:-1] += following
+        rows = rows[~last | only]
+        rows /= np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
+        self.sums[own] += rows.T @ (rows @ self.matrix[own])
+
+
+def latent_basis(rows: DataFrame, row_tiles: int, items: DataFrame, item_tiles: int, idf: np.ndarray, rank: int = RANK, power: int = POWER) -> np.ndarray:
+    """Right singular vectors (DIMS x rank) of the TF-IDF matrix of all passages, by a randomised range finder on the rows.
+
+    rows, items: `feature_rows` of the documents and of the items, with as many tiles of `STEP` words. Each task sends one matrix.
     """
-    spark = passages.sparkSession
-    passages = materialize(passages.select(text).repartition(FIT_TASKS, text), "index-sample")
+    spark = rows.sparkSession
+    weight = ITEM_WEIGHT * max(1.0, row_tiles / max(1, item_tiles))
     random = np.random.Generator(np.random.PCG64(5))
     basis = np.linalg.qr(random.standard_normal((DIMS, rank + 8), dtype=np.float32))[0]
-
     def product(matrix: np.ndarray) -> np.ndarray:
         """A'(A matrix), from partial sums, one per partition."""
         shared = spark.sparkContext.broadcast(matrix)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            given = shared.value
-            total, rows = np.zeros(given.shape, np.float32), 0
-            for batch in batches:
-                rows += len(batch)
-                for value in batch.column(0):
-                    feature = _features(words_of(value.as_py()))
-                    for start in _starts(len(feature)):
-                        own, n = np.unique(feature[start : start + WINDOW], return_counts=True)
-                        row = (n * idf[own]).astype(np.float32)
-                        row /= max(float(np.linalg.norm(row)), 1e-12)
-                        total[own] += row[:, None] * (row @ given[own])
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["data"])
-
-        total = sum_arrays(passages.select(text).mapInArrow(run, "data binary"), "float32", fan=2)
+            gram = None
+            for chunk in _chunks(x for batch in batches for x in _stored(batch)):
+                gram = gram or Gram(shared.value, idf)
+                gram.add(chunk)
+            if gram:
+                yield pa.RecordBatch.from_arrays([pa.array([gram.sums.astype(np.float32).tobytes()], pa.binary())], ["data"])
+
+        total = np.zeros(matrix.size, np.float32)
+        for table, tiles, factor in ((rows, row_tiles, 1.0), (items, item_tiles, weight)):
+            tasks = max(FIT_TASKS, tiles // FIT_TILES)
+            # as many matrices meet in a task on each level of the tree
+            part = sum_arrays(table.coalesce(tasks).mapInArrow(run, "data binary"), "float32", fan=math.ceil(tasks ** (1 / 3)))
+            if part is not None:
+                total += np.float32(factor) * part
         shared.destroy()
         return total.reshape(matrix.shape)
 
@@ -203,7 +269,7 @@ class Searcher:
         return best, there
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", fit_docs: int = FIT_DOCS) -> DataFrame:
+def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, th, item, first_word, end_word, cosine, covered): the items found in each document; th: xxhash64 of its text."""
     kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((docs, key), (benchmark, item)))
     schema = f"`{key}` {kind}, th long, `{item}` {item_kind}, first_word long, end_word long, cosine double, covered double"
@@ -213,11 +279,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     source = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     if not n_items:
         return spark.createDataFrame([], schema)
-    seen, passages = document_frequencies(source, "text")
+    rows, wanted = feature_rows(source, "text"), feature_rows(items, "t")
+    seen, passages = document_frequencies(rows)
     idf = np.log((1 + passages) / (1 + seen)) ** 2 + 0.05  # squared: frequent words say little about a passage
-    share = max(1, -(-source.count() // fit_docs))
-    sample = source.where(F.pmod(F.xxhash64("key", "text"), F.lit(share)) == 0).select("text")
-    basis = latent_basis(sample.unionByName(items.select(F.col("t").alias("text"))), "text", idf)
+    basis = latent_basis(rows, passages, wanted, document_frequencies(wanted)[1], idf)
     space = spark.sparkContext.broadcast((basis, idf))  # DIMS x (RANK + 1) numbers, whatever the input
     blocks = -(-n_items // ITEMS)
     out = None

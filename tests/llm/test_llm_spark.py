@@ -413,6 +413,17 @@ def test_index_sums_few_matrices(spark, monkeypatch):
     assert len(sent) > 1 and max(sent[1:]) <= decontaminate.FIT_TASKS
 
 
+def test_index_is_fitted_on_all_documents(spark, monkeypatch):
+    """No sample: the rows that the index multiplies hold every word of 400 documents and of the items."""
+    texts = spark.createDataFrame([(k, f"text number {k} of many " * (k % 7 + 1)) for k in range(400)], "doc_id long, text string")
+    items = texts.where("doc_id in (3, 9)").withColumnRenamed("doc_id", "item_id")
+    fitted, words, basis = [], lambda t: sum(len(r[0]) // 2 for r in t.collect()), decontaminate.latent_basis
+    monkeypatch.setattr(decontaminate, "latent_basis", lambda rows, a, own, *rest: fitted.append((words(rows), words(own))) or basis(rows, a, own, *rest))
+    found = decontaminate.find_items(texts, items)
+    assert fitted == [(sum(5 * (k % 7 + 1) for k in range(400)), 5 * (3 % 7 + 1) + 5 * (9 % 7 + 1))]
+    assert {(3, 3), (9, 9)} <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
 def test_licenses(spark, docs):
     texts = [
         (1, "hello\nReleased under the MIT License.\nYou need a driver license here"),

@@ -261,3 +261,22 @@ def test_quality_of_parts_is_that_of_the_whole():
     whole = quality.fit_ranker(x, good)
     parts = quality._fit(lambda part: sum(part(x[k::7], good[k::7]) for k in range(7)))
     assert np.allclose(whole.weights, parts.weights) and abs(whole.threshold - parts.threshold) < 1e-9
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(0, 2500), max_size=12), st.integers(0, 2**31))
+def test_gram_counts_every_passage(sizes, seed):
+    rng = np.random.default_rng(seed)
+    texts = [(rng.zipf(1.4, n) % decontaminate.DIMS).astype(np.uint16) for n in sizes]
+    idf = rng.random(decontaminate.DIMS) + 0.05
+    given_ = rng.standard_normal((decontaminate.DIMS, 3)).astype(np.float32)
+    want = np.zeros(given_.shape)
+    for feature in texts:
+        for start in decontaminate._starts(len(feature)):
+            own, n = np.unique(feature[start : start + decontaminate.WINDOW].astype(np.int64), return_counts=True)
+            row = n * idf[own] / np.linalg.norm(n * idf[own])
+            want[own] += row[:, None] * (row @ given_[own])
+    gram = decontaminate.Gram(given_, idf)
+    for chunk in decontaminate._chunks(iter(texts)):
+        gram.add(chunk)
+    assert np.allclose(gram.sums, want, atol=1e-3)
