@@ -70,6 +70,7 @@ class Settings:
     community_links_per_task: int = 1_000_000
     community_block_links: int = 200_000
     training_cells_per_task: int = 20_000
+    stream_buckets: int = 1024
 
     # a gain in modularity below this counts as none
     community_tolerance: float = 1e-7

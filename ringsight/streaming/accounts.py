@@ -1,14 +1,17 @@
 """Layer-1 scoring of a stream of transactions.
 
 Features depend on the order of an account's rows, and a stream brings them in any order. Rows wait in keyed state until the
-watermark has passed them; an event-time timer then takes all rows of the account that are due, in (timestamp, txn_id) order, and
-advances the account's totals over them in one vectorised step. So every row within the watermark has the features of the batch,
+watermark has passed them; an event-time timer then takes all rows that are due, in (timestamp, txn_id) order by account, and
+advances the accounts' totals over them in one vectorised step. So every row within the watermark has the features of the batch,
 whatever the order of arrival; later rows are dropped by Spark and counted in its progress (`numRowsDroppedByWatermark`).
 
-State per account: waiting rows (freed when they are due), the times of the last 24 hours (freed by a timer when the account falls
-silent), counts per category and per place and device (map entries, only those that a step touches are read), and one row of
-totals. With `forget_after` an account that has been silent for so long is forgotten altogether; it then starts afresh, which the
-batch does not do, so the default keeps it.
+The key is a bucket of accounts (`stream_buckets`, by hash; fixed for the life of a checkpoint): a message between Spark and Python
+then carries a packed table of many accounts in place of one value of one account, and a step runs over all of them at once. A batch
+reads and writes the state of the buckets it touches.
+
+State per bucket: waiting rows (freed when they are due), the times of the last 24 hours (freed by a timer when the account falls
+silent), counts per category and per place and device, and one row of totals an account. With `forget_after` an account that has
+been silent for so long is forgotten altogether; it then starts afresh, which the batch does not do, so the default keeps it.
 
 Rules, model, blending and decisions follow as plain columns on the rows that come out.
 """
@@ -21,10 +24,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor
 
 from ringsight.config import DEFAULT, Settings
@@ -35,7 +40,7 @@ from ringsight.operators.rules import evaluate_rules
 
 DAY = LOOKBACKS["velocity_24hr"]
 _FLAGS = ("is_new_merchant_category", "geo_device_consistency", "is_unusual_hour")
-_HELPERS = ("event_us", "event_hour", "known_average")
+_HELPERS = ("event_us", "event_hour", "known_average", "account_key")
 
 
 @dataclass
@@ -43,17 +48,15 @@ class Totals:
     """What an account's later rows need to know about its earlier ones, besides counts per value."""
 
     rows: int = 0
-    hours: list[int] = field(default_factory=lambda: [0] * 24)
     amounts: int = 0
     mean: float = 0.0
     m2: float = 0.0
-    last_us: int | None = None
+    last_us: int = 0
+    has_last: bool = False
     last_failed: bool = False
     peak: int = 0
     usual: str | None = None
-
-
-TOTALS = "rows long, hours array<long>, amounts long, mean double, m2 double, last_us long, last_failed boolean, peak long, usual string"
+    hours: list[int] = field(default_factory=lambda: [0] * 24)
 
 
 def _key(*values: object) -> str:
@@ -62,153 +65,302 @@ def _key(*values: object) -> str:
 
 def value_keys(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The category and the (place, device) of each row as text that keeps nulls apart."""
-    categories = [_key(v) for v in rows["merchant_category"]]
-    pairs = [_key(*v) for v in zip(rows["geo_location"], rows["device_id"], strict=True)]
-    return np.array(categories, object), np.array(pairs, object)
-
+    out = []
+    for columns in (["merchant_category"], ["geo_location", "device_id"]):
+        at, names = np.zeros(len(rows), np.int64), []
+        for column in columns:
+            code, values = pd.factorize(rows[column], use_na_sentinel=False)
+            at, names = at * len(values) + code, [*names, values]
+        pairs, at = np.unique(at, return_inverse=True)
+        parts = [v.take(pairs // int(np.prod([len(x) for x in names[k + 1 :]])) % len(v)) for k, v in enumerate(names)]
+        out.append(np.array([_key(*v) for v in zip(*parts, strict=True)], object)[at])
+    return out[0], out[1]
 
-def _running(keys: np.ndarray, known: dict) -> np.ndarray:
-    """How often each row's key has come, itself and the known count included."""
-    codes, names = pd.factorize(keys)
-    before = np.array([known.get(name, 0) for name in names], np.int64)
-    return pd.Series(codes).groupby(codes).cumcount().to_numpy() + 1 + before[codes]
 
+@dataclass
+class Accounts:
+    """What later rows need to know about the earlier ones of some accounts.
 
-def advance(
-    rows: pd.DataFrame, totals: Totals, recent: tuple[np.ndarray, np.ndarray], categories: dict, pairs: dict, cfg: Settings
-) -> tuple[pd.DataFrame, Totals, tuple[np.ndarray, np.ndarray], dict, dict]:
-    """(features, totals, recent, categories, pairs) after an account's next rows, which are in order.
+    `names` in order, and by account: `totals` (a frame with the fields of `Totals` but `hours`) and `hours`. recent: account number,
+    time and retry mark of the rows of the last 24 hours, in order. categories, pairs: account number, value (`value_keys`) and count.
+    """
 
-    rows: event_us, event_hour, known_average, amount, status, merchant_category, geo_location, device_id. recent: times and retry marks of
-    the rows of the last 24 hours. categories, pairs: counts so far of the values in these rows (by `value_keys`).
+    names: np.ndarray
+    totals: pd.DataFrame
+    hours: np.ndarray
+    recent: tuple[np.ndarray, np.ndarray, np.ndarray]
+    categories: tuple[np.ndarray, np.ndarray, np.ndarray]
+    pairs: tuple[np.ndarray, np.ndarray, np.ndarray]
+
+    @classmethod
+    def none(cls) -> Accounts:
+        return cls.of(np.array([], object), [])
+
+    @classmethod
+    def of(cls, names: np.ndarray, totals: list[Totals]) -> Accounts:
+        columns = {c: np.array([getattr(t, c) for t in totals], kind) for c, kind in _TOTAL_KINDS.items()}
+        number, count = np.empty(0, np.int64), np.empty(0, np.int64)
+        counts = (number, np.empty(0, object), count)
+        hours = np.array([t.hours for t in totals], np.int64).reshape(-1, 24)
+        return cls(names, pd.DataFrame(columns), hours, (number, count, np.empty(0, bool)), counts, counts)
+
+    def at(self, places: np.ndarray) -> Accounts:
+        """The accounts at these places, in order; -1: a new one."""
+        fresh = Accounts.of(np.array([""], object), [Totals()])
+        old = places >= 0
+        pick = np.where(old, places, len(self.names))
+        to = np.full(len(self.names), -1, np.int64)
+        to[places[old]] = np.flatnonzero(old)
+
+        def kept(rows: tuple) -> tuple:
+            there = to[rows[0]] >= 0
+            return (to[rows[0]][there], *[x[there] for x in rows[1:]])
+
+        totals = pd.concat([self.totals, fresh.totals], ignore_index=True) if len(self.names) else fresh.totals
+        return Accounts(
+            np.append(self.names, "")[pick], totals.iloc[pick].reset_index(drop=True), np.concatenate((self.hours, fresh.hours))[pick],
+            kept(self.recent), kept(self.categories), kept(self.pairs),
+        )
+
+    def packed(self) -> bytes:
+        columns = {c: pa.array(self.totals[c], from_pandas=True) for c in _TOTAL_KINDS}
+        columns |= {f"h{k}": pa.array(self.hours[:, k]) for k in range(24)}
+        tables = [pa.table({"name": pa.array(self.names, pa.string()), **columns})]
+        for rows in (self.recent, self.categories, self.pairs):
+            arrays = [pa.array(x, pa.string() if x.dtype == object else None) for x in rows]
+            tables.append(pa.table(arrays, names=["account", "of", "what"]))
+        return b"".join(len(x).to_bytes(8, "big") + x for x in map(_packed, tables))
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Accounts:
+        tables, low = [], 0
+        while low < len(data):
+            size = int.from_bytes(data[low : low + 8], "big")
+            tables.append(_unpacked(data[low + 8 : low + 8 + size]))
+            low += 8 + size
+        known, *rest = tables
+        columns = {c: known[c].to_numpy() if kind is not object else np.array(known[c].to_pylist(), object) for c, kind in _TOTAL_KINDS.items()}
+        hours = np.stack([known[f"h{k}"].to_numpy() for k in range(24)], axis=1)
+        rows = [tuple(np.array(t[c].to_pylist(), object) if pa.types.is_string(t[c].type) else t[c].to_numpy() for c in t.column_names) for t in rest]
+        return cls(np.array(known["name"].to_pylist(), object), pd.DataFrame(columns), hours, *rows)
+
+
+#: `has_last`: whether `last_us` counts
+_TOTAL_KINDS = {"rows": np.int64, "amounts": np.int64, "mean": float, "m2": float, "last_us": np.int64, "has_last": bool, "last_failed": bool, "peak": np.int64, "usual": object}
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(data))).read_all()
+
+
+def _seen(at: np.ndarray, keys: np.ndarray, known: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, tuple]:
+    """How often each row's value has come in its account, itself and the known count included; and the counts after all rows."""
+    codes, names = pd.factorize(np.concatenate((known[1], keys)))
+    each, first, place = np.unique(np.concatenate((known[0], at)) * max(1, len(names)) + codes, return_index=True, return_inverse=True)
+    old, new = place[: len(known[0])], place[len(known[0]) :]
+    before = np.zeros(len(each), np.int64)
+    before[old] = known[2]
+    seen = _position(new) + 1 + before[new]
+    owner = each // max(1, len(names))
+    return seen, (owner, np.asarray(names, object)[codes[first]], before + np.bincount(new, minlength=len(each)))
+
+
+def _position(groups: np.ndarray) -> np.ndarray:
+    """How many rows of its group are before each row."""
+    return pd.Series(groups).groupby(groups).cumcount().to_numpy()
+
+
+def advance_all(rows: pd.DataFrame, at: np.ndarray, known: Accounts, cfg: Settings) -> tuple[pd.DataFrame, Accounts]:
+    """(features, what is known after) of the next rows of accounts; every account has rows here.
+
+    rows: event_us, event_hour, known_average, amount, status, merchant_category, geo_location, device_id, in order by account and
+    inside it; at: the account number of each row.
     """
     n = len(rows)
+    totals = known.totals
+    given = {c: totals[c].to_numpy()[at] for c in totals}
+    first = np.concatenate(([True], at[1:] != at[:-1]))
+    begin = np.flatnonzero(first)[at]
+    final = np.append(begin[1:] != begin[:-1], True)
+    position = np.arange(n) - begin
     us = rows["event_us"].to_numpy(np.int64)
     failed = (rows["status"] == "failed").to_numpy(bool)
     out = pd.DataFrame(index=rows.index)
 
-    # look-back windows are open on the left and hold earlier rows of the same time
-    times = np.concatenate((recent[0], us))
-    place = np.arange(len(recent[0]), len(times))
+    def earlier(values: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The value after the account's row before."""
+        return np.where(first, start, np.concatenate((values[:1], values[:-1])))
+
+    after_failure, before_us = earlier(failed, given["last_failed"]), earlier(us, np.where(given["has_last"], given["last_us"], 0))
+    retry = after_failure.astype(bool) & (us - before_us <= cfg.retry_gap_seconds * SECOND)
+
+    # look-back windows are open on the left and hold earlier rows of the same time; times are ranked, so that (account, time) is a number
+    owner = np.concatenate((known.recent[0], at))
+    order = np.argsort(owner, kind="stable")  # an account's recent rows, then its new ones
+    place = np.argsort(order)[len(known.recent[0]) :]
+    owner, times, retries = owner[order], np.concatenate((known.recent[1], us))[order], np.concatenate((known.recent[2], retry))[order]
+    ranks = np.unique(times)
+    line = owner * (len(ranks) + 1) + np.searchsorted(ranks, times) + 1
+    left = {}
     for name, width in LOOKBACKS.items():
-        out[name] = (place + 1 - np.searchsorted(times, us - width, "right")).astype(float)
-
-    before_us = np.concatenate(([0 if totals.last_us is None else totals.last_us], us[:-1]))
-    after_failure = np.concatenate(([totals.last_failed], failed[:-1]))
-    retry = after_failure & (us - before_us <= cfg.retry_gap_seconds * SECOND)
-    retries = np.concatenate((recent[1], retry))
+        left[name] = np.searchsorted(line, at * (len(ranks) + 1) + np.searchsorted(ranks, us - width, "right"), "right")
+        out[name] = (place + 1 - left[name]).astype(float)
     sums = np.concatenate(([0], np.cumsum(retries)))
-    in_day = sums[place + 1] - sums[np.searchsorted(times, us - DAY, "right")]
+    in_day = sums[place + 1] - sums[left["velocity_24hr"]]
 
     # deviation of the earlier amounts, from sums around a value near their mean
     amount = rows["amount"].to_numpy(float)
     there = ~np.isnan(amount)
-    origin = totals.mean if totals.amounts else amount[there][0] if there.any() else 0.0
-    shifted = np.where(there, amount - origin, 0.0)
-    counts = totals.amounts + np.concatenate(([0], np.cumsum(there)))
-    first, second = (np.concatenate(([0.0], np.cumsum(x))) for x in (shifted, shifted * shifted))
-    m2 = np.maximum(totals.m2 + second - first * first / np.maximum(counts, 1), 0.0)
-    deviation = np.sqrt(m2[:-1] / np.maximum(counts[:-1] - 1, 1))
-    deviation = np.where((counts[:-1] < 2) | (deviation == 0), 1.0, deviation)
+    origin = np.where(totals["amounts"] > 0, totals["mean"], pd.Series(amount).groupby(at).first().fillna(0.0).to_numpy())
+    shifted = np.where(there, amount - origin[at], 0.0)
+    counts, total, squares = (pd.Series(x).groupby(at).cumsum().to_numpy() for x in (there.astype(np.int64), shifted, shifted * shifted))
+    counts = counts + given["amounts"]
+    m2 = np.maximum(given["m2"] + squares - total * total / np.maximum(counts, 1), 0.0)
+    counts_before = earlier(counts, given["amounts"])
+    deviation = np.sqrt(earlier(m2, np.maximum(given["m2"], 0.0)) / np.maximum(counts_before - 1, 1))
+    deviation = np.where((counts_before < 2) | (deviation == 0), 1.0, deviation)
     out["amount_zscore"] = (amount - rows["known_average"].to_numpy(float)) / deviation
 
     category, pair = value_keys(rows)
-    category_seen, pair_seen = _running(category, categories), _running(pair, pairs)
+    category_seen, categories = _seen(at, category, known.categories)
+    pair_seen, pairs = _seen(at, pair, known.pairs)
     out["is_new_merchant_category"] = category_seen == 1
-    peak = np.maximum.accumulate(np.concatenate(([totals.peak], pair_seen)))
-    record = np.maximum.accumulate(np.where(pair_seen > peak[:-1], np.arange(n), -1))
-    usual = np.where(record >= 0, pair[record], totals.usual)
+    peak = np.maximum(pd.Series(pair_seen).groupby(at).cummax().to_numpy(), given["peak"])
+    record = np.maximum.accumulate(np.where(pair_seen > earlier(peak, given["peak"]), np.arange(n), -1))
+    usual = np.where(record >= begin, pair[record], given["usual"])
     out["geo_device_consistency"] = pair == usual
 
     hour = rows["event_hour"].to_numpy(np.int64)
-    same = _running(hour, dict(enumerate(totals.hours))) - 1
-    before = totals.rows + np.arange(n)
+    same = known.hours[at, hour] + _position(at * 24 + hour)
+    before = given["rows"] + position
     out["is_unusual_hour"] = (before > 0) & (same / np.maximum(before, 1) < cfg.unusual_hour_share)
     out["failure_retry_ratio"] = in_day / out["velocity_24hr"].to_numpy()
 
-    kept = times > us[-1] - DAY
-    hours = np.array(totals.hours) + np.bincount(hour, minlength=24)
-    later = Totals(
-        totals.rows + n, hours.tolist(), int(counts[-1]), float(origin + first[-1] / max(counts[-1], 1)), float(m2[-1]),
-        int(us[-1]), bool(failed[-1]), int(peak[-1]), usual[-1],
+    later = pd.DataFrame({
+        "rows": before[final] + 1, "amounts": counts[final], "mean": (origin[at] + total / np.maximum(counts, 1))[final], "m2": m2[final],
+        "last_us": us[final], "has_last": True, "last_failed": failed[final], "peak": peak[final], "usual": usual[final],
+    })
+    hours = known.hours + np.bincount(at * 24 + hour, minlength=24 * len(known.names)).reshape(-1, 24)
+    kept = times > later["last_us"].to_numpy()[owner] - DAY
+    return out[FEATURES], Accounts(known.names, later, hours, (owner[kept], times[kept], retries[kept]), categories, pairs)
+
+
+def advance(
+    rows: pd.DataFrame, totals: Totals, recent: tuple[np.ndarray, np.ndarray], categories: dict, pairs: dict, cfg: Settings
+) -> tuple[pd.DataFrame, Totals, tuple[np.ndarray, np.ndarray], dict, dict]:
+    """(features, totals, recent, categories, pairs) after the next rows of one account, see `advance_all`.
+
+    recent: times and retry marks of the rows of the last 24 hours. categories, pairs: counts so far of the values in these rows.
+    """
+    known = Accounts.of(np.array([""], object), [totals])
+    known.recent = (np.zeros(len(recent[0]), np.int64), *recent)
+    known.categories, known.pairs = (
+        (np.zeros(len(x), np.int64), np.array(list(x), object), np.array(list(x.values()), np.int64)) for x in (categories, pairs)
+    )
+    features, known = advance_all(rows, np.zeros(len(rows), np.int64), known, cfg)
+    later = known.totals.iloc[0]
+    totals = Totals(
+        int(later["rows"]), int(later["amounts"]), float(later["mean"]), float(later["m2"]), int(later["last_us"]), True,
+        bool(later["last_failed"]), int(later["peak"]), later["usual"], known.hours[0].tolist(),
     )
-    latest = lambda keys, seen: {k: int(v) for k, v in zip(keys, seen, strict=True)}
-    return out[FEATURES], later, (times[kept], retries[kept]), latest(category, category_seen), latest(pair, pair_seen)
+    return features, totals, known.recent[1:], *(dict(zip(x[1], x[2].tolist(), strict=True)) for x in (known.categories, known.pairs))
 
 
 class AccountFeatures(StatefulProcessor):
-    """Keeps an account's rows until they are final, then adds their features."""
+    """Keeps the rows of a bucket of accounts until they are final, then adds their features."""
 
     def __init__(self, schema: T.StructType, cfg: Settings = DEFAULT, forget_after_ms: int | None = None):
         self.schema, self.cfg, self.forget_after_ms = schema, cfg, forget_after_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.recent = handle.getListState("recent", "us long, retry boolean")
-        self.categories = handle.getMapState("categories", "value string", "n long")
-        self.pairs = handle.getMapState("pairs", "value string", "n long")
-        self.totals = handle.getValueState("totals", TOTALS)
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.accounts = handle.getValueState("accounts", "data binary")
+        self.served = None
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        kinds = to_arrow_schema(self.schema)
+        first = None
         for frame in rows:
-            known = frame[self.schema.names].astype(object)
-            self.waiting.appendList(list(known.where(known.notna(), None).itertuples(index=False, name=None)))
-            self._wake_by(int(frame["event_us"].min()) // 1000, timerValues.getCurrentWatermarkInMs())
+            if len(frame):
+                self.waiting.appendValue((_packed(pa.Table.from_pandas(frame[self.schema.names], kinds, preserve_index=False)),))
+                least = int(frame["event_us"].min())
+                first = least if first is None else min(first, least)
+        if first is not None:
+            self._wake_by(-(-first // 1000), timerValues.getCurrentWatermarkInMs())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        names = self.schema.names
-        rows = list(self.waiting.get()) if self.waiting.exists() else []
-        at = names.index("event_us")
-        due = [r for r in rows if r[at] <= watermark * 1000]
-        out = []
-        if due:
-            left = [tuple(r) for r in rows if r[at] > watermark * 1000]
-            self.waiting.put(left) if left else self.waiting.clear()
-            out.append(self._step(pd.DataFrame([tuple(r) for r in due], columns=names)))
-        self._tidy(watermark)
+        if self.served == (key, watermark):  # the first of several timers did it all
+            return iter(())
+        self.served = (key, watermark)
+        out, rows, left = [], None, None
+        if self.waiting.exists():
+            left = pa.concat_tables([_unpacked(r[0]) for r in self.waiting.get()])
+            due = left["event_us"].to_numpy() <= watermark * 1000
+            if due.any():
+                rows, left = left.filter(pa.array(due)), left.filter(pa.array(~due))
+                self.waiting.clear()
+                if len(left):
+                    self.waiting.appendValue((_packed(left),))
+        known = Accounts.unpacked(self.accounts.get()[0]) if self.accounts.exists() else Accounts.none()
+        if rows is not None:
+            features, known = self._step(rows.to_pandas(), known)
+            out.append(features)
+        self._tidy(known, rows is not None, left, watermark)
         return iter(out)
 
-    def _step(self, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["event_us", "txn_id"], kind="stable", ignore_index=True)
+    def _step(self, rows: pd.DataFrame, known: Accounts) -> tuple[pd.DataFrame, Accounts]:
+        rows = rows.sort_values(["account_key", "event_us", "txn_id"], kind="stable", ignore_index=True)
         rows["amount"] = pd.to_numeric(rows["amount"])
         rows["known_average"] = pd.to_numeric(rows["known_average"])
-        stored = self.totals.get() if self.totals.exists() else None
-        totals = Totals(*(list(x) if isinstance(x, (list, tuple)) else x for x in stored)) if stored else Totals()
-        recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
-        before = np.array([r[0] for r in recent], np.int64), np.array([r[1] for r in recent], bool)
-        known = []
-        for state, keys in zip((self.categories, self.pairs), value_keys(rows), strict=True):
-            counts = {k: state.getValue((k,)) for k in dict.fromkeys(keys) if state.containsKey((k,))}
-            known.append({k: v[0] for k, v in counts.items()})
-        features, totals, recent, *counts = advance(rows, totals, before, *known, self.cfg)
-        for state, seen in zip((self.categories, self.pairs), counts, strict=True):
-            for value, n in seen.items():
-                state.updateValue((value,), (n,))
-        self.recent.put([(int(t), bool(x)) for t, x in zip(*recent, strict=True)])
-        self.totals.update(tuple(vars(totals).values()))
-        return pd.concat([rows.drop(columns=["event_hour", "known_average"]), features], axis=1)
-
-    def _tidy(self, watermark: int) -> None:
-        """Free what no later row can need, and wake up when there is more to do."""
-        if self.waiting.exists():
-            self._wake_by(min(r[self.schema.names.index("event_us")] for r in self.waiting.get()) // 1000, watermark)
-        if not self.totals.exists():
+        at, names = pd.factorize(rows["account_key"])
+        place = pd.Index(known.names).get_indexer(names)
+        stay = np.setdiff1d(np.arange(len(known.names)), place)
+        here = known.at(place)
+        here.names = np.asarray(names, object)
+        features, here = advance_all(rows, at, here, self.cfg)
+        rest = known.at(stay)
+        n = len(rest.names)
+        both = lambda a, b: tuple(np.concatenate((x, y + n if k == 0 else y)) for k, (x, y) in enumerate(zip(a, b, strict=True)))
+        merged = Accounts(
+            np.concatenate((rest.names, here.names)), pd.concat([rest.totals, here.totals], ignore_index=True) if n else here.totals,
+            np.concatenate((rest.hours, here.hours)), both(rest.recent, here.recent), both(rest.categories, here.categories), both(rest.pairs, here.pairs),
+        )
+        return pd.concat([rows.drop(columns=["event_hour", "known_average", "account_key"]), features], axis=1), merged
+
+    def _tidy(self, known: Accounts, changed: bool, left: pa.Table | None, watermark: int) -> None:
+        """Free what no later row can need, write what changed, and wake up when there is more to do."""
+        waits = np.zeros(len(known.names), bool)
+        if left is not None and len(left):
+            self._wake_by(-(-int(left["event_us"].to_numpy().min()) // 1000), watermark)
+            waits = np.isin(known.names, np.array(left["account_key"].to_pylist(), object))
+        if not len(known.names):
             return
-        last = self.totals.get()[5] // 1000
-        if self.recent.exists():
-            if last + DAY // 1000 < watermark:
-                self.recent.clear()
-            else:
-                self._wake_by(last + DAY // 1000, watermark)
+        last = known.totals["last_us"].to_numpy() // 1000
+        held = last[known.recent[0]] + DAY // 1000 >= watermark
+        if not held.all():
+            known.recent, changed = tuple(x[held] for x in known.recent), True
+        if len(known.recent[0]):
+            self._wake_by(int(last[known.recent[0]].min()) + DAY // 1000 + 1, watermark)
         if self.forget_after_ms is not None:
-            if last + self.forget_after_ms >= watermark:
-                self._wake_by(last + self.forget_after_ms, watermark)
-            elif not self.waiting.exists():
-                for state in (self.totals, self.categories, self.pairs, self.recent):
-                    state.clear()
+            young = last + self.forget_after_ms >= watermark
+            if young.any():
+                self._wake_by(int(last[young].min()) + self.forget_after_ms + 1, watermark)
+            if not (young | waits).all():
+                known, changed = known.at(np.flatnonzero(young | waits)), True
+        if not len(known.names):
+            self.accounts.clear()
+        elif changed:
+            self.accounts.update((known.packed(),))
 
     def _wake_by(self, at_ms: int, watermark: int) -> None:
         """One more timer, unless one is due as early. Those behind the watermark are being served and go."""
@@ -247,11 +399,11 @@ def feature_stream(
     kept = [c for c in columns if c != "timestamp"] + list(_HELPERS)
     held = T.StructType([T.StructField(f.name, f.dataType) for f in rows.select(*kept).schema])
     added = [T.StructField(c, T.BooleanType() if c in _FLAGS else T.DoubleType()) for c in FEATURES]
-    out = T.StructType([f for f in held if f.name not in ("event_hour", "known_average")] + added)
+    out = T.StructType([f for f in held if f.name not in ("event_hour", "known_average", "account_key")] + added)
     forget = None if forget_after_days is None else int(forget_after_days * 86_400_000)
     scored = (
-        rows.select("account_key", "timestamp", *kept)
-        .groupBy("account_key")
+        rows.select(F.pmod(F.xxhash64("account_key"), F.lit(cfg.stream_buckets)).alias("bucket"), "timestamp", *kept)
+        .groupBy("bucket")
         .transformWithStateInPandas(AccountFeatures(held, cfg, forget), out, "Append", "EventTime")
     )
     return scored.withColumn("timestamp", F.timestamp_micros("event_us")).select(*columns, *FEATURES)

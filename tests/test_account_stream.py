@@ -88,6 +88,24 @@ def test_features_come_once_final_and_late_rows_are_counted(spark, tmp_path):
     assert found.count() == 12
 
 
+def test_state_is_kept_by_buckets_of_accounts(spark, tmp_path):
+    """Messages and state rows follow the buckets, not the accounts; accounts of a bucket do not touch each other."""
+    accounts, transactions = random_tables(seed=21, n_accounts=30, n_transactions=400)
+    for k in (3, 40, 41, 300):
+        transactions[k]["account_id"] = None
+    for k in (8, 90):
+        transactions[k] |= {"amount": None, "merchant_category": None, "geo_location": None}
+    for k in (120, 121):  # half a millisecond behind the watermark's own
+        transactions[k]["timestamp"] += timedelta(microseconds=500)
+    rows = sorted(transactions, key=lambda t: t["timestamp"])
+    frames = accounts_frame(spark, accounts)
+    parts = [rows[k : k + 100] for k in range(0, 400, 100)]
+    found, progress = replay(spark, str(tmp_path), [*parts, [LAST]], frames, "10 days", cfg=Settings(stream_buckets=2))
+    same(plain(found.collect()), plain(extract_features(transactions_frame(spark, transactions), frames).collect()))
+    # per bucket the accounts, a list of waiting rows and a few timers
+    assert max(op["numRowsTotal"] for p in progress for op in p["stateOperators"]) <= 16
+
+
 def test_silent_accounts_are_freed(spark, tmp_path):
     rows = [transaction(f"{who}{k}", who, START + timedelta(hours=k)) for who in "abcdef" for k in range(4)]
     later = [transaction(f"z{k}", "z", START + timedelta(days=40 + k)) for k in range(3)]
