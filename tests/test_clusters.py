@@ -131,6 +131,17 @@ def test_blocks_of_links_and_joins_find_the_same_communities(spark, monkeypatch)
     assert groups(communities.refine(frame, comps, joins)) == in_tasks
 
 
+def test_five_nodes_count_as_one_broadcast_row(spark, monkeypatch):
+    """A few times more nodes than `broadcast_rows` still take no table a round."""
+    names, edges = random_edges(6, 40, 60)
+    comps = spark.createDataFrame([(name, min(names)) for name in names], "account_id string, cluster_id string")
+    frame, tables, write = edge_frame(spark, edges), [], communities.materialize
+    in_tasks = groups(communities.refine(frame, comps))
+    monkeypatch.setattr(communities, "materialize", lambda df, label: tables.append(label) or write(df, label))
+    assert groups(communities.refine(frame, comps, Settings(community_links_per_task=0, broadcast_rows=10))) == in_tasks
+    assert "community-wishes" not in tables and "community-blocks" in tables
+
+
 def test_rounds_end_in_tasks_once_levels_are_small(spark, monkeypatch):
     """The later levels of a large component take no table a round, and its communities stay the same."""
     names, edges = random_edges(2, 200, 420)
